@@ -14,11 +14,23 @@ from footfall.functions.scalars import contains_london, json_text, round_half_up
 ADD_EVENT = "ItineraryAdd2"
 
 
-def add_source_counts(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def add_sources_per_user(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return (
+        events.where(F.col("event") == ADD_EVENT)
+        .groupBy("userid", "it_add_from", *by)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def add_source_counts(per_user: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Adds by source button; adds without a source form a NULL group."""
+    return per_user.groupBy(*by, "it_add_from").agg(F.sum("n").alias("num_of_pluses"))
+
+
+def add_source_report(events: DataFrame) -> DataFrame:
     return (
         events.where(F.col("event") == ADD_EVENT)
-        .groupBy(*by, "it_add_from")
+        .groupBy("it_add_from")
         .agg(F.count(F.lit(1)).alias("num_of_pluses"))
     )
 

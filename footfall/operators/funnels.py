@@ -112,9 +112,8 @@ def completions(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) -> Dat
     )
 
 
-def ordered_funnel(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def ordered_funnel(done: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Users completing adds and view, and those with the final event afterwards."""
-    done = completions(users, kth, by)
     return _totals(
         done, by,
         F.sum(F.lit(1)).alias("it_plus_plus_view_completed"),
@@ -147,7 +146,7 @@ def offline_then_online_report(events: DataFrame) -> DataFrame:
 
 def ordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
     times = first_times(events, steps.add, steps.adds)
-    return ordered_funnel(user_facts(events, steps=steps), kth_time(times, steps.adds))
+    return ordered_funnel(completions(user_facts(events, steps=steps), kth_time(times, steps.adds)))
 
 
 def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:

@@ -19,14 +19,8 @@ METRICS = {
 }
 
 
-def usage_boxplots(
-    bounds: DataFrame,
-    by: Sequence[str] = (),
-    limit_seconds: int = N.SESSION_LIMIT_SECONDS,
-    rule: str = "disc",
-) -> DataFrame:
+def usage_boxplots(days: DataFrame, by: Sequence[str] = (), rule: str = "disc") -> DataFrame:
     """Boxplots of sessions, average and total seconds per active day."""
-    days = user_days(kept_sessions(bounds, limit_seconds), by)
     group = [*by, "active_day"]
     values = days.select(
         *group,
@@ -60,32 +54,35 @@ def usage_boxplots(
     )
 
 
-def returning_users(
-    bounds: DataFrame,
+def return_days(
+    days: DataFrame,
     runs: DataFrame,
     by: Sequence[str] = (),
-    limit_seconds: int = N.SESSION_LIMIT_SECONDS,
     min_offline: int = N.DAY_OFFLINE_MIN_EVENTS,
 ) -> DataFrame:
-    """Users back per day since their first, and how many went offline that day."""
-    days = user_days(kept_sessions(bounds, limit_seconds), by)
+    """One row per user and active day: days since the first one, offline or not."""
     offline = (
         runs.where(F.col("offline_times") >= min_offline)
         .select("userid", *by, F.to_date("started").alias("day"), F.lit(True).alias("went_offline"))
         .distinct()
     )
-    return (
-        days.join(offline, ["userid", *by, "day"], "left")
-        .withColumn("came_back_day", F.datediff("day", "first_day"))
-        .groupBy(*by, "came_back_day")
-        .agg(F.count(F.lit(1)).alias("retention_count"), F.count("went_offline").alias("went_offline"))
+    return days.join(offline, ["userid", *by, "day"], "left").select(
+        "userid", *by, F.datediff("day", "first_day").alias("came_back_day"), "went_offline"
+    )
+
+
+def returning_users(returns: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Users back per day since their first, and how many went offline that day."""
+    return returns.groupBy(*by, "came_back_day").agg(
+        F.count(F.lit(1)).alias("retention_count"), F.count("went_offline").alias("went_offline")
     )
 
 
 def retention_boxplots_report(
     events: DataFrame, limit_seconds: int = N.SESSION_LIMIT_SECONDS, rule: str = "disc"
 ) -> DataFrame:
-    return usage_boxplots(session_bounds(events), limit_seconds=limit_seconds, rule=rule)
+    days = user_days(kept_sessions(session_bounds(events), limit_seconds))
+    return usage_boxplots(days, rule=rule)
 
 
 def retention_days_report(
@@ -94,6 +91,5 @@ def retention_days_report(
     excluded: Sequence[str] = N.RETENTION_RUN_EXCLUDED,
     sliced: bool = False,
 ) -> DataFrame:
-    return returning_users(
-        session_bounds(events), offline_runs(events, excluded, sliced), limit_seconds=limit_seconds
-    )
+    days = user_days(kept_sessions(session_bounds(events), limit_seconds))
+    return returning_users(return_days(days, offline_runs(events, excluded, sliced)))
