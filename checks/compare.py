@@ -32,6 +32,9 @@ def compare(spark: SparkSession, con, folder: str, name: str) -> str:
     """``ok`` or what differs."""
     df = QUERIES[name](spark, folder)
     mine = rows_of(df.columns, df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "NestedLoopJoin" in plan or "CartesianProduct" in plan:
+        return "the plan pairs all rows"
     if name not in ORACLES:
         return f"ok, rows only ({sum(mine.values())})"
     result = con.execute(ORACLES[name])

@@ -260,4 +260,4 @@ def final_frequency_report(
         F.sum(F.when(F.col("views").isNotNull(), 1)).alias("transit_view_completed"),
     )
     box = quantiles(views.withColumn("all", F.lit(1)), ["all"], "views")
-    return counts.withColumn("all", F.lit(1)).join(box, "all", "left").drop("all")
+    return counts.withColumn("boxplot", box.select("boxplot").scalar())
