@@ -2,7 +2,8 @@
 
 All queries run over the whole ``events`` table through the adapter of
 ``footfall.sources.events_table``. The log, the detections and the report
-matrix are shared between the queries of one session.
+matrix' members are written once per session and shared between queries, as the
+log table and its derived tables are in production.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from collections.abc import Callable
 from datetime import date
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +23,11 @@ from footfall.operators import (
     detectors, distributions, facts as fact_ops, funnels, histories, offline, overlaps,
     retention, sessions,
 )
-from footfall.operators.facts import Facts, build_facts
+from footfall.operators.facts import Facts
 from footfall.plans import templates
 from footfall.plans.cohorts import COHORTS, cohort_events, group_events
 from footfall.plans.matrix import REPORTS, Matrix
+from footfall.session import stored
 from footfall.sources import events_table
 from footfall.sources.json_events import lift, split_rejects
 from footfall.sources.ranges import date_batches
@@ -50,12 +51,7 @@ QUERIES: dict[str, Query] = {}
 def _facts(spark: SparkSession, app: str, folder: str) -> Facts:
     configure(spark)
     log, hot = events_table.read_events_table(spark, folder)
-    log = log.persist(StorageLevel.MEMORY_AND_DISK)
-    facts = build_facts(log, hot)
-    got, flagged = detectors.detect(log, events_table.gazetteer(spark), sliced=facts.sliced)
-    return facts.with_detections(
-        got.persist(StorageLevel.MEMORY_AND_DISK), flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    return Facts(stored(log), hot, events_table.gazetteer(spark), keep=stored)
 
 
 def facts_of(spark: SparkSession, folder: str) -> Facts:

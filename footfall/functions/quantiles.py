@@ -36,6 +36,35 @@ def value_bin(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
+def _counted(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    return (
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+
+
+def _ranks(points: Sequence[float], rule: str, total: Column) -> Column:
+    """Array of (index of the point, wanted rank)."""
+    rank_of = RANK_RULES[rule]
+    return F.array(*[
+        F.struct(F.lit(i).alias("i"), rank_of(F.lit(float(p)), total).alias("rank"))
+        for i, p in enumerate(points)
+    ])
+
+
+def _collected(hits: DataFrame, by: Sequence[str], name: str, total: str | None) -> DataFrame:
+    """One array per group from rows of (index, value)."""
+    out = [
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("_i", "_value"))), lambda e: e["_value"]
+        ).alias(name)
+    ]
+    if total:
+        out.append(F.max("_total").alias(total))
+    return hits.groupBy(*by).agg(*out)
+
+
 def quantiles(
     rows: DataFrame,
     by: Sequence[str],
@@ -43,19 +72,15 @@ def quantiles(
     points: Sequence[float] = BOXPLOT_POINTS,
     rule: str = "disc",
     name: str = "boxplot",
+    total: str | None = None,
 ) -> DataFrame:
     """One row per group with an array of the wanted order statistics.
 
     NULL values are ignored; a group without any other value gives no row.
+    ``total`` names a column for the number of values.
     """
-    rank_of = RANK_RULES[rule]
     by = list(by)
-    counted = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", value_bin(F.col("_value")))
-    )
+    counted = _counted(rows, by, value).withColumn("_bin", value_bin(F.col("_value")))
     group = Window.partitionBy(*by)
     bins = (
         counted.groupBy(*by, "_bin")
@@ -63,41 +88,65 @@ def quantiles(
         .withColumn("_upto", F.sum("_n").over(group.orderBy("_bin")))
         .withColumn("_total", F.sum("_n").over(group))
     )
-    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(points)])
-    targets = (
-        bins.withColumn("_point", F.explode(wanted))
-        .withColumn("_rank", rank_of(F.col("_point.p"), F.col("_total")))
-        .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
-        .groupBy(*by, "_bin")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    F.col("_point.i").alias("i"),
-                    (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("need"),
-                )
-            ).alias("_needs")
-        )
-    )
-    group_key = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
-    joined = counted.alias("c").join(
-        targets.alias("t"), [*group_key, F.col("c._bin") == F.col("t._bin")]
-    ).select(*[F.col(f"c.{c}").alias(c) for c in by], "c._bin", "_value", "_n", "_needs")
+    before = F.col("_upto") - F.col("_n")
+    upto = F.col("_upto")
+    targets = bins.select(
+        *by, "_bin", "_total",
+        # ranks that fall into this bin, counted from its start
+        F.transform(
+            F.filter(
+                _ranks(points, rule, F.col("_total")),
+                lambda t: (t["rank"] <= upto) & (t["rank"] > before),
+            ),
+            lambda t: F.struct(t["i"].alias("i"), (t["rank"] - before).alias("rank")),
+        ).alias("_ranks"),
+    ).where(F.size("_ranks") > 0)
+    same_bin = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
+    near = counted.alias("c").join(
+        targets.alias("t"), [*same_bin, F.col("c._bin") == F.col("t._bin")]
+    ).select(*[F.col(f"c.{c}").alias(c) for c in by], "c._bin", "_value", "_n", "_total", "_ranks")
     inside = Window.partitionBy(*by, "_bin").orderBy("_value")
-    reached = F.col("_upto")
     hits = (
-        joined.withColumn("_upto", F.sum("_n").over(inside))
+        near.withColumn("_upto", F.sum("_n").over(inside))
+        .withColumn("_hit", F.filter("_ranks", lambda t: (t["rank"] <= upto) & (t["rank"] > before)))
+        .where(F.size("_hit") > 0)
+        .select(*by, "_value", "_total", F.explode("_hit.i").alias("_i"))
+    )
+    return _collected(hits, by, name, total)
+
+
+def count_quantiles(
+    rows: DataFrame,
+    by: Sequence[str],
+    value: str,
+    points: Sequence[float] = BOXPLOT_POINTS,
+    rule: str = "disc",
+    name: str = "boxplot",
+    total: str | None = None,
+) -> DataFrame:
+    """The same for values that count events.
+
+    Such a value v stands for v events, so N events make at most sqrt(2 N)
+    distinct values: the counts of one group fit one task and need no bins.
+    """
+    by = list(by)
+    group = Window.partitionBy(*by)
+    upto = F.col("_upto")
+    hits = (
+        _counted(rows, by, value)
+        .withColumn("_upto", F.sum("_n").over(group.orderBy("_value")))
+        .withColumn("_total", F.sum("_n").over(group))
         .withColumn(
             "_hit",
-            F.filter("_needs", lambda t: (t["need"] <= reached) & (t["need"] > reached - F.col("_n"))),
+            F.filter(
+                _ranks(points, rule, F.col("_total")),
+                lambda t: (t["rank"] <= upto) & (t["rank"] > upto - F.col("_n")),
+            ),
         )
         .where(F.size("_hit") > 0)
-        .select(*by, "_value", F.explode("_hit.i").alias("_i"))
-    )
-    return hits.groupBy(*by).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_i", "_value"))), lambda e: e["_value"]
-        ).alias(name)
+        .select(*by, "_value", "_total", F.explode("_hit.i").alias("_i"))
     )
+    return _collected(hits, by, name, total)
 
 
 def boxplot_array(values: Column, points: Sequence[float] = BOXPLOT_POINTS) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.functions.quantiles import quantiles
+from footfall.functions.quantiles import disc_rank, quantiles
 from footfall.functions.scalars import contains_london, json_text, round_half_up, starts_london
 
 ADD_EVENT = "ItineraryAdd2"
@@ -54,14 +54,20 @@ def events_per_user(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def event_distribution(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Median and mean number per user of every event."""
-    group = [*by, "event"]
-    median = quantiles(counts, group, "counts", points=(0.5,), name="median")
-    mean = counts.groupBy(*group).agg(
-        round_half_up(F.sum("counts").cast("decimal(38,12)") / F.count("counts"), 1)
-        .cast("double").alias("average")
+    """Median and mean number per user of every event.
+
+    Few distinct counts exist per event (see ``count_quantiles``).
+    """
+    group = Window.partitionBy(*by, "event")
+    users = counts.groupBy(*by, "event", "counts").agg(F.count(F.lit(1)).alias("users"))
+    ranked = users.withColumn(
+        "upto", F.sum("users").over(group.orderBy("counts"))
+    ).withColumn("rank", disc_rank(F.lit(0.5), F.sum("users").over(group)))
+    total = F.sum(F.col("counts") * F.col("users")).cast("decimal(38,12)")
+    return ranked.groupBy(*by, "event").agg(
+        F.min(F.when(F.col("upto") >= F.col("rank"), F.col("counts"))).alias("median"),
+        round_half_up(total / F.sum("users"), 1).cast("double").alias("average"),
     )
-    return median.withColumn("median", F.col("median")[0]).join(mean, group)
 
 
 def event_distribution_report(events: DataFrame) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from copy import copy
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
 from footfall.functions.scalars import known_city
+from footfall.operators import detectors
 from footfall.plans.skew import HotKeys, add_slice, find_hot
 
 
@@ -66,29 +69,55 @@ def never_located_users(logs: DataFrame, null_is_unknown: bool = False) -> DataF
     )
 
 
-@dataclass(frozen=True)
 class Facts:
-    """Event log with everything cohorts are built from."""
+    """Event log with everything cohorts are built from.
 
-    logs: DataFrame
-    hot: HotKeys | None
-    first_users: DataFrame
-    first_cities: DataFrame
-    got_value: DataFrame | None = None
-    experimental: DataFrame | None = None
+    Derived tables are built when first asked for. ``keep`` decides how they are
+    kept between uses: as plans (default) or written out, see ``session.stored``.
+    The detections are taken as given, or run over the log when a gazetteer is.
+    """
+
+    def __init__(
+        self,
+        logs: DataFrame,
+        hot: HotKeys | None = None,
+        gazetteer: DataFrame | None = None,
+        keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> None:
+        self.logs = logs if "slice" in logs.columns else add_slice(logs, hot)
+        self.hot = hot
+        self._gazetteer = gazetteer
+        self._keep = keep
 
     @property
     def sliced(self) -> bool:
         return self.hot is not None
 
+    @cached_property
+    def first_users(self) -> DataFrame:
+        return self._keep(first_time_users(self.logs))
+
+    @cached_property
+    def first_cities(self) -> DataFrame:
+        return self._keep(first_cities(self.logs))
+
+    @cached_property
+    def got_value(self) -> DataFrame:
+        if self._gazetteer is None:
+            raise ValueError("got-value facts need a gazetteer or the finished table")
+        return self._keep(detectors.got_value(self.logs, self._gazetteer, sliced=self.sliced))
+
+    @cached_property
+    def experimental(self) -> DataFrame:
+        return self._keep(detectors.experimental_sessions(self.logs, sliced=self.sliced))
+
     def with_detections(self, got_value: DataFrame, experimental: DataFrame) -> Facts:
-        return replace(self, got_value=got_value, experimental=experimental)
+        """The same facts with detections made elsewhere."""
+        out = copy(self)
+        out.__dict__.update(got_value=got_value, experimental=experimental)
+        return out
 
 
-def build_facts(logs: DataFrame, hot: HotKeys | None = None, measure: bool = False) -> Facts:
-    """Facts of a log. ``measure`` looks for hot users; else ``hot`` is taken as given."""
-    if measure:
-        hot = find_hot(logs, "userid", "created_at")
-    if "slice" not in logs.columns:
-        logs = add_slice(logs, hot)
-    return Facts(logs, hot, first_time_users(logs), first_cities(logs))
+def measured_facts(logs: DataFrame, **options) -> Facts:
+    """Facts of a log after a look for hot users."""
+    return Facts(logs, find_hot(logs, "userid", "created_at"), **options)

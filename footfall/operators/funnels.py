@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.functions.quantiles import quantiles
+from footfall.functions.quantiles import count_quantiles
 from footfall.functions.scalars import is_offline, is_online, round_half_up
 
 
@@ -259,5 +259,5 @@ def final_frequency_report(
         F.sum(F.lit(1)).alias("it_plus_plus_view_completed"),
         F.sum(F.when(F.col("views").isNotNull(), 1)).alias("transit_view_completed"),
     )
-    box = quantiles(views.withColumn("all", F.lit(1)), ["all"], "views")
+    box = count_quantiles(views.withColumn("all", F.lit(1)), ["all"], "views")
     return counts.withColumn("boxplot", box.select("boxplot").scalar())

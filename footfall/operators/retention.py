@@ -33,7 +33,8 @@ def usage_boxplots(days: DataFrame, by: Sequence[str] = (), rule: str = "disc")
             )
         ),
     )
-    boxes = quantiles(values, [*group, "metric"], "value", rule=rule)
+    # one user-day gives one value of every metric, so their number is that of users
+    boxes = quantiles(values, [*group, "metric"], "value", rule=rule, total="unique_users")
 
     def box(metric: str):
         return F.max(F.when(F.col("metric") == metric, F.col("boxplot")))
@@ -41,16 +42,11 @@ def usage_boxplots(days: DataFrame, by: Sequence[str] = (), rule: str = "disc")
     def seconds(column):
         return F.transform(column, lambda us: us / F.lit(1e6))
 
-    # one user-day gives one value of every metric, so counting one counts users
-    users = days.groupBy(*group).agg(F.count("userid").alias("unique_users"))
-    return (
-        boxes.groupBy(*group)
-        .agg(
-            F.transform(box("sessions_per_day"), lambda n: n.cast("bigint")).alias("sessions_per_day_boxplot"),
-            seconds(box("avg_usage_per_day")).alias("avg_usage_per_day_boxplot"),
-            seconds(box("total_usage_per_day")).alias("total_usage_per_day_boxplot"),
-        )
-        .join(users, group)
+    return boxes.groupBy(*group).agg(
+        box("sessions_per_day").alias("sessions_per_day_boxplot"),
+        seconds(box("avg_usage_per_day")).alias("avg_usage_per_day_boxplot"),
+        seconds(box("total_usage_per_day")).alias("total_usage_per_day_boxplot"),
+        F.max("unique_users").alias("unique_users"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.functions.scalars import in_range, json_text, starts_london
+from footfall.functions.scalars import in_range, json_text, network_flag, starts_london
 from footfall.operators.facts import Facts
 from footfall.plans.skew import join_users
 
@@ -108,8 +108,6 @@ def members(facts: Facts, spec: CohortSpec, start, end) -> DataFrame:
     if spec.did_not:
         users = users.join(_users_who(facts, spec.did_not, start, end), "userid", "left_anti")
     if spec.got_value:
-        if facts.got_value is None:
-            raise ValueError(f"{spec.name} needs got-value facts")
         got = facts.got_value.where(in_range(F.col("created_at"), start, end))
         users = users.join(got, "userid", "left_semi")
     return users
@@ -131,8 +129,6 @@ def cohort_events(facts: Facts, spec: CohortSpec | str, start, end) -> DataFrame
     events = facts.logs.where(in_range(F.col("created_at"), start, end))
     events = join_users(events, members(facts, spec, start, end), facts.hot, "left_semi")
     if spec.drop_experimental:
-        if facts.experimental is None:
-            raise ValueError(f"{spec.name} needs experimental sessions")
         events = without_experimental(events, facts.experimental)
     return events.select(
         "userid", "event", "created_at", "session", "activation_time", "network",
@@ -146,8 +142,6 @@ def group_events(facts: Facts, london: bool) -> DataFrame:
 
     The network flag is read from the raw property; missing means online.
     """
-    from footfall.functions.scalars import network_flag
-
     city_rule = starts_london(F.col("first_city"))
     users = (
         facts.first_users.join(facts.first_cities.where(city_rule if london else ~city_rule), "userid")

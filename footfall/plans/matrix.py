@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from datetime import date, timedelta
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from footfall.operators import distributions, funnels, offline, retention, sessi
 from footfall.operators.facts import Facts
 from footfall.plans.cohorts import COHORTS, CohortSpec, without_experimental
 from footfall.plans.skew import join_users
+from footfall.session import small_table, stored
 
 BY = ("date_end", "usergroup")
 
@@ -205,8 +205,6 @@ class Matrix:
             ])
             users = users.join(met, "userid", "left")
         if any(c.got_value for c in self.cohorts):
-            if facts.got_value is None:
-                raise ValueError("a cohort needs got-value facts")
             got = (
                 facts.got_value.where(self._in_widest("created_at"))
                 .groupBy("userid")
@@ -237,24 +235,26 @@ class Matrix:
             for window, end in enumerate(self.ends)
             for spec in self.cohorts
         ]
-        return users.select(
-            "userid", F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull()))
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        return stored(
+            users.select("userid", F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull())))
+        )
 
     @cached_property
     def events(self) -> DataFrame:
-        """Events of all members in the widest window, shared by every report."""
+        """Events of all members in the widest window, shared by every report.
+
+        Users stay together in the written files, so the per-user aggregations
+        shrink them before any shuffle.
+        """
         rows = self.facts.logs.where(self._in_widest("created_at"))
         users = self.members.select("userid").distinct()
-        return (
-            join_users(rows, users, self.facts.hot, "left_semi")
-            .select(
+        return stored(
+            join_users(rows, users, self.facts.hot, "left_semi").select(
                 "userid", "event", "created_at", "session", "activation_time", "network",
                 json_text(F.col("properties"), N.KEY_ADD_SOURCE).alias("it_add_from"),
                 "event_id", "slice",
                 self._stretch("created_at").alias("stretch"),
             )
-            .persist(StorageLevel.MEMORY_AND_DISK)
         )
 
     def _parts(self, events: DataFrame) -> Parts:
@@ -267,8 +267,6 @@ class Matrix:
     @cached_property
     def clean(self) -> Parts:
         """The same without experimental sessions."""
-        if self.facts.experimental is None:
-            raise ValueError("a cohort needs experimental sessions")
         return self._parts(without_experimental(self.events, self.facts.experimental))
 
     def table(self, report: Report) -> DataFrame:
@@ -290,7 +288,7 @@ class Matrix:
 
     def _all_cells(self, names: Sequence[str]) -> DataFrame:
         cells = [(end, name) for end in self.ends for name in names]
-        return self.facts.logs.sparkSession.createDataFrame(cells, "date_end date, usergroup string")
+        return small_table(self.facts.logs.sparkSession, cells, "date_end date, usergroup string")
 
     def tables(self) -> dict[str, DataFrame]:
         return {r.name: self.table(r) for r in self.reports}
@@ -310,12 +308,6 @@ class Matrix:
             out = rows if out is None else out.unionByName(rows)
         return out
 
-    def release(self) -> None:
-        """Drop the shared tables from memory."""
-        for name in ("members", "events"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
-
 
 def run_matrix(facts: Facts, starts: Sequence[date], **options) -> DataFrame:
     """Long result over several start dates."""

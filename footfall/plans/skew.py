@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.session import small_table
+
 MAX_HOT = 1024
 MAX_SLICES = 256
 MAX_ROWS = 5_000_000
@@ -59,7 +61,8 @@ def find_hot(
     )
     if not counts:
         return None
-    hot = spark.createDataFrame(
+    hot = small_table(
+        spark,
         [(r["userid"], r["rows"]) for r in counts],
         f"userid {events.schema[key].dataType.simpleString()}, rows bigint",
     )
@@ -80,8 +83,8 @@ def find_hot(
         .collect()
     )
     # at most MAX_HOT rows of at most MAX_SLICES numbers
-    table = spark.createDataFrame(
-        [(r["userid"], r["cuts"]) for r in cuts], "userid string, cuts array<bigint>"
+    table = small_table(
+        spark, [(r["userid"], r["cuts"]) for r in cuts], "userid string, cuts array<bigint>"
     )
     return HotKeys(table, unit_seconds)
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -39,3 +43,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="footfall-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Driver rows as a local relation, whose size the planner knows."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "date": pa.date32(),
+             "array<bigint>": pa.list_(pa.int64())}
+    table = pa.table({
+        f.name: pa.array(values, types[f.dataType.simpleString()]) for f, values in zip(fields, columns)
+    })
+    return spark.createDataFrame(table)
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """Write ``rows`` once to the shared folder and read them back.
+
+    Cuts the lineage: later jobs neither plan nor recompute what led here, lost
+    executors take nothing with them, and scans prune columns as for any table.
+    """
+    spark = rows.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/footfall/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from footfall import names as N
 from footfall.plans.scan import Previous, RunningSum, scan
-from footfall.plans.skew import MAX_ROWS, HotKeys, add_slice, find_hot, join_users
+from footfall.plans.skew import MAX_ROWS, HotKeys, add_slice, find_hot
+from footfall.session import small_table
 
 SESSION_GAP_SECONDS = 21_600
 #: kept-session limit for these sparse histories
@@ -107,4 +108,4 @@ def to_log(raw: DataFrame, hot: HotKeys | None) -> DataFrame:
 
 def gazetteer(spark: SparkSession) -> DataFrame:
     """Regions of the two cities the adapter uses."""
-    return spark.createDataFrame([("London", "London"), ("Paris", "ROW")], "city string, region string")
+    return small_table(spark, [("London", "London"), ("Paris", "ROW")], "city string, region string")

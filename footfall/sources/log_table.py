@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import names as N
+from footfall.session import small_table
 from footfall.sources.json_events import LOG_COLUMNS, normalize_events, read_lines
 
 
@@ -91,5 +92,5 @@ def ingest_increment(
         .partitionBy("loaded_to")
         .json(rejects_path)
     )
-    spark.createDataFrame([(end,)], "last_day date").write.mode("append").json(mark_path)
+    small_table(spark, [(end,)], "last_day date").write.mode("append").json(mark_path)
     return start, end

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.names import DOWNLOAD_BATCH_DAYS
+from footfall.session import small_table
 
 
 def date_batches(ranges: DataFrame, start: str, end: str, days: int = DOWNLOAD_BATCH_DAYS) -> DataFrame:
@@ -24,5 +25,5 @@ def date_batches(ranges: DataFrame, start: str, end: str, days: int = DOWNLOAD_B
 
 
 def date_batches_between(spark: SparkSession, start: date, end: date, days: int = DOWNLOAD_BATCH_DAYS) -> DataFrame:
-    ranges = spark.createDataFrame([(start, end)], "start_day date, end_day date")
+    ranges = small_table(spark, [(start, end)], "start_day date, end_day date")
     return date_batches(ranges, "start_day", "end_day", days)

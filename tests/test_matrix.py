@@ -8,9 +8,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.operators import detectors, distributions, funnels, histories, retention
-from footfall.operators.facts import build_facts
+from footfall.operators import distributions, funnels, histories, retention
+from footfall.operators.facts import Facts
 from footfall.plans.cohorts import cohort_events
+from footfall.session import stored
 from footfall.plans.matrix import REPORTS, Matrix, run_matrix
 from footfall.sinks.histories import export_histories
 from footfall.sinks.reports import (
@@ -25,9 +26,7 @@ START = date(2024, 1, 1)
 
 def facts_of(spark, max_rows):
     log, hot = read_events_table(spark, SF, max_rows)
-    log = log.cache()
-    got, flagged = detectors.detect(log, gazetteer(spark), sliced=hot is not None)
-    return build_facts(log, hot).with_detections(got.cache(), flagged.cache())
+    return Facts(stored(log), hot, gazetteer(spark), keep=stored)
 
 
 @pytest.fixture(scope="module")
@@ -74,15 +73,12 @@ def test_cells_equal_single_runs(request, which, cohort, days):
         cell = matrix.table(report).where((F.col("usergroup") == cohort) & (F.col("date_end") == end))
         alone = SINGLE[report.name](events, facts.sliced).select(*report.fields)
         assert plain(cell.select(*report.fields)) == plain(alone), report.name
-    matrix.release()
 
 
 def test_split_users_change_nothing(facts, split_facts):
     def all_rows(f):
         matrix = Matrix(f, START, limit_seconds=LIMIT)
-        rows = plain(matrix.rows().drop("fields"))
-        matrix.release()
-        return rows
+        return plain(matrix.rows().drop("fields"))
 
     assert all_rows(facts) == all_rows(split_facts)
 
@@ -93,7 +89,6 @@ def test_empty_cells_have_their_zeros(facts):
     assert users.count() == 45 and users.agg(F.sum("total_count")).first()[0] == 0
     funnel = matrix.table(next(r for r in REPORTS if r.name == "funnel_ordered"))
     assert funnel.count() == 45 and funnel.where("transit_view_completed IS NOT NULL").count() == 0
-    matrix.release()
 
 
 @pytest.fixture(scope="module")

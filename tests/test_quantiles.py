@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.functions.quantiles import boxplot_array, quantiles
+from footfall.functions.quantiles import boxplot_array, count_quantiles, quantiles
 
 POINTS = (0.0, 0.02, 0.25, 0.5, 0.75, 0.98, 1.0)
 
@@ -28,8 +28,12 @@ def test_against_sorted_lists(spark, rule):
     }
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("ints", None), ("empty", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    out = {r.g: list(r.boxplot) for r in quantiles(df, ["g"], "v", POINTS, rule).collect()}
-    assert out == {g: brute([float(v) for v in vs], rule) for g, vs in groups.items()}
+    for function in (quantiles, count_quantiles):
+        rows = function(df, ["g"], "v", POINTS, rule, total="n").collect()
+        assert {r.g: list(r.boxplot) for r in rows} == {
+            g: brute([float(v) for v in vs], rule) for g, vs in groups.items()
+        }
+        assert {r.g: r.n for r in rows} == {g: len(vs) for g, vs in groups.items()}
 
 
 def test_the_two_rules_differ(spark):

@@ -166,7 +166,7 @@ def travellers(spark, make_log):
     ])
     got = spark.createDataFrame([("c",)], "userid string").select("userid", F.lit("2024-01-02").cast("timestamp").alias("created_at"))
     flagged = spark.createDataFrame([("a", 1)], "userid string, session int")
-    return facts.build_facts(log).with_detections(got, flagged)
+    return facts.Facts(log).with_detections(got, flagged)
 
 
 def who(travellers, spec):
