@@ -70,62 +70,55 @@ def kth_time(times: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-# -- reports over user_facts ------------------------------------------------
+# -- totals over user_facts, as aggregate columns ----------------------------
 
 
-def _totals(users: DataFrame, by: Sequence[str], *columns: Column) -> DataFrame:
-    return users.groupBy(*by).agg(*columns) if by else users.agg(*columns)
+def count_users() -> list[Column]:
+    return [F.count("userid").alias("total_count")]
 
 
-def count_users(users: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return _totals(users, by, F.count("userid").alias("total_count"))
+def date_range() -> list[Column]:
+    return [F.min("first_at").alias("min_date"), F.max("last_at").alias("max_date")]
 
 
-def date_range(users: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return _totals(users, by, F.min("first_at").alias("min_date"), F.max("last_at").alias("max_date"))
+def users_with(fact: str, at_least: int) -> list[Column]:
+    return [F.count_if(F.col(fact) >= at_least).alias("count")]
 
 
-def users_with(users: DataFrame, fact: str, at_least: int, by: Sequence[str] = ()) -> DataFrame:
-    return _totals(users, by, F.count_if(F.col(fact) >= at_least).alias("count"))
-
-
-def offline_then_online(users: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def offline_then_online() -> list[Column]:
     """Users with an offline map interaction, and those online again later.
 
     "Something happened after t" is the same as "the last one is after t".
     """
-    seen = F.col("offline_map").isNotNull()
-    back = F.col("last_online") > F.col("offline_map")
-    return _totals(
-        users, by,
-        F.sum(F.when(seen, 1)).alias("viewed_map_offline"),
-        F.sum(F.when(back, 1)).alias("came_back_online"),
-    )
+    return [
+        F.sum(F.when(F.col("offline_map").isNotNull(), 1)).alias("viewed_map_offline"),
+        F.sum(F.when(F.col("last_online") > F.col("offline_map"), 1)).alias("came_back_online"),
+    ]
 
 
-def completions(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Users who have both the adds and the view, and when they had them."""
-    return (
-        users.where(F.col("first_view").isNotNull())
-        .join(kth, ["userid", *by])
-        .withColumn("completed_at", F.greatest("first_view", "kth_time"))
-    )
+def ordered_funnel() -> list[Column]:
+    """Users with a completion, and those with the final event afterwards."""
+    return [
+        F.sum(F.when(F.col("completed_at").isNotNull(), 1)).alias("it_plus_plus_view_completed"),
+        F.sum(F.when(F.col("last_final") > F.col("completed_at"), 1)).alias("transit_view_completed"),
+    ]
 
 
-def ordered_funnel(done: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Users completing adds and view, and those with the final event afterwards."""
-    return _totals(
-        done, by,
-        F.sum(F.lit(1)).alias("it_plus_plus_view_completed"),
-        F.sum(F.when(F.col("last_final") > F.col("completed_at"), 1)).alias("transit_view_completed"),
+def with_completion(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add when a user had both the adds and the view; NULL for users who lack one."""
+    both = F.col("first_view").isNotNull() & F.col("kth_time").isNotNull()
+    return (
+        users.join(kth, ["userid", *by], "left")
+        .withColumn("completed_at", F.when(both, F.greatest("first_view", "kth_time")))
+        .drop("kth_time")
     )
 
 
-# -- the same reports straight from a cohort's events -----------------------
+# -- reports straight from a cohort's events ---------------------------------
 
 
 def unique_users_report(events: DataFrame) -> DataFrame:
-    return count_users(user_facts(events))
+    return user_facts(events).agg(*count_users())
 
 
 def date_range_report(events: DataFrame) -> DataFrame:
@@ -133,20 +126,24 @@ def date_range_report(events: DataFrame) -> DataFrame:
 
 
 def acquisition_report(events: DataFrame) -> DataFrame:
-    return users_with(user_facts(events), "actions", 1)
+    return user_facts(events).agg(*users_with("actions", 1))
 
 
 def activation_report(events: DataFrame, at_least: int = 1) -> DataFrame:
-    return users_with(user_facts(events), "activations", at_least)
+    return user_facts(events).agg(*users_with("activations", at_least))
 
 
 def offline_then_online_report(events: DataFrame) -> DataFrame:
-    return offline_then_online(user_facts(events))
+    return user_facts(events).agg(*offline_then_online())
 
 
-def ordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
+def completions_of(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
     times = first_times(events, steps.add, steps.adds)
-    return ordered_funnel(completions(user_facts(events, steps=steps), kth_time(times, steps.adds)))
+    return with_completion(user_facts(events, steps=steps), kth_time(times, steps.adds))
+
+
+def ordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
+    return completions_of(events, steps).agg(*ordered_funnel())
 
 
 def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
@@ -162,17 +159,10 @@ def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps(
 
 def step_conversion_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
     """Users, completions and finals with each step's share of the one before."""
-    users = user_facts(events, steps=steps)
-    kth = kth_time(first_times(events, steps.add, steps.adds), steps.adds)
-    per_user = users.join(kth, "userid", "left").select(
-        F.greatest("first_view", "kth_time").alias("completed_at"),
-        (F.col("first_view").isNotNull() & F.col("kth_time").isNotNull()).alias("done"),
-        "last_final",
-    )
-    counts = per_user.agg(
+    counts = completions_of(events, steps).agg(
         F.count(F.lit(1)).alias("a"),
-        F.count_if("done").alias("b"),
-        F.count_if(F.col("done") & (F.col("last_final") > F.col("completed_at"))).alias("c"),
+        F.count("completed_at").alias("b"),
+        F.count_if(F.col("last_final") > F.col("completed_at")).alias("c"),
     )
     rows = ((1, "users", "a", None), (2, "added and viewed", "b", "a"), (3, "went on", "c", "b"))
     steps_rows = counts.select(
@@ -240,24 +230,25 @@ def final_frequency_report(
     completions, so a heavy user brings few rows to the join.
     """
     counted = counted or steps.final
-    done = completions(
-        user_facts(events, steps=steps), kth_time(first_times(events, steps.add, steps.adds), steps.adds)
-    ).select("userid", "completed_at")
+    done = completions_of(events, steps).where(F.col("completed_at").isNotNull())
+    done = done.select("userid", "completed_at")
     seen = (
         events.where(F.col("event") == counted)
         .groupBy("userid", "activation_time")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     views = (
-        done.join(seen, "userid")
-        .where(F.col("activation_time") > F.col("completed_at"))
+        done.join(seen, "userid", "left")
         .groupBy("userid")
-        .agg(F.sum("n").alias("views"))
+        .agg(F.sum(F.when(F.col("activation_time") > F.col("completed_at"), F.col("n"))).alias("views"))
+    )
+    per_user = views.select(
+        F.col("views").isNotNull().alias("seen"), F.coalesce("views", F.lit(0)).alias("views")
     )
-    per_user = done.join(views, "userid", "left")
-    counts = per_user.agg(
-        F.sum(F.lit(1)).alias("it_plus_plus_view_completed"),
-        F.sum(F.when(F.col("views").isNotNull(), 1)).alias("transit_view_completed"),
+    # two rows at most: users with and without such an event
+    split = count_quantiles(per_user, ["seen"], "views", total="users")
+    return split.agg(
+        F.sum("users").alias("it_plus_plus_view_completed"),
+        F.max(F.when(F.col("seen"), F.col("users"))).alias("transit_view_completed"),
+        F.max(F.when(F.col("seen"), F.col("boxplot"))).alias("boxplot"),
     )
-    box = count_quantiles(views.withColumn("all", F.lit(1)), ["all"], "views")
-    return counts.withColumn("boxplot", box.select("boxplot").scalar())

@@ -41,18 +41,21 @@ _THIRTEEN = (*_ELEVEN, "first_time_londoners_noexp", "first_time_row_noexp")
 class Report:
     """A report: which per-user table it reads and how that adds up.
 
-    ``zeros`` names the counts that are 0, not NULL, in a cell without users;
-    None means that such a cell has no rows at all.
+    Reports over the ``users`` table give aggregate columns in ``totals``; all of
+    them are computed together, one row per cell, with ``zeros`` naming the counts
+    that are 0, not NULL, in a cell without users. Others give a function that
+    returns any number of rows per cell.
     """
 
     name: str
     category_id: str
     title: str
     fields: tuple[str, ...]
-    part: str
-    total: Callable[[DataFrame, Sequence[str]], DataFrame]
+    totals: Callable[[], list[Column]] | None = None
+    part: str = "users"
+    rows: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
     usergroups: tuple[str, ...] = ()
-    zeros: tuple[str, ...] | None = None
+    zeros: tuple[str, ...] = ()
 
     @property
     def groups(self) -> tuple[str, ...]:
@@ -62,31 +65,32 @@ class Report:
 
 REPORTS: tuple[Report, ...] = (
     Report("unique_users", "universe", "#Unique users in user group (universe)", ("total_count",),
-           "users", funnels.count_users, _NINE, ("total_count",)),
+           funnels.count_users, usergroups=_NINE, zeros=("total_count",)),
     Report("date_range", "universe", "Min/Max date range from data (universe)", ("min_date", "max_date"),
-           "users", funnels.date_range, _NINE, ()),
+           funnels.date_range, usergroups=_NINE),
     Report("acquisition", "acquisition", "Acquisition", ("count",),
-           "users", lambda u, by: funnels.users_with(u, "actions", 1, by), _NINE, ("count",)),
+           lambda: funnels.users_with("actions", 1), usergroups=_NINE, zeros=("count",)),
     Report("activation_1", "activation", "2.1 activation", ("count",),
-           "users", lambda u, by: funnels.users_with(u, "activations", 1, by), _NINE, ("count",)),
+           lambda: funnels.users_with("activations", 1), usergroups=_NINE, zeros=("count",)),
     Report("activation_2", "activation", "2.2 activation", ("count",),
-           "users", lambda u, by: funnels.users_with(u, "activations", 2, by), _NINE, ("count",)),
+           lambda: funnels.users_with("activations", 2), usergroups=_NINE, zeros=("count",)),
     Report("funnel_ordered", "activation", "2.3/2.4 activation",
            ("it_plus_plus_view_completed", "transit_view_completed"),
-           "done", funnels.ordered_funnel, _NINE, ()),
+           funnels.ordered_funnel, usergroups=_NINE),
     Report("offline_then_online", "activation", "2.5 activation", ("viewed_map_offline", "came_back_online"),
-           "users", funnels.offline_then_online, _NINE, ()),
+           funnels.offline_then_online, usergroups=_NINE),
     Report("retention_boxplots", "retention", "3.1/3.3 Retention",
            ("active_day", "sessions_per_day_boxplot", "avg_usage_per_day_boxplot",
             "total_usage_per_day_boxplot", "unique_users"),
-           "days", retention.usage_boxplots, _ELEVEN),
+           part="days", rows=retention.usage_boxplots, usergroups=_ELEVEN),
     Report("retention_days", "retention", "3.2 Retention",
            ("came_back_day", "retention_count", "went_offline"),
-           "returns", retention.returning_users, _ELEVEN),
+           part="returns", rows=retention.returning_users, usergroups=_ELEVEN),
     Report("add_source_counts", "general", "Distribution of pluses (itinerary add).",
-           ("it_add_from", "num_of_pluses"), "sources", distributions.add_source_counts, _THIRTEEN),
+           ("it_add_from", "num_of_pluses"),
+           part="sources", rows=distributions.add_source_counts, usergroups=_THIRTEEN),
     Report("event_distribution", "general", "Distribution of events.", ("event", "median", "average"),
-           "counts", distributions.event_distribution, _THIRTEEN),
+           part="counts", rows=distributions.event_distribution, usergroups=_THIRTEEN),
 )
 
 
@@ -100,34 +104,34 @@ class Parts:
     sliced: bool
     excluded: Sequence[str] = field(default=N.RETENTION_RUN_EXCLUDED)
 
+    def _spread(self, part: DataFrame) -> DataFrame:
+        """Stretch ``s`` belongs to the windows from ``s`` on."""
+        windows = F.sequence(F.col("stretch"), F.lit(self.windows - 1))
+        return part.withColumn("window", F.explode(windows)).drop("stretch")
+
     def _combine(self, part: DataFrame, keys: Sequence[str], *merged: Column) -> DataFrame:
-        """Combine stretches: stretch ``s`` belongs to the windows from ``s`` on."""
-        last = self.windows - 1
-        spread = part.withColumn("window", F.explode(F.sequence(F.col("stretch"), F.lit(last))))
-        return spread.groupBy("userid", *keys, "window").agg(*merged)
+        return self._spread(part).groupBy("userid", *keys, "window").agg(*merged)
 
     @cached_property
     def users(self) -> DataFrame:
-        part = funnels.user_facts(self.events, ["stretch"])
-        return self._combine(part, [], *[f(c).alias(c) for c, f in funnels.USER_FACTS_MERGE.items()])
-
-    @cached_property
-    def done(self) -> DataFrame:
+        facts = self._combine(
+            funnels.user_facts(self.events, ["stretch"]), [],
+            *[f(c).alias(c) for c, f in funnels.USER_FACTS_MERGE.items()],
+        )
         steps = funnels.FunnelSteps()
         times = funnels.first_times(self.events, steps.add, steps.adds, ["stretch"]).drop("place")
-        spread = times.withColumn(
-            "window", F.explode(F.sequence(F.col("stretch"), F.lit(self.windows - 1)))
-        )
-        lowest = funnels.lowest_times(spread, steps.adds, ["window"])
-        return funnels.completions(self.users, funnels.kth_time(lowest, steps.adds, ["window"]), ["window"])
+        lowest = funnels.lowest_times(self._spread(times), steps.adds, ["window"])
+        kth = funnels.kth_time(lowest, steps.adds, ["window"])
+        return funnels.with_completion(facts, kth, ["window"])
 
     @cached_property
     def days(self) -> DataFrame:
+        """Kept for the two retention reports."""
         bounds = self._combine(
             sessions.session_bounds(self.events, ["stretch"]), ["session"],
             F.min("started").alias("started"), F.max("ended").alias("ended"),
         )
-        return sessions.user_days(sessions.kept_sessions(bounds, self.limit_seconds), ["window"])
+        return stored(sessions.user_days(sessions.kept_sessions(bounds, self.limit_seconds), ["window"]))
 
     @cached_property
     def returns(self) -> DataFrame:
@@ -269,44 +273,84 @@ class Matrix:
         """The same without experimental sessions."""
         return self._parts(without_experimental(self.events, self.facts.experimental))
 
-    def table(self, report: Report) -> DataFrame:
-        """One report: (date_end, usergroup) and its fields."""
-        names = [c.name for c in self.cohorts if c.name in report.groups]
-        wanted = self.members.where(F.col("usergroup").isin(names))
+    def _tagged(self, part: str, names: Sequence[str]) -> DataFrame:
+        """Rows of a per-user table with the cells they count in."""
+        wanted = self.members.where(F.col("usergroup").isin(*names))
         rows = None
         for clean in (False, True):
             if not any(c.drop_experimental == clean for c in self.cohorts if c.name in names):
                 continue
-            part = getattr(self.clean if clean else self.plain, report.part)
+            source = getattr(self.clean if clean else self.plain, part)
             who = wanted.where(F.col("clean") == clean).select("userid", "window", *BY)
-            tagged = part.join(who, ["userid", "window"])
+            tagged = source.join(who, ["userid", "window"])
             rows = tagged if rows is None else rows.unionByName(tagged)
-        out = report.total(rows, list(BY))
-        if report.zeros is not None:
-            out = self._all_cells(names).join(out, list(BY), "left").fillna(0, list(report.zeros))
-        return out.select(*BY, *report.fields)
+        return rows
+
+    def _names(self, report: Report) -> list[str]:
+        return [c.name for c in self.cohorts if c.name in report.groups]
+
+    def _single(self, reports: Sequence[Report]) -> DataFrame:
+        """One row per cell with a struct of fields per report, in one pass."""
+        names = [c.name for c in self.cohorts if any(c.name in r.groups for r in reports)]
+        totals = self._tagged("users", names).groupBy(*BY).agg(
+            *[F.struct(*r.totals()).alias(r.name) for r in reports]
+        )
+        cells = small_table(
+            self.facts.logs.sparkSession, [(end, name) for end in self.ends for name in names],
+            "date_end date, usergroup string",
+        )
+
+        def filled(report: Report) -> Column:
+            return F.struct(*[
+                (F.coalesce(F.col(report.name)[f], F.lit(0)) if f in report.zeros else F.col(report.name)[f]).alias(f)
+                for f in report.fields
+            ]).alias(report.name)
 
-    def _all_cells(self, names: Sequence[str]) -> DataFrame:
-        cells = [(end, name) for end in self.ends for name in names]
-        return small_table(self.facts.logs.sparkSession, cells, "date_end date, usergroup string")
+        return cells.join(totals, list(BY), "left").select(*BY, *[filled(r) for r in reports])
+
+    def table(self, report: Report) -> DataFrame:
+        """One report: (date_end, usergroup) and its fields."""
+        if report.totals:
+            return self._single([report]).select(*BY, f"{report.name}.*")
+        tagged = self._tagged(report.part, self._names(report))
+        return report.rows(tagged, list(BY)).select(*BY, *report.fields)
 
     def tables(self) -> dict[str, DataFrame]:
         return {r.name: self.table(r) for r in self.reports}
 
     def rows(self) -> DataFrame:
         """Long result: one JSON row per report row."""
-        out = None
-        for report in self.reports:
-            rows = self.table(report).select(
-                F.lit(self.start).alias("date_start"),
-                *BY,
+
+        def labels(report: Report, values: Column) -> list[Column]:
+            return [
                 F.lit(report.category_id).alias("category_id"),
                 F.lit(report.title).alias("title"),
                 F.array(*[F.lit(f) for f in report.fields]).alias("fields"),
-                F.to_json(F.struct(*report.fields), {"ignoreNullFields": "false"}).alias("result"),
+                F.to_json(values, {"ignoreNullFields": "false"}).alias("result"),
+            ]
+
+        out = []
+        single = [r for r in self.reports if r.totals]
+        if single:
+            listed = [
+                F.when(
+                    F.col("usergroup").isin(*r.groups),
+                    F.struct(*labels(r, F.col(r.name))),
+                )
+                for r in single
+            ]
+            out.append(
+                self._single(single).select(
+                    *BY, F.inline(F.filter(F.array(*listed), lambda cell: cell.isNotNull()))
+                )
             )
-            out = rows if out is None else out.unionByName(rows)
-        return out
+        for report in self.reports:
+            if not report.totals:
+                out.append(self.table(report).select(*BY, *labels(report, F.struct(*report.fields))))
+        rows = out[0]
+        for more in out[1:]:
+            rows = rows.unionByName(more)
+        return rows.select(F.lit(self.start).alias("date_start"), "*")
 
 
 def run_matrix(facts: Facts, starts: Sequence[date], **options) -> DataFrame:
