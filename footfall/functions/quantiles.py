@@ -36,11 +36,12 @@ def value_bin(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
-def _counted(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def _counted(rows: DataFrame, by: Sequence[str], value: str, weight: str | None) -> DataFrame:
+    number = F.sum(weight) if weight else F.count(F.lit(1))
     return (
         rows.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(number.alias("_n"))
     )
 
 
@@ -73,14 +74,16 @@ def quantiles(
     rule: str = "disc",
     name: str = "boxplot",
     total: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with an array of the wanted order statistics.
 
     NULL values are ignored; a group without any other value gives no row.
-    ``total`` names a column for the number of values.
+    ``total`` names a column for the number of values. With ``weight`` each row
+    stands for that many equal values.
     """
     by = list(by)
-    counted = _counted(rows, by, value).withColumn("_bin", value_bin(F.col("_value")))
+    counted = _counted(rows, by, value, weight).withColumn("_bin", value_bin(F.col("_value")))
     group = Window.partitionBy(*by)
     bins = (
         counted.groupBy(*by, "_bin")
@@ -123,6 +126,7 @@ def count_quantiles(
     rule: str = "disc",
     name: str = "boxplot",
     total: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """The same for values that count events.
 
@@ -133,7 +137,7 @@ def count_quantiles(
     group = Window.partitionBy(*by)
     upto = F.col("_upto")
     hits = (
-        _counted(rows, by, value)
+        _counted(rows, by, value, weight)
         .withColumn("_upto", F.sum("_n").over(group.orderBy("_value")))
         .withColumn("_total", F.sum("_n").over(group))
         .withColumn(

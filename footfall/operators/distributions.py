@@ -22,9 +22,13 @@ def add_sources_per_user(events: DataFrame, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def add_source_counts(per_user: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def add_source_values(per_user: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return per_user.groupBy(*by, "it_add_from").agg(F.sum("n").alias("weight"))
+
+
+def add_source_counts(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Adds by source button; adds without a source form a NULL group."""
-    return per_user.groupBy(*by, "it_add_from").agg(F.sum("n").alias("num_of_pluses"))
+    return values.groupBy(*by, "it_add_from").agg(F.sum("weight").alias("num_of_pluses"))
 
 
 def add_source_report(events: DataFrame) -> DataFrame:
@@ -53,13 +57,18 @@ def events_per_user(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return events.groupBy("userid", "event", *by).agg(F.count("event").alias("counts"))
 
 
-def event_distribution(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def event_values(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many users have each count of each event."""
+    return counts.groupBy(*by, "event", "counts").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def event_distribution(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Median and mean number per user of every event.
 
     Few distinct counts exist per event (see ``count_quantiles``).
     """
     group = Window.partitionBy(*by, "event")
-    users = counts.groupBy(*by, "event", "counts").agg(F.count(F.lit(1)).alias("users"))
+    users = values.groupBy(*by, "event", "counts").agg(F.sum("weight").alias("users"))
     ranked = users.withColumn(
         "upto", F.sum("users").over(group.orderBy("counts"))
     ).withColumn("rank", disc_rank(F.lit(0.5), F.sum("users").over(group)))
@@ -71,7 +80,7 @@ def event_distribution(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def event_distribution_report(events: DataFrame) -> DataFrame:
-    return event_distribution(events_per_user(events))
+    return event_distribution(event_values(events_per_user(events)))
 
 
 # -- map use ----------------------------------------------------------------

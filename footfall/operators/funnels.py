@@ -8,7 +8,7 @@ which the report matrix uses.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,40 +70,53 @@ def kth_time(times: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-# -- totals over user_facts, as aggregate columns ----------------------------
+# -- totals over user_facts ---------------------------------------------------
 
 
-def count_users() -> list[Column]:
-    return [F.count("userid").alias("total_count")]
+@dataclass(frozen=True)
+class Total:
+    """A named aggregate and how its partial results merge."""
+
+    name: str
+    column: Column
+    merge: Callable[[str], Column] = F.sum
+
 
+def count_users() -> list[Total]:
+    return [Total("total_count", F.count("userid"))]
 
-def date_range() -> list[Column]:
-    return [F.min("first_at").alias("min_date"), F.max("last_at").alias("max_date")]
 
+def date_range() -> list[Total]:
+    return [Total("min_date", F.min("first_at"), F.min), Total("max_date", F.max("last_at"), F.max)]
 
-def users_with(fact: str, at_least: int) -> list[Column]:
-    return [F.count_if(F.col(fact) >= at_least).alias("count")]
 
+def users_with(fact: str, at_least: int) -> list[Total]:
+    return [Total("count", F.count_if(F.col(fact) >= at_least))]
 
-def offline_then_online() -> list[Column]:
+
+def offline_then_online() -> list[Total]:
     """Users with an offline map interaction, and those online again later.
 
     "Something happened after t" is the same as "the last one is after t".
     """
     return [
-        F.sum(F.when(F.col("offline_map").isNotNull(), 1)).alias("viewed_map_offline"),
-        F.sum(F.when(F.col("last_online") > F.col("offline_map"), 1)).alias("came_back_online"),
+        Total("viewed_map_offline", F.sum(F.when(F.col("offline_map").isNotNull(), 1))),
+        Total("came_back_online", F.sum(F.when(F.col("last_online") > F.col("offline_map"), 1))),
     ]
 
 
-def ordered_funnel() -> list[Column]:
+def ordered_funnel() -> list[Total]:
     """Users with a completion, and those with the final event afterwards."""
     return [
-        F.sum(F.when(F.col("completed_at").isNotNull(), 1)).alias("it_plus_plus_view_completed"),
-        F.sum(F.when(F.col("last_final") > F.col("completed_at"), 1)).alias("transit_view_completed"),
+        Total("it_plus_plus_view_completed", F.sum(F.when(F.col("completed_at").isNotNull(), 1))),
+        Total("transit_view_completed", F.sum(F.when(F.col("last_final") > F.col("completed_at"), 1))),
     ]
 
 
+def add_up(users: DataFrame, totals: Sequence[Total]) -> DataFrame:
+    return users.agg(*[t.column.alias(t.name) for t in totals])
+
+
 def with_completion(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add when a user had both the adds and the view; NULL for users who lack one."""
     both = F.col("first_view").isNotNull() & F.col("kth_time").isNotNull()
@@ -118,7 +131,7 @@ def with_completion(users: DataFrame, kth: DataFrame, by: Sequence[str] = ()) ->
 
 
 def unique_users_report(events: DataFrame) -> DataFrame:
-    return user_facts(events).agg(*count_users())
+    return add_up(user_facts(events), count_users())
 
 
 def date_range_report(events: DataFrame) -> DataFrame:
@@ -126,15 +139,15 @@ def date_range_report(events: DataFrame) -> DataFrame:
 
 
 def acquisition_report(events: DataFrame) -> DataFrame:
-    return user_facts(events).agg(*users_with("actions", 1))
+    return add_up(user_facts(events), users_with("actions", 1))
 
 
 def activation_report(events: DataFrame, at_least: int = 1) -> DataFrame:
-    return user_facts(events).agg(*users_with("activations", at_least))
+    return add_up(user_facts(events), users_with("activations", at_least))
 
 
 def offline_then_online_report(events: DataFrame) -> DataFrame:
-    return user_facts(events).agg(*offline_then_online())
+    return add_up(user_facts(events), offline_then_online())
 
 
 def completions_of(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
@@ -143,7 +156,7 @@ def completions_of(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> Dat
 
 
 def ordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
-    return completions_of(events, steps).agg(*ordered_funnel())
+    return add_up(completions_of(events, steps), ordered_funnel())
 
 
 def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:

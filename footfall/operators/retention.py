@@ -19,8 +19,8 @@ METRICS = {
 }
 
 
-def usage_boxplots(days: DataFrame, by: Sequence[str] = (), rule: str = "disc") -> DataFrame:
-    """Boxplots of sessions, average and total seconds per active day."""
+def usage_values(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many user-days have each value of each metric, per active day."""
     group = [*by, "active_day"]
     values = days.select(
         *group,
@@ -33,8 +33,16 @@ def usage_boxplots(days: DataFrame, by: Sequence[str] = (), rule: str = "disc")
             )
         ),
     )
+    return values.groupBy(*group, "metric", "value").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def usage_boxplots(values: DataFrame, by: Sequence[str] = (), rule: str = "disc") -> DataFrame:
+    """Boxplots of sessions, average and total seconds per active day."""
+    group = [*by, "active_day"]
     # one user-day gives one value of every metric, so their number is that of users
-    boxes = quantiles(values, [*group, "metric"], "value", rule=rule, total="unique_users")
+    boxes = quantiles(
+        values, [*group, "metric"], "value", rule=rule, total="unique_users", weight="weight"
+    )
 
     def box(metric: str):
         return F.max(F.when(F.col("metric") == metric, F.col("boxplot")))
@@ -67,10 +75,16 @@ def return_days(
     )
 
 
-def returning_users(returns: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Users back per day since their first, and how many went offline that day."""
+def return_values(returns: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return returns.groupBy(*by, "came_back_day").agg(
-        F.count(F.lit(1)).alias("retention_count"), F.count("went_offline").alias("went_offline")
+        F.count(F.lit(1)).alias("weight"), F.count("went_offline").alias("offline")
+    )
+
+
+def returning_users(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Users back per day since their first, and how many went offline that day."""
+    return values.groupBy(*by, "came_back_day").agg(
+        F.sum("weight").alias("retention_count"), F.sum("offline").alias("went_offline")
     )
 
 
@@ -78,7 +92,7 @@ def retention_boxplots_report(
     events: DataFrame, limit_seconds: int = N.SESSION_LIMIT_SECONDS, rule: str = "disc"
 ) -> DataFrame:
     days = user_days(kept_sessions(session_bounds(events), limit_seconds))
-    return usage_boxplots(days, rule=rule)
+    return usage_boxplots(usage_values(days), rule=rule)
 
 
 def retention_days_report(
@@ -88,4 +102,4 @@ def retention_days_report(
     sliced: bool = False,
 ) -> DataFrame:
     days = user_days(kept_sessions(session_bounds(events), limit_seconds))
-    return returning_users(return_days(days, offline_runs(events, excluded, sliced)))
+    return returning_users(return_values(return_days(days, offline_runs(events, excluded, sliced))))

@@ -2,9 +2,13 @@
 
 Windows share their start, so the log is cut into the stretches between window
 ends. Every per-user table is aggregated per stretch once, combined upwards into
-windows, and only then joined with the small table of who belongs to which
-cohort in which window. The event log is read for the members' events and for
-the membership tests, however many (window, cohort, report) cells there are.
+windows, and only then joined with the table of who belongs to which cohorts in
+which window. The event log is read for the members' events and for the
+membership tests, however many (window, cohort, report) cells there are.
+
+A user's cohorts are one number with a bit per cohort. Rows are added up per
+number first and handed out to the cohorts after that, so the many overlapping
+cohorts do not multiply the per-user rows.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from footfall.plans.skew import join_users
 from footfall.session import small_table, stored
 
 BY = ("date_end", "usergroup")
+MAX_COHORTS = 62
 
 _NINE = (
     "first_time_londoners", "first_time_row", "first_time_row_nolnd",
@@ -41,18 +46,20 @@ _THIRTEEN = (*_ELEVEN, "first_time_londoners_noexp", "first_time_row_noexp")
 class Report:
     """A report: which per-user table it reads and how that adds up.
 
-    Reports over the ``users`` table give aggregate columns in ``totals``; all of
-    them are computed together, one row per cell, with ``zeros`` naming the counts
-    that are 0, not NULL, in a cell without users. Others give a function that
-    returns any number of rows per cell.
+    Reports over the ``users`` table give aggregates in ``totals``, each with the
+    way partial results merge; all of them are computed together, one row per
+    cell, with ``zeros`` naming the counts that are 0, not NULL, in a cell
+    without users. Others have any number of rows per cell: ``weigh`` adds up
+    per-user rows to weighted values and ``rows`` makes the report of those.
     """
 
     name: str
     category_id: str
     title: str
     fields: tuple[str, ...]
-    totals: Callable[[], list[Column]] | None = None
+    totals: Callable[[], list[funnels.Total]] | None = None
     part: str = "users"
+    weigh: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
     rows: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
     usergroups: tuple[str, ...] = ()
     zeros: tuple[str, ...] = ()
@@ -82,15 +89,17 @@ REPORTS: tuple[Report, ...] = (
     Report("retention_boxplots", "retention", "3.1/3.3 Retention",
            ("active_day", "sessions_per_day_boxplot", "avg_usage_per_day_boxplot",
             "total_usage_per_day_boxplot", "unique_users"),
-           part="days", rows=retention.usage_boxplots, usergroups=_ELEVEN),
+           part="days", weigh=retention.usage_values, rows=retention.usage_boxplots, usergroups=_ELEVEN),
     Report("retention_days", "retention", "3.2 Retention",
            ("came_back_day", "retention_count", "went_offline"),
-           part="returns", rows=retention.returning_users, usergroups=_ELEVEN),
+           part="returns", weigh=retention.return_values, rows=retention.returning_users, usergroups=_ELEVEN),
     Report("add_source_counts", "general", "Distribution of pluses (itinerary add).",
            ("it_add_from", "num_of_pluses"),
-           part="sources", rows=distributions.add_source_counts, usergroups=_THIRTEEN),
+           part="sources", weigh=distributions.add_source_values,
+           rows=distributions.add_source_counts, usergroups=_THIRTEEN),
     Report("event_distribution", "general", "Distribution of events.", ("event", "median", "average"),
-           part="counts", rows=distributions.event_distribution, usergroups=_THIRTEEN),
+           part="counts", weigh=distributions.event_values,
+           rows=distributions.event_distribution, usergroups=_THIRTEEN),
 )
 
 
@@ -171,6 +180,9 @@ class Matrix:
         self.limit_seconds = limit_seconds
         wanted = {g for r in self.reports for g in r.groups}
         self.cohorts = [COHORTS[c] for c in COHORTS if c in wanted and (cohorts is None or c in cohorts)]
+        if len(self.cohorts) > MAX_COHORTS:
+            raise ValueError(f"more than {MAX_COHORTS} cohorts")
+        self._bits = {c.name: 1 << i for i, c in enumerate(self.cohorts)}
 
     def _stretch(self, moment: str) -> Column:
         """Number of the first window that contains the moment."""
@@ -182,7 +194,7 @@ class Matrix:
 
     @cached_property
     def members(self) -> DataFrame:
-        """(userid, window, date_end, usergroup, clean): who counts where."""
+        """(userid, window, date_end, cohorts): the cohorts' bits of each user and window."""
         facts = self.facts
         users = (
             facts.first_users.where(self._in_widest("first_join"))
@@ -226,21 +238,19 @@ class Matrix:
                 rule &= F.coalesce(F.col("got") <= window, F.lit(False))
             return rule
 
-        cells = [
-            F.when(
-                inside(spec, window),
-                F.struct(
-                    F.lit(window).alias("window"),
-                    F.lit(end).alias("date_end"),
-                    F.lit(spec.name).alias("usergroup"),
-                    F.lit(spec.drop_experimental).alias("clean"),
-                ),
+        windows = F.array(*[
+            F.struct(
+                F.lit(window).alias("window"),
+                F.lit(end).alias("date_end"),
+                sum(
+                    (F.when(inside(c, window), F.lit(self._bits[c.name])).otherwise(0) for c in self.cohorts),
+                    F.lit(0).cast("bigint"),
+                ).alias("cohorts"),
             )
             for window, end in enumerate(self.ends)
-            for spec in self.cohorts
-        ]
+        ])
         return stored(
-            users.select("userid", F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull())))
+            users.select("userid", F.inline(windows)).where(F.col("cohorts") != 0)
         )
 
     @cached_property
@@ -273,27 +283,41 @@ class Matrix:
         """The same without experimental sessions."""
         return self._parts(without_experimental(self.events, self.facts.experimental))
 
-    def _tagged(self, part: str, names: Sequence[str]) -> DataFrame:
-        """Rows of a per-user table with the cells they count in."""
-        wanted = self.members.where(F.col("usergroup").isin(*names))
-        rows = None
-        for clean in (False, True):
-            if not any(c.drop_experimental == clean for c in self.cohorts if c.name in names):
-                continue
-            source = getattr(self.clean if clean else self.plain, part)
-            who = wanted.where(F.col("clean") == clean).select("userid", "window", *BY)
-            tagged = source.join(who, ["userid", "window"])
-            rows = tagged if rows is None else rows.unionByName(tagged)
-        return rows
-
-    def _names(self, report: Report) -> list[str]:
-        return [c.name for c in self.cohorts if c.name in report.groups]
+    def _tagged(self, part: Parts, table: str) -> DataFrame:
+        """Rows of a per-user table with the cohorts they count in."""
+        return getattr(part, table).join(self.members, ["userid", "window"])
+
+    def _hand_out(self, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        """A row for each named cohort among the row's bits."""
+        pairs = F.array(*[
+            F.struct(F.lit(self._bits[n]).cast("bigint").alias("bit"), F.lit(n).alias("name")) for n in names
+        ])
+        cohorts = F.col("cohorts")
+        mine = F.filter(pairs, lambda c: c["bit"].bitwiseAND(cohorts) != 0)
+        return rows.withColumn("usergroup", F.explode(mine["name"])).drop("cohorts")
+
+    def _over_cohorts(
+        self, names: Sequence[str], table: str, add_up: Callable[[DataFrame], DataFrame]
+    ) -> DataFrame:
+        """``add_up`` per (date_end, cohorts), then one row per cohort."""
+        out = None
+        for clean, part in ((False, "plain"), (True, "clean")):
+            here = [c.name for c in self.cohorts if c.name in names and c.drop_experimental == clean]
+            if here:
+                rows = self._hand_out(add_up(self._tagged(getattr(self, part), table)), here)
+                out = rows if out is None else out.unionByName(rows)
+        return out
 
     def _single(self, reports: Sequence[Report]) -> DataFrame:
         """One row per cell with a struct of fields per report, in one pass."""
         names = [c.name for c in self.cohorts if any(c.name in r.groups for r in reports)]
-        totals = self._tagged("users", names).groupBy(*BY).agg(
-            *[F.struct(*r.totals()).alias(r.name) for r in reports]
+        totals = [(f"{r.name}.{t.name}", t) for r in reports for t in r.totals()]
+
+        def add_up(rows: DataFrame) -> DataFrame:
+            return rows.groupBy("date_end", "cohorts").agg(*[t.column.alias(n) for n, t in totals])
+
+        merged = self._over_cohorts(names, "users", add_up).groupBy(*BY).agg(
+            *[t.merge(f"`{n}`").alias(n) for n, t in totals]
         )
         cells = small_table(
             self.facts.logs.sparkSession, [(end, name) for end in self.ends for name in names],
@@ -301,19 +325,22 @@ class Matrix:
         )
 
         def filled(report: Report) -> Column:
+            values = {f: F.col(f"`{report.name}.{f}`") for f in report.fields}
             return F.struct(*[
-                (F.coalesce(F.col(report.name)[f], F.lit(0)) if f in report.zeros else F.col(report.name)[f]).alias(f)
-                for f in report.fields
+                (F.coalesce(v, F.lit(0)) if f in report.zeros else v).alias(f) for f, v in values.items()
             ]).alias(report.name)
 
-        return cells.join(totals, list(BY), "left").select(*BY, *[filled(r) for r in reports])
+        return cells.join(merged, list(BY), "left").select(*BY, *[filled(r) for r in reports])
 
     def table(self, report: Report) -> DataFrame:
         """One report: (date_end, usergroup) and its fields."""
         if report.totals:
             return self._single([report]).select(*BY, f"{report.name}.*")
-        tagged = self._tagged(report.part, self._names(report))
-        return report.rows(tagged, list(BY)).select(*BY, *report.fields)
+        names = [c.name for c in self.cohorts if c.name in report.groups]
+        weighted = self._over_cohorts(
+            names, report.part, lambda rows: report.weigh(rows, ["date_end", "cohorts"])
+        )
+        return report.rows(weighted, list(BY)).select(*BY, *report.fields)
 
     def tables(self) -> dict[str, DataFrame]:
         return {r.name: self.table(r) for r in self.reports}
