@@ -104,10 +104,11 @@ def quantiles(
             lambda t: F.struct(t["i"].alias("i"), (t["rank"] - before).alias("rank")),
         ).alias("_ranks"),
     ).where(F.size("_ranks") > 0)
-    same_bin = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
-    near = counted.alias("c").join(
-        targets.alias("t"), [*same_bin, F.col("c._bin") == F.col("t._bin")]
-    ).select(*[F.col(f"c.{c}").alias(c) for c in by], "c._bin", "_value", "_n", "_total", "_ranks")
+    # null-safe throughout: a null filter on one side would keep the two sides
+    # from sharing the counts' shuffle
+    same_bin = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in (*by, "_bin")]
+    # the targets are the small side: at most one row per group and point
+    near = counted.alias("c").join(targets.alias("t").hint("shuffle_hash"), same_bin).select(*[F.col(f"c.{c}").alias(c) for c in by], "c._bin", "_value", "_n", "_total", "_ranks")
     inside = Window.partitionBy(*by, "_bin").orderBy("_value")
     hits = (
         near.withColumn("_upto", F.sum("_n").over(inside))
