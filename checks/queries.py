@@ -212,6 +212,11 @@ def first_cities(facts: Facts) -> DataFrame:
     return facts.first_cities
 
 
+@query
+def first_cities_raw(facts: Facts) -> DataFrame:
+    return fact_ops.first_cities(facts.logs, raw=True)
+
+
 @query
 def first_seen_places(facts: Facts) -> DataFrame:
     return fact_ops.first_seen_places(facts.logs).select("userid", "city", us("first_seen").alias("first_seen_us"))
@@ -352,6 +357,11 @@ def step_conversion(facts: Facts) -> DataFrame:
     )
 
 
+@query
+def drop_offs(facts: Facts) -> DataFrame:
+    return funnels.drop_offs_report(londoners(facts), STEPS)
+
+
 @query
 def offline_then_online(facts: Facts) -> DataFrame:
     return funnels.offline_then_online_report(londoners(facts))

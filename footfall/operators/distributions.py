@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall import names as N
+from footfall.functions.aggregates import falling, rising
 from footfall.functions.quantiles import disc_rank, quantiles
 from footfall.functions.scalars import contains_london, json_text, round_half_up, starts_london
 
@@ -36,6 +37,7 @@ def add_source_report(events: DataFrame) -> DataFrame:
         events.where(F.col("event") == ADD_EVENT)
         .groupBy("it_add_from")
         .agg(F.count(F.lit(1)).alias("num_of_pluses"))
+        .orderBy(rising("num_of_pluses"), rising("it_add_from"))
     )
 
 
@@ -50,7 +52,9 @@ def add_source_share(logs: DataFrame) -> DataFrame:
     )
     total = counts.agg(F.sum("counts")).scalar()
     share = F.try_divide(F.col("counts").cast("decimal(20,0)") * 100, total)
-    return counts.select("addfrom", F.round(share, 2).cast("decimal(20,2)").alias("percentage"))
+    return counts.select(
+        "addfrom", F.round(share, 2).cast("decimal(20,2)").alias("percentage")
+    ).orderBy(rising("addfrom"))
 
 
 def events_per_user(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -80,14 +84,18 @@ def event_distribution(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def event_distribution_report(events: DataFrame) -> DataFrame:
-    return event_distribution(event_values(events_per_user(events)))
+    out = event_distribution(event_values(events_per_user(events)))
+    return out.orderBy(falling("median"), rising("event"))
 
 
 # -- map use ----------------------------------------------------------------
 
 
 def details_map_ratio(
-    logs: DataFrame, first_cities: DataFrame, experimental: DataFrame
+    logs: DataFrame,
+    first_cities: DataFrame,
+    experimental: DataFrame,
+    in_london: Callable[[Column], Column] = starts_london,
 ) -> DataFrame:
     """Per London user: map openings per details view, without flagged sessions.
 
@@ -101,7 +109,7 @@ def details_map_ratio(
             F.count_if(F.col("event") == "DetailsChecked").alias("checks"),
         )
     )
-    londoners = first_cities.where(starts_london(F.col("first_city"))).select("userid")
+    londoners = first_cities.where(in_london(F.col("first_city"))).select("userid")
     return (
         per_session.join(experimental, ["userid", "session"], "left_anti")
         .groupBy("userid")
@@ -134,8 +142,12 @@ def map_use(
     )
 
 
-def map_viewers(use: DataFrame, first_cities: DataFrame) -> DataFrame:
-    londoners = first_cities.where(contains_london(F.col("first_city"))).select("userid")
+def map_viewers(
+    use: DataFrame,
+    first_cities: DataFrame,
+    in_london: Callable[[Column], Column] = contains_london,
+) -> DataFrame:
+    londoners = first_cities.where(in_london(F.col("first_city"))).select("userid")
     return use.where(F.col("mapview") > 0).join(londoners, "userid", "left_semi").select("userid")
 
 

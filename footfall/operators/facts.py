@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.functions.scalars import known_city
+from footfall.functions.aggregates import first_known
+from footfall.functions.scalars import json_text, known_city
 from footfall.operators import detectors
 from footfall.plans.skew import HotKeys, add_slice, find_hot
 
@@ -35,14 +36,17 @@ def first_time_users_by_session(logs: DataFrame, ignore_idle: bool = True) -> Da
     )
 
 
-def first_cities(logs: DataFrame) -> DataFrame:
-    """First known city per user; ties are ordered by activation time, then event id."""
+def first_cities(logs: DataFrame, raw: bool = False) -> DataFrame:
+    """First known city per user; ties are ordered by activation time, then event id.
+
+    ``raw`` takes the city the app reported instead of the widened column.
+    """
+    city = json_text(F.col("properties"), N.KEY_CITY) if raw else F.col("city")
     return (
-        logs.where(known_city(F.col("city")))
+        logs.withColumn("_city", city)
+        .where(known_city(F.col("_city")))
         .groupBy("userid")
-        .agg(
-            F.min_by("city", F.struct("created_at", "activation_time", "event_id")).alias("first_city")
-        )
+        .agg(first_known(F.col("_city"), "created_at", "activation_time", "event_id").alias("first_city"))
     )
 
 

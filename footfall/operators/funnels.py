@@ -170,6 +170,39 @@ def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps(
     )
 
 
+def drop_offs_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
+    """Labelled user counts from the whole group down to the unordered funnel."""
+    per_user = events.groupBy("userid").agg(
+        F.count_if(~F.col("event").isin(*N.IDLE_EVENTS)).alias("actions"),
+        F.count_if(F.col("event").isin(*N.ACTIVATION_EVENTS)).alias("activations"),
+        F.count_if(F.col("event") == steps.add).alias("adds"),
+        F.count_if(F.col("event") == steps.view).alias("views"),
+    )
+    rules = (
+        ("Users", F.lit(True)),
+        ("acquisition", F.col("actions") >= 1),
+        ("2.1 activation", F.col("activations") >= 1),
+        ("2.2 activation", F.col("activations") >= 2),
+        ("2.3 activation", (F.col("adds") >= steps.adds) & (F.col("views") >= 1)),
+    )
+    return labelled_counts(per_user, rules)
+
+
+def labelled_counts(per_user: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """``description, count``: users meeting each rule, all counted in one pass."""
+    counts = per_user.agg(*[F.count_if(rule).alias(f"c{i}") for i, (_, rule) in enumerate(rules)])
+    return counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(label).alias("description"), F.col(f"c{i}").alias("count"))
+                    for i, (label, _) in enumerate(rules)
+                ]
+            )
+        )
+    )
+
+
 def step_conversion_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
     """Users, completions and finals with each step's share of the one before."""
     counts = completions_of(events, steps).agg(
@@ -221,17 +254,7 @@ def negative_funnels_report(
         cells.append((f"it_plus >= {k}", F.col("adds") >= k))
         for i, (label, _) in enumerate(absent):
             cells.append((f"it_plus >= {k}, no {label}", (F.col("adds") >= k) & (F.col(f"n{i}") == 0)))
-    counts = per_user.agg(*[F.count_if(c).alias(f"c{i}") for i, (_, c) in enumerate(cells)])
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(label).alias("description"), F.col(f"c{i}").alias("count"))
-                    for i, (label, _) in enumerate(cells)
-                ]
-            )
-        )
-    )
+    return labelled_counts(per_user, cells)
 
 
 def final_frequency_report(

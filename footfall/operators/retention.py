@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
+from footfall.functions.aggregates import rising
 from footfall.functions.quantiles import quantiles
 from footfall.operators.offline import offline_runs
 from footfall.operators.sessions import kept_sessions, session_bounds, user_days
@@ -92,7 +93,7 @@ def retention_boxplots_report(
     events: DataFrame, limit_seconds: int = N.SESSION_LIMIT_SECONDS, rule: str = "disc"
 ) -> DataFrame:
     days = user_days(kept_sessions(session_bounds(events), limit_seconds))
-    return usage_boxplots(usage_values(days), rule=rule)
+    return usage_boxplots(usage_values(days), rule=rule).orderBy(rising("active_day"))
 
 
 def retention_days_report(
@@ -102,4 +103,5 @@ def retention_days_report(
     sliced: bool = False,
 ) -> DataFrame:
     days = user_days(kept_sessions(session_bounds(events), limit_seconds))
-    return returning_users(return_values(return_days(days, offline_runs(events, excluded, sliced))))
+    returns = return_days(days, offline_runs(events, excluded, sliced))
+    return returning_users(return_values(returns)).orderBy(rising("came_back_day"))

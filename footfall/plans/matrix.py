@@ -18,10 +18,11 @@ from dataclasses import dataclass, field
 from datetime import date, timedelta
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall import names as N
+from footfall.functions.aggregates import falling, rising
 from footfall.functions.scalars import in_range, json_text, starts_london
 from footfall.operators import distributions, funnels, offline, retention, sessions
 from footfall.operators.facts import Facts
@@ -50,7 +51,8 @@ class Report:
     way partial results merge; all of them are computed together, one row per
     cell, with ``zeros`` naming the counts that are 0, not NULL, in a cell
     without users. Others have any number of rows per cell: ``weigh`` adds up
-    per-user rows to weighted values and ``rows`` makes the report of those.
+    per-user rows to weighted values and ``rows`` makes the report of those, with
+    ``order`` for the order of the rows.
     """
 
     name: str
@@ -63,6 +65,7 @@ class Report:
     rows: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
     usergroups: tuple[str, ...] = ()
     zeros: tuple[str, ...] = ()
+    order: Callable[[], list[Column]] = lambda: [F.lit(1)]
 
     @property
     def groups(self) -> tuple[str, ...]:
@@ -89,17 +92,21 @@ REPORTS: tuple[Report, ...] = (
     Report("retention_boxplots", "retention", "3.1/3.3 Retention",
            ("active_day", "sessions_per_day_boxplot", "avg_usage_per_day_boxplot",
             "total_usage_per_day_boxplot", "unique_users"),
-           part="days", weigh=retention.usage_values, rows=retention.usage_boxplots, usergroups=_ELEVEN),
+           part="days", weigh=retention.usage_values, rows=retention.usage_boxplots, usergroups=_ELEVEN,
+           order=lambda: [rising("active_day")]),
     Report("retention_days", "retention", "3.2 Retention",
            ("came_back_day", "retention_count", "went_offline"),
-           part="returns", weigh=retention.return_values, rows=retention.returning_users, usergroups=_ELEVEN),
+           part="returns", weigh=retention.return_values, rows=retention.returning_users, usergroups=_ELEVEN,
+           order=lambda: [rising("came_back_day")]),
     Report("add_source_counts", "general", "Distribution of pluses (itinerary add).",
            ("it_add_from", "num_of_pluses"),
            part="sources", weigh=distributions.add_source_values,
-           rows=distributions.add_source_counts, usergroups=_THIRTEEN),
+           rows=distributions.add_source_counts, usergroups=_THIRTEEN,
+           order=lambda: [rising("num_of_pluses"), rising("it_add_from")]),
     Report("event_distribution", "general", "Distribution of events.", ("event", "median", "average"),
            part="counts", weigh=distributions.event_values,
-           rows=distributions.event_distribution, usergroups=_THIRTEEN),
+           rows=distributions.event_distribution, usergroups=_THIRTEEN,
+           order=lambda: [falling("median"), rising("event")]),
 )
 
 
@@ -346,10 +353,11 @@ class Matrix:
         return {r.name: self.table(r) for r in self.reports}
 
     def rows(self) -> DataFrame:
-        """Long result: one JSON row per report row."""
+        """Long result: one JSON row per report row, numbered within its cell."""
 
-        def labels(report: Report, values: Column) -> list[Column]:
+        def labels(report: Report, values: Column, place: Column) -> list[Column]:
             return [
+                place.alias("row"),
                 F.lit(report.category_id).alias("category_id"),
                 F.lit(report.title).alias("title"),
                 F.array(*[F.lit(f) for f in report.fields]).alias("fields"),
@@ -362,7 +370,7 @@ class Matrix:
             listed = [
                 F.when(
                     F.col("usergroup").isin(*r.groups),
-                    F.struct(*labels(r, F.col(r.name))),
+                    F.struct(*labels(r, F.col(r.name), F.lit(1))),
                 )
                 for r in single
             ]
@@ -373,7 +381,11 @@ class Matrix:
             )
         for report in self.reports:
             if not report.totals:
-                out.append(self.table(report).select(*BY, *labels(report, F.struct(*report.fields))))
+                # a cell holds the rows of one report: days, sources or event names
+                place = F.row_number().over(Window.partitionBy(*BY).orderBy(*report.order()))
+                out.append(
+                    self.table(report).select(*BY, *labels(report, F.struct(*report.fields), place))
+                )
         rows = out[0]
         for more in out[1:]:
             rows = rows.unionByName(more)

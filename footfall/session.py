@@ -27,8 +27,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineages: the cluster's own, else a fresh local one.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting (tests, a laptop) gets a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. Without that setting a local
+    session (tests, a laptop) gets a temporary folder and a cluster one beside its
+    tables.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -38,9 +39,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="footfall-checkpoint-")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="footfall-checkpoint-")
+    else:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_footfall_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -29,11 +29,11 @@ def write_report_json(rows: DataFrame, path: str) -> None:
     # texts are put together, so numbers stay as the reports wrote them
     head = F.to_json(F.struct("title", "fields"))
     reports = rows.groupBy("date_start", "usergroup", "date_end", "category_id", "title", "fields").agg(
-        F.collect_list("result").alias("result")
+        F.array_sort(F.collect_list(F.struct("row", "result"))).alias("rows")
     ).withColumn(
         "report",
         F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(',"result":['),
-                 F.concat_ws(",", "result"), F.lit("]}")),
+                 F.concat_ws(",", "rows.result"), F.lit("]}")),
     )
     categories = reports.groupBy("date_start", "usergroup", "date_end", "category_id").agg(
         F.concat(_quoted(F.col("category_id")), F.lit(":["),
@@ -62,7 +62,8 @@ def read_report_json(spark: SparkSession, path: str) -> DataFrame:
         .select("date_start", "date_end", "usergroup", F.explode("categories").alias("category_id", "reports"))
         .select("date_start", "date_end", "usergroup", "category_id", F.inline("reports"))
         .select("date_start", "date_end", "usergroup", "category_id", "title", "fields",
-                F.explode("result").alias("result"))
+                F.posexplode("result").alias("row", "result"))
+        .withColumn("row", F.col("row") + 1)
     )
 
 
@@ -82,7 +83,7 @@ def write_report_csv(rows: DataFrame, path: str) -> dict[str, str]:
     describe = F.create_map(*[
         F.lit(text) for name, spec in COHORTS.items() for text in (name, spec.description)
     ])
-    folders = {}
+    folders, cell = {}, ["date_start", "date_last", "usergroup"]
     for title, fields in sorted((r["title"], tuple(r["fields"])) for r in listed):
         folder = folders[title] = f"{path}/{folder_name(title)}"
         values = F.from_json("result", "map<string,string>")
@@ -96,9 +97,13 @@ def write_report_csv(rows: DataFrame, path: str) -> dict[str, str]:
                 F.coalesce(describe[F.col("usergroup")], F.col("usergroup")).alias("Group"),
                 F.lit(title).alias("Query"),
                 *[F.col("_values")[f].alias(f) for f in fields],
+                "row",
             )
+            .repartition(*cell)
+            .sortWithinPartitions(*cell, "row")
+            .drop("row")
             .write.mode("overwrite")
-            .partitionBy("date_start", "date_last", "usergroup")
+            .partitionBy(*cell)
             .option("header", True)
             .csv(folder)
         )

@@ -104,7 +104,7 @@ def test_json_round_trip(spark, rows, tmp_path):
     assert isinstance(first["categories"]["universe"][0]["result"][0], dict)
     back = read_report_json(spark, path)
     def key(df):
-        return sorted((str(r.date_end), r.usergroup, r.category_id, r.title, json.dumps(json.loads(r.result), sort_keys=True)) for r in df.collect())
+        return sorted((r.row, str(r.date_end), r.usergroup, r.category_id, r.title, json.dumps(json.loads(r.result), sort_keys=True)) for r in df.collect())
     assert key(back) == key(rows)
 
 
@@ -124,6 +124,10 @@ def test_json_to_csv(spark, rows, tmp_path):
     report_json_to_csv(spark, str(tmp_path / "j"), str(tmp_path / "a"))
     write_report_csv(rows, str(tmp_path / "b"))
     name = folder_name("3.1/3.3 Retention")
+    days = [r.active_day for r in spark.read.option("header", True).csv(
+        str(tmp_path / "a" / name / "date_start=2024-01-01" / "date_last=2024-01-30" / "usergroup=first_time_row")
+    ).collect()]
+    assert days == [str(d + 1) for d in range(len(days))] and len(days) > 5
     read = lambda d: plain(spark.read.option("header", True).csv(str(tmp_path / d / name)))
     assert read("a") == read("b") and read("a")
 
