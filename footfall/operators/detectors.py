@@ -45,7 +45,8 @@ def neighbour_places(rows: DataFrame, sliced: bool = False) -> DataFrame:
     )
     return scan(
         rows, _keys(rows), ORDER,
-        {"place_before": LastKnown(place), "place_after": NextKnown(place)},
+        # the backward sort first: what follows runs forward in one order
+        {"place_after": NextKnown(place), "place_before": LastKnown(place)},
         sliced,
     )
 

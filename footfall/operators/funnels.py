@@ -139,15 +139,18 @@ def date_range_report(events: DataFrame) -> DataFrame:
 
 
 def acquisition_report(events: DataFrame) -> DataFrame:
-    return add_up(user_facts(events), users_with("actions", 1))
+    rows = events.where(~F.col("event").isin(*N.IDLE_EVENTS))
+    return add_up(user_facts(rows), users_with("actions", 1))
 
 
 def activation_report(events: DataFrame, at_least: int = 1) -> DataFrame:
-    return add_up(user_facts(events), users_with("activations", at_least))
+    rows = events.where(F.col("event").isin(*N.ACTIVATION_EVENTS))
+    return add_up(user_facts(rows), users_with("activations", at_least))
 
 
 def offline_then_online_report(events: DataFrame) -> DataFrame:
-    return add_up(user_facts(events), offline_then_online())
+    rows = events.where((F.col("event") == "MapIteraction") | is_online(F.col("network")))
+    return add_up(user_facts(rows), offline_then_online())
 
 
 def completions_of(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
@@ -155,8 +158,13 @@ def completions_of(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> Dat
     return with_completion(user_facts(events, steps=steps), kth_time(times, steps.adds))
 
 
+def _funnel_events(events: DataFrame, steps: FunnelSteps) -> DataFrame:
+    """Only what the funnel looks at; the filter reaches the scan."""
+    return events.where(F.col("event").isin(steps.add, steps.view, steps.final))
+
+
 def ordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
-    return add_up(completions_of(events, steps), ordered_funnel())
+    return add_up(completions_of(_funnel_events(events, steps), steps), ordered_funnel())
 
 
 def unordered_funnel_report(events: DataFrame, steps: FunnelSteps = FunnelSteps()) -> DataFrame:
@@ -266,7 +274,7 @@ def final_frequency_report(
     completions, so a heavy user brings few rows to the join.
     """
     counted = counted or steps.final
-    done = completions_of(events, steps).where(F.col("completed_at").isNotNull())
+    done = completions_of(_funnel_events(events, steps), steps).where(F.col("completed_at").isNotNull())
     done = done.select("userid", "completed_at")
     seen = (
         events.where(F.col("event") == counted)
