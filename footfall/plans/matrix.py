@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from footfall.functions.aggregates import falling, rising
 from footfall.functions.scalars import in_range, json_text, starts_london
 from footfall.operators import distributions, funnels, offline, retention, sessions
 from footfall.operators.facts import Facts
-from footfall.plans.cohorts import COHORTS, CohortSpec, without_experimental
+from footfall.plans.cohorts import COHORTS, CohortSpec, Did, without_experimental
 from footfall.plans.skew import join_users
 from footfall.session import small_table, stored
 
@@ -200,32 +200,62 @@ class Matrix:
         return in_range(F.col(moment), self.start, self.ends[-1])
 
     @cached_property
-    def members(self) -> DataFrame:
-        """(userid, window, date_end, cohorts): the cohorts' bits of each user and window."""
-        facts = self.facts
-        users = (
-            facts.first_users.where(self._in_widest("first_join"))
-            .join(facts.first_cities, "userid")
+    def _tests(self) -> dict[Did, str]:
+        """The cohorts' conditions on events, each with a column name."""
+        used = dict.fromkeys(d for c in self.cohorts for d in (c.did, c.did_not) if d)
+        return {d: f"test_{i}" for i, d in enumerate(used)}
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        """First-time users of the widest window: when they joined, and where."""
+        return (
+            self.facts.first_users.where(self._in_widest("first_join"))
+            .join(self.facts.first_cities, "userid")
             .select(
                 "userid",
                 self._stretch("first_join").alias("joined"),
                 starts_london(F.col("first_city")).alias("london"),
             )
         )
-        tests = {d: f"test_{i}" for i, d in enumerate(
-            dict.fromkeys(d for c in self.cohorts for d in (c.did, c.did_not) if d)
-        )}
-        if tests:
-            since = facts.logs.where(F.col("created_at") >= F.lit(self.start))
-            if not any(d.open_end for d in tests):
-                since = since.where(self._in_widest("created_at"))
-            met = since.groupBy("userid").agg(*[
-                F.min(
-                    F.when(d.column, F.lit(0)) if d.open_end
-                    else F.when(d.column & self._in_widest("created_at"), self._stretch("created_at"))
-                ).alias(name)
-                for d, name in tests.items()
-            ])
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Events of all candidates in the widest window, shared by every report.
+
+        Conditions on the window's events are tested here, once per event. Users
+        stay together in the written files, so the per-user aggregations shrink
+        them before any shuffle.
+        """
+        rows = self.facts.logs.where(self._in_widest("created_at"))
+        users = self.candidates.select("userid")
+        return stored(
+            join_users(rows, users, self.facts.hot, "left_semi").select(
+                "userid", "event", "created_at", "session", "activation_time", "network",
+                json_text(F.col("properties"), N.KEY_ADD_SOURCE).alias("it_add_from"),
+                "event_id", "slice",
+                self._stretch("created_at").alias("stretch"),
+                *[d.column.alias(name) for d, name in self._tests.items() if not d.open_end],
+            )
+        )
+
+    @cached_property
+    def members(self) -> DataFrame:
+        """(userid, window, date_end, cohorts): the cohorts' bits of each user and window."""
+        facts, tests, users = self.facts, self._tests, self.candidates
+        inner = [name for d, name in tests.items() if not d.open_end]
+        if inner:
+            met = self.events.groupBy("userid").agg(
+                *[F.min(F.when(F.col(name), F.col("stretch"))).alias(name) for name in inner]
+            )
+            users = users.join(met, "userid", "left")
+        later = {d: name for d, name in tests.items() if d.open_end}
+        if later:
+            some = reduce(Column.__or__, [d.column for d in later])
+            met = (
+                facts.logs.where((F.col("created_at") >= F.lit(self.start)) & some)
+                .groupBy("userid")
+                .agg(*[F.min(F.when(d.column, F.lit(0))).alias(name) for d, name in later.items()])
+            )
             users = users.join(met, "userid", "left")
         if any(c.got_value for c in self.cohorts):
             got = (
@@ -260,24 +290,6 @@ class Matrix:
             users.select("userid", F.inline(windows)).where(F.col("cohorts") != 0)
         )
 
-    @cached_property
-    def events(self) -> DataFrame:
-        """Events of all members in the widest window, shared by every report.
-
-        Users stay together in the written files, so the per-user aggregations
-        shrink them before any shuffle.
-        """
-        rows = self.facts.logs.where(self._in_widest("created_at"))
-        users = self.members.select("userid").distinct()
-        return stored(
-            join_users(rows, users, self.facts.hot, "left_semi").select(
-                "userid", "event", "created_at", "session", "activation_time", "network",
-                json_text(F.col("properties"), N.KEY_ADD_SOURCE).alias("it_add_from"),
-                "event_id", "slice",
-                self._stretch("created_at").alias("stretch"),
-            )
-        )
-
     def _parts(self, events: DataFrame) -> Parts:
         return Parts(events, len(self.ends), self.limit_seconds, self.facts.sliced)
 
