@@ -93,13 +93,20 @@ def add_slice(events: DataFrame, hot: HotKeys | None, key: str = "userid", at: s
     """Add ``slice``: 0 for normal users, 1.. in time order for hot ones."""
     if hot is None:
         return events.withColumn("slice", F.lit(0))
-    cuts = hot.cuts.select(F.col("userid").alias("_hot"), "cuts")
+    cuts = hot.cuts.select(F.col("userid").alias("_hot"), F.col("cuts").alias("_cuts"))
     unit = _unit(F.col(at), hot.unit_seconds)
-    reached = F.size(F.filter("cuts", lambda start: start <= unit))
+    # how many cuts have been reached, by halving steps
+    steps = [MAX_SLICES >> i for i in range(1, MAX_SLICES.bit_length())]
+    reached = F.aggregate(
+        F.array(*map(F.lit, steps)),
+        F.lit(0),
+        lambda done, step: F.when(F.get("_cuts", done + step - 1) <= unit, done + step).otherwise(done),
+    )
+    hot_slice = F.greatest(reached, F.lit(1))
     return (
         events.join(F.broadcast(cuts), F.col(key).cast("string") == F.col("_hot"), "left")
-        .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(F.greatest(reached, F.lit(1))))
-        .drop("_hot", "cuts")
+        .withColumn("slice", F.when(F.col("_cuts").isNotNull(), hot_slice).otherwise(0))
+        .drop("_hot", "_cuts")
     )
 
 
