@@ -169,7 +169,11 @@ class Parts:
 
 
 class Matrix:
-    """Every report for every cohort and conversion window from one start date."""
+    """Every report for every cohort and conversion window from one start date.
+
+    ``cohorts`` restricts the registered cohorts by name and may add specs of
+    one's own; those take part in every report.
+    """
 
     def __init__(
         self,
@@ -177,7 +181,7 @@ class Matrix:
         start: date,
         days: Sequence[int] = N.CONVERSION_DAYS,
         reports: Sequence[Report] = REPORTS,
-        cohorts: Sequence[str] | None = None,
+        cohorts: Sequence[str | CohortSpec] | None = None,
         limit_seconds: int = N.SESSION_LIMIT_SECONDS,
     ) -> None:
         self.facts = facts
@@ -185,8 +189,11 @@ class Matrix:
         self.ends = [start + timedelta(days=d) for d in sorted(days)]
         self.reports = list(reports)
         self.limit_seconds = limit_seconds
-        wanted = {g for r in self.reports for g in r.groups}
-        self.cohorts = [COHORTS[c] for c in COHORTS if c in wanted and (cohorts is None or c in cohorts)]
+        listed = {g for r in self.reports for g in r.groups}
+        named = [c for c in (COHORTS if cohorts is None else cohorts) if isinstance(c, str)]
+        own = [c for c in cohorts or () if isinstance(c, CohortSpec)]
+        self._own = {c.name for c in own}
+        self.cohorts = [COHORTS[c] for c in named if c in listed] + own
         if len(self.cohorts) > MAX_COHORTS:
             raise ValueError(f"more than {MAX_COHORTS} cohorts")
         self._bits = {c.name: 1 << i for i, c in enumerate(self.cohorts)}
@@ -327,9 +334,12 @@ class Matrix:
                 out = rows if out is None else out.unionByName(rows)
         return out
 
+    def _runs_on(self, report: Report, name: str) -> bool:
+        return name in report.groups or name in self._own
+
     def _single(self, reports: Sequence[Report]) -> DataFrame:
         """One row per cell with a struct of fields per report, in one pass."""
-        names = [c.name for c in self.cohorts if any(c.name in r.groups for r in reports)]
+        names = [c.name for c in self.cohorts if any(self._runs_on(r, c.name) for r in reports)]
         totals = [(f"{r.name}.{t.name}", t) for r in reports for t in r.totals()]
 
         def add_up(rows: DataFrame) -> DataFrame:
@@ -355,7 +365,7 @@ class Matrix:
         """One report: (date_end, usergroup) and its fields."""
         if report.totals:
             return self._single([report]).select(*BY, f"{report.name}.*")
-        names = [c.name for c in self.cohorts if c.name in report.groups]
+        names = [c.name for c in self.cohorts if self._runs_on(report, c.name)]
         weighted = self._over_cohorts(
             names, report.part, lambda rows: report.weigh(rows, ["date_end", "cohorts"])
         )
@@ -381,7 +391,7 @@ class Matrix:
         if single:
             listed = [
                 F.when(
-                    F.col("usergroup").isin(*r.groups),
+                    F.col("usergroup").isin(*r.groups, *self._own),
                     F.struct(*labels(r, F.col(r.name), F.lit(1))),
                 )
                 for r in single

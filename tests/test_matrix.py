@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import distributions, funnels, histories, retention
 from footfall.operators.facts import Facts
-from footfall.plans.cohorts import cohort_events
+from footfall.plans.cohorts import CohortSpec, Did, cohort_events
 from footfall.session import stored
 from footfall.plans.matrix import REPORTS, Matrix, run_matrix
 from footfall.sinks.histories import export_histories
@@ -91,6 +91,16 @@ def test_empty_cells_have_their_zeros(facts):
     assert funnel.count() == 45 and funnel.where("transit_view_completed IS NOT NULL").count() == 0
 
 
+def test_own_cohort_takes_part_in_every_report(facts):
+    own = CohortSpec("buyers", "", True, did=Did("event = 'TransitListInfoOpen'"), drop_experimental=True)
+    matrix = Matrix(facts, START, days=(30,), cohorts=[own, "first_time_londoners"], limit_seconds=LIMIT)
+    titles = matrix.rows().groupBy("usergroup").agg(F.count_distinct("title").alias("n"))
+    assert {r.usergroup: r.n for r in titles.collect()} == {"buyers": 11, "first_time_londoners": 11}
+    events = cohort_events(facts, own, START, START + timedelta(days=30))
+    cell = matrix.table(REPORTS[0]).where("usergroup = 'buyers'").first().total_count
+    assert cell == events.select("userid").distinct().count() > 0
+
+
 @pytest.fixture(scope="module")
 def rows(facts):
     return run_matrix(facts, [START], limit_seconds=LIMIT, days=(7, 30), cohorts=["first_time_londoners", "first_time_row"]).cache()
