@@ -27,10 +27,15 @@ from footfall.operators.facts import Facts
 from footfall.plans import templates
 from footfall.plans.cohorts import COHORTS, cohort_events, group_events
 from footfall.plans.matrix import REPORTS, Matrix
-from footfall.session import stored
+from footfall.session import fresh_folder, stored
+from footfall.sinks import histories as history_sink
+from footfall.sinks import reports as report_sink
+from footfall.sinks import tables
 from footfall.sources import events_table
 from footfall.sources.json_events import lift, split_rejects
+from footfall.sources.log_table import append_logs, ingest_increment, read_logs
 from footfall.sources.ranges import date_batches
+from footfall.streaming.ingest import ingest_stream, read_line_stream
 
 START, END = date(2024, 1, 1), date(2024, 1, 31)
 LIMIT = events_table.SESSION_LIMIT_SECONDS
@@ -120,8 +125,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _scan_json_lift(spark: SparkSession, folder: str) -> DataFrame:
-    good, _ = split_rejects(lift(raw_lines(spark, folder)))
+def _lifted(good: DataFrame) -> DataFrame:
     return good.select(
         "userid", "event", F.unix_seconds("created_at").alias("created_s"), long("session").alias("session"),
         "network", long("activation_time").alias("activation_time"), "city",
@@ -129,6 +133,32 @@ def _scan_json_lift(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _scan_json_lift(spark: SparkSession, folder: str) -> DataFrame:
+    return _lifted(split_rejects(lift(raw_lines(spark, folder)))[0])
+
+
+def _landed(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """A folder with the raw lines as files, and one for what becomes of them."""
+    landed = fresh_folder(spark)
+    raw_lines(spark, folder).write.text(landed)
+    return landed, fresh_folder(spark)
+
+
+def _ingest_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads, the second from where the first one ended."""
+    landed, out = _landed(spark, folder)
+    for today in (date(2024, 1, 12), date(2024, 2, 12)):
+        ingest_increment(spark, landed, f"{out}/log", f"{out}/rejects", f"{out}/mark", today)
+    return _lifted(read_logs(spark, f"{out}/log"))
+
+
+def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    landed, out = _landed(spark, folder)
+    run = ingest_stream(read_line_stream(spark, landed), f"{out}/log", f"{out}/rejects", f"{out}/checkpoint")
+    run.awaitTermination()
+    return _lifted(read_logs(spark, f"{out}/log"))
+
+
 def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     _, bad = split_rejects(lift(raw_lines(spark, folder)))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
@@ -145,6 +175,8 @@ def _date_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["scan_json_lift"] = _scan_json_lift
+QUERIES["ingest_increment"] = _ingest_increment
+QUERIES["stream_ingest"] = _stream_ingest
 QUERIES["ingest_rejects"] = _ingest_rejects
 QUERIES["date_batches"] = _date_batches
 
@@ -267,18 +299,94 @@ def offline_totals(facts: Facts) -> DataFrame:
     return offline.offline_totals(facts.logs).withColumn("offline_moment", day_text("offline_moment"))
 
 
+# -- stored tables ------------------------------------------------------------
+
+
+@query
+def log_table(facts: Facts) -> DataFrame:
+    """The log appended by day and read back."""
+    path = fresh_folder(facts.logs.sparkSession)
+    append_logs(facts.logs.drop("slice"), path)
+    return read_logs(facts.logs.sparkSession, path).select(
+        "userid", "event", us("created_at").alias("created_us"), long("session").alias("session"),
+        "network", long("activation_time").alias("activation_time"), "city", "event_id",
+        day_text("event_date").alias("event_date"),
+    )
+
+
+@query
+def facts_tables(facts: Facts) -> DataFrame:
+    spark, path = facts.logs.sparkSession, fresh_folder(facts.logs.sparkSession)
+    tables.refresh_facts(facts.logs, path)
+    users, cities = tables.read_facts(spark, path)
+    return users.join(cities, "userid").select("userid", us("first_join").alias("first_join_us"), "first_city")
+
+
+@query
+def got_value_table(facts: Facts) -> DataFrame:
+    path = fresh_folder(facts.logs.sparkSession)
+    tables.write_got_value(facts.got_value, path)
+    return _got_rows(facts.logs.sparkSession.read.parquet(path))
+
+
+@query
+def experimental_sessions_table(facts: Facts) -> DataFrame:
+    path = fresh_folder(facts.logs.sparkSession)
+    tables.write_experimental_sessions(facts.experimental, path)
+    return facts.logs.sparkSession.read.parquet(path).select("userid", long("session").alias("session"))
+
+
+@query
+def cohort_table(facts: Facts) -> DataFrame:
+    path = fresh_folder(facts.logs.sparkSession)
+    tables.save_cohort(cohort_events(facts, "first_time_londoners_noexp", START, END), path)
+    return _cohort_rows(facts.logs.sparkSession.read.parquet(path))
+
+
+@query
+def history_export(facts: Facts) -> DataFrame:
+    """The exported CSV files of ten users, read back."""
+    path = fresh_folder(facts.logs.sparkSession)
+    users = histories.sample_users(londoners(facts), 10, order=F.md5("userid"))
+    history_sink.export_histories(histories.histories(facts.logs, users), path)
+    rows = facts.logs.sparkSession.read.option("header", True).csv(path)
+    return rows.select("event", "session", "activation_time", "network", "count_value", "userid")
+
+
+def _report_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix as JSON documents, read back and counted by cell."""
+    path = fresh_folder(spark)
+    report_sink.write_report_json(matrix_of(spark, folder).rows(), path)
+    return _cells(report_sink.read_report_json(spark, path))
+
+
+def _report_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix as CSV files; one report read back."""
+    folders = report_sink.write_report_csv(matrix_of(spark, folder).rows(), fresh_folder(spark))
+    rows = spark.read.option("header", True).csv(folders["2.3/2.4 activation"])
+    return rows.select(
+        F.date_add(F.col("date_last").cast("date"), 1).cast("string").alias("date_end"), "usergroup",
+        long("it_plus_plus_view_completed").alias("it_plus_plus_view_completed"),
+        long("transit_view_completed").alias("transit_view_completed"),
+    )
+
+
+QUERIES["report_json"] = _report_json
+QUERIES["report_csv"] = _report_csv
+
+
 # -- cohorts ----------------------------------------------------------------
 
 
-def _cohort_query(name: str) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        rows = cohort_events(facts_of(spark, folder), name, START, END)
-        return rows.select(
-            "userid", "event", us("created_at").alias("created_us"), long("session").alias("session"),
-            long("activation_time").alias("activation_time"), "network", "it_add_from",
-        )
+def _cohort_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "userid", "event", us("created_at").alias("created_us"), long("session").alias("session"),
+        long("activation_time").alias("activation_time"), "network", "it_add_from",
+    )
 
-    return run
+
+def _cohort_query(name: str) -> Query:
+    return lambda spark, folder: _cohort_rows(cohort_events(facts_of(spark, folder), name, START, END))
 
 
 for _name in COHORTS:
@@ -512,14 +620,18 @@ def sql_template(facts: Facts) -> DataFrame:
 # -- detectors --------------------------------------------------------------
 
 
-@query
-def got_value(facts: Facts) -> DataFrame:
-    return facts.got_value.select(
+def _got_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "userid", us("created_at").alias("created_us"), long("session").alias("session"),
         long("activation_time").alias("activation_time"), "city",
     )
 
 
+@query
+def got_value(facts: Facts) -> DataFrame:
+    return _got_rows(facts.got_value)
+
+
 @query
 def experimental_sessions(facts: Facts) -> DataFrame:
     return facts.experimental.select("userid", long("session").alias("session"))
@@ -541,10 +653,7 @@ def _batched(facts: Facts) -> tuple[DataFrame, DataFrame]:
 
 @query
 def got_value_weekly(facts: Facts) -> DataFrame:
-    return _batched(facts)[0].select(
-        "userid", us("created_at").alias("created_us"), long("session").alias("session"),
-        long("activation_time").alias("activation_time"), "city",
-    )
+    return _got_rows(_batched(facts)[0])
 
 
 @query
@@ -620,13 +729,16 @@ for _report in REPORTS:
     QUERIES[f"matrix_{_report.name}"] = _matrix_query(_report)
 
 
-def _report_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """The long result: number of rows in every cell of the matrix."""
-    rows = matrix_of(spark, folder).rows()
+def _cells(rows: DataFrame) -> DataFrame:
     return rows.groupBy(
         day_text("date_start").alias("date_start"), day_text("date_end").alias("date_end"),
         "usergroup", "category_id", "title",
     ).agg(F.count("result").alias("result_rows"))
 
 
+def _report_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The long result: number of rows in every cell of the matrix."""
+    return _cells(matrix_of(spark, folder).rows())
+
+
 QUERIES["report_matrix"] = _report_matrix

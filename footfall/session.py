@@ -62,6 +62,12 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(table)
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A new path of this application in the shared folder."""
+    folder = ensure_checkpoint_dir(spark)
+    return f"{folder.rstrip('/')}/footfall/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def stored(rows: DataFrame) -> DataFrame:
     """Write ``rows`` once to the shared folder and read them back.
 
@@ -69,7 +75,6 @@ def stored(rows: DataFrame) -> DataFrame:
     executors take nothing with them, and scans prune columns as for any table.
     """
     spark = rows.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    path = f"{folder.rstrip('/')}/footfall/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = fresh_folder(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
