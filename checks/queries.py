@@ -32,7 +32,7 @@ from footfall.sinks import histories as history_sink
 from footfall.sinks import reports as report_sink
 from footfall.sinks import tables
 from footfall.sources import events_table
-from footfall.sources.json_events import lift, split_rejects
+from footfall.sources.json_events import normalize_events
 from footfall.sources.log_table import append_logs, ingest_increment, read_logs
 from footfall.sources.ranges import date_batches
 from footfall.streaming.ingest import ingest_stream, read_line_stream
@@ -134,7 +134,7 @@ def _lifted(good: DataFrame) -> DataFrame:
 
 
 def _scan_json_lift(spark: SparkSession, folder: str) -> DataFrame:
-    return _lifted(split_rejects(lift(raw_lines(spark, folder)))[0])
+    return _lifted(normalize_events(raw_lines(spark, folder))[0])
 
 
 def _landed(spark: SparkSession, folder: str) -> tuple[str, str]:
@@ -160,7 +160,7 @@ def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    _, bad = split_rejects(lift(raw_lines(spark, folder)))
+    _, bad = normalize_events(raw_lines(spark, folder))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 

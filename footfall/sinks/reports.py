@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.scalars import last_day_label
 from footfall.plans.cohorts import COHORTS
+from footfall.session import stored
 
 MAX_REPORTS = 1000
 _ROWS = (
@@ -77,6 +78,7 @@ def write_report_csv(rows: DataFrame, path: str) -> dict[str, str]:
     Windows are labelled by their last day. Returns the folder of each title.
     Only the list of reports, which is small, is brought to the driver.
     """
+    rows = stored(rows)  # small, and read once per report
     listed = rows.select("title", "fields").distinct().limit(MAX_REPORTS + 1).collect()
     if len(listed) > MAX_REPORTS:
         raise ValueError(f"more than {MAX_REPORTS} reports")

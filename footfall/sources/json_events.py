@@ -64,16 +64,26 @@ def lift(lines: DataFrame) -> DataFrame:
     )
 
 
-def split_rejects(lifted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Complete rows, and the lines that lack something required with the reason."""
+def mark_rejects(lifted: DataFrame) -> DataFrame:
+    """Add what a row lacks as ``reason``; only incomplete rows keep their raw line."""
     required = ("event", "created_at", "userid", "session", "activation_time")
     reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    marked = lifted.withColumn("reason", reason)
+    return lifted.withColumn("reason", reason).withColumn(
+        "value", F.when(F.col("reason") != "", F.col("value"))
+    )
+
+
+def split_rejects(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Complete rows, and the lines that lack something required with the reason."""
     good = marked.where(F.col("reason") == "").select(*LOG_COLUMNS)
     bad = marked.where(F.col("reason") != "").select("value", "reason")
     return good, bad
 
 
 def normalize_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(log, rejects)`` of raw lines."""
-    return split_rejects(lift(lines))
+    """``(log, rejects)`` of raw lines.
+
+    Whoever uses both should keep ``mark_rejects(lift(lines))`` in between, or
+    the lines are parsed twice.
+    """
+    return split_rejects(mark_rejects(lift(lines)))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.session import small_table
-from footfall.sources.json_events import LOG_COLUMNS, normalize_events, read_lines
+from footfall.session import small_table, stored
+from footfall.sources.json_events import LOG_COLUMNS, lift, mark_rejects, read_lines, split_rejects
 
 
 def with_event_date(log: DataFrame) -> DataFrame:
@@ -79,11 +79,12 @@ def ingest_increment(
     start = last + timedelta(days=1) if last else None
     if start and start > end:
         return None
-    log, rejects = normalize_events(read_lines(spark, source))
     day = F.to_date("created_at")
     due = day <= F.lit(end)
     if start:
         due &= day >= F.lit(start)
+    marked = mark_rejects(lift(read_lines(spark, source)))
+    log, rejects = split_rejects(stored(marked.where(due | (F.col("reason") != ""))))
     replace_days(log.where(due), log_path)
     (
         rejects.withColumn("loaded_to", F.lit(end))

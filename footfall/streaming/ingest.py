@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from footfall.sources.json_events import normalize_events
+from footfall.sources.json_events import lift, mark_rejects, split_rejects
 from footfall.sources.log_table import with_event_date, write_days
 
 LATE = "2 days"
@@ -27,9 +27,9 @@ def ingest_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        marked = mark_rejects(lift(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            log, rejects = normalize_events(batch)
+            log, rejects = split_rejects(marked)
             write_days(
                 with_event_date(log).withColumn("batch_id", F.lit(batch_id)), log_path, "overwrite",
                 ["event_date", "batch_id"],
@@ -40,7 +40,7 @@ def ingest_stream(
                 .partitionBy("batch_id").json(rejects_path)
             )
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write)
