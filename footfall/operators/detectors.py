@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from footfall import names as N
 from footfall.functions.scalars import int_or_zero, is_offline, json_text, known_city
+from footfall.plans.time_range import between
 from footfall.plans.scan import LastKnown, NextKnown, Previous, RunningSum, scan
 from footfall.session import ensure_checkpoint_dir
 
@@ -27,9 +28,7 @@ def with_batch(logs: DataFrame, anchor: date | str, end: date | str | None, days
     Events before the anchor or from ``end`` on are outside every batch.
     """
     start = F.lit(anchor).cast("date")
-    rows = logs.where(F.col("created_at") >= start)
-    if end is not None:
-        rows = rows.where(F.col("created_at") < F.lit(end).cast("date"))
+    rows = between(logs, start, None if end is None else F.lit(end).cast("date"))
     return rows.withColumn("batch", F.floor(F.datediff(F.to_date("created_at"), start) / days).cast("int"))
 
 

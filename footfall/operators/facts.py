@@ -14,6 +14,7 @@ from footfall.functions.aggregates import first_known
 from footfall.functions.scalars import json_text, known_city
 from footfall.operators import detectors
 from footfall.plans.skew import HotKeys, add_slice, find_hot
+from footfall.plans.time_range import between
 
 
 def first_time_users(logs: DataFrame) -> DataFrame:
@@ -97,6 +98,10 @@ class Facts:
     def sliced(self) -> bool:
         return self.hot is not None
 
+    def between(self, start, end=None) -> DataFrame:
+        """Log rows of ``[start, end)``, or from ``start`` on; prunes a log stored by day."""
+        return between(self.logs, start, end)
+
     @cached_property
     def first_users(self) -> DataFrame:
         return self._keep(first_time_users(self.logs))

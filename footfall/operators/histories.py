@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.functions.scalars import in_range, json_text
+from footfall.functions.scalars import json_text
+from footfall.plans.time_range import between
 
 
 def users_between(logs: DataFrame, start, end) -> DataFrame:
-    return logs.where(in_range(F.col("created_at"), start, end)).select("userid").distinct()
+    return between(logs, start, end).select("userid").distinct()
 
 
 def sample_users(

@@ -89,10 +89,8 @@ COHORTS: dict[str, CohortSpec] = {
 
 
 def _users_who(facts: Facts, did: Did, start, end) -> DataFrame:
-    inside = F.col("created_at") >= F.lit(start)
-    if not did.open_end:
-        inside = in_range(F.col("created_at"), start, end)
-    return facts.logs.where(inside & did.column).select("userid").distinct()
+    rows = facts.between(start, None if did.open_end else end)
+    return rows.where(did.column).select("userid").distinct()
 
 
 def members(facts: Facts, spec: CohortSpec, start, end) -> DataFrame:
@@ -126,7 +124,7 @@ def cohort_events(facts: Facts, spec: CohortSpec | str, start, end) -> DataFrame
     """
     if isinstance(spec, str):
         spec = COHORTS[spec]
-    events = facts.logs.where(in_range(F.col("created_at"), start, end))
+    events = facts.between(start, end)
     events = join_users(events, members(facts, spec, start, end), facts.hot, "left_semi")
     if spec.drop_experimental:
         events = without_experimental(events, facts.experimental)

@@ -33,6 +33,8 @@ from footfall.session import small_table, stored
 BY = ("date_end", "usergroup")
 MAX_COHORTS = 62
 
+# The cohorts each report is made for, and the reports' names,
+# titles and fields further down.
 _NINE = (
     "first_time_londoners", "first_time_row", "first_time_row_nolnd",
     "first_time_londoners_transit", "first_time_londoners_variant_1_branch_0",
@@ -233,7 +235,7 @@ class Matrix:
         stay together in the written files, so the per-user aggregations shrink
         them before any shuffle.
         """
-        rows = self.facts.logs.where(self._in_widest("created_at"))
+        rows = self.facts.between(self.start, self.ends[-1])
         users = self.candidates.select("userid")
         return stored(
             join_users(rows, users, self.facts.hot, "left_semi").select(
@@ -259,7 +261,8 @@ class Matrix:
         if later:
             some = reduce(Column.__or__, [d.column for d in later])
             met = (
-                facts.logs.where((F.col("created_at") >= F.lit(self.start)) & some)
+                facts.between(self.start)
+                .where(some)
                 .groupBy("userid")
                 .agg(*[F.min(F.when(d.column, F.lit(0))).alias(name) for d, name in later.items()])
             )

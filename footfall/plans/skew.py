@@ -21,7 +21,7 @@ from footfall.session import small_table
 
 MAX_HOT = 1024
 MAX_SLICES = 256
-MAX_ROWS = 5_000_000
+MAX_ROWS = 500_000
 UNIT_SECONDS = 60
 
 

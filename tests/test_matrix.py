@@ -31,7 +31,7 @@ def facts_of(spark, max_rows):
 
 @pytest.fixture(scope="module")
 def facts(spark):
-    return facts_of(spark, 5_000_000)
+    return facts_of(spark, 500_000)
 
 
 @pytest.fixture(scope="module")
