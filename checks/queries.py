@@ -105,7 +105,7 @@ def londoners(facts: Facts) -> DataFrame:
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The events as JSON lines, some with missing, odd or null properties."""
     configure(spark)
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    k = F.regexp_extract("props", "([0-9]+)", 1).try_cast("int")
     return spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type", k.alias("k")).select(
         F.concat(
             F.lit('{"event": "'), F.col("event_type"),

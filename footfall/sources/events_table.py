@@ -56,7 +56,7 @@ def to_log(raw: DataFrame, hot: HotKeys | None) -> DataFrame:
         F.col("user_id").cast("string").alias("userid"),
         "event_type",
         F.col("ts").cast("timestamp").alias("created_at"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+        F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("k"),
         (
             F.dayofyear("ts") * 86400 + F.hour("ts") * 3600
             + F.minute("ts") * 60 + F.second("ts")
