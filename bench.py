@@ -63,6 +63,9 @@ def main() -> None:
     for table in ("first_users", "first_cities", "got_value", "experimental"):
         getattr(facts, table)
     jobs |= {name: (lambda n=name: finish(Q.QUERIES[n](spark, folder))) for name in HEADLINE}
+    jobs["detect_both"] = lambda: [
+        finish(rows) for rows in detectors.detect(facts.logs, places, sliced=facts.sliced, keep=stored)
+    ]
     jobs["got_value"] = lambda: finish(detectors.got_value(facts.logs, places, sliced=facts.sliced))
     jobs["experimental_sessions"] = lambda: finish(
         detectors.experimental_sessions(facts.logs, sliced=facts.sliced)

@@ -7,7 +7,8 @@ one sort order serve all of them and no history is ever held as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from footfall import names as N
 from footfall.functions.scalars import int_or_zero, is_offline, json_text, known_city
+from footfall.plans.scan import LastKnown, NextKnown, Previous, RunningSum, Step, scan
 from footfall.plans.time_range import between
-from footfall.plans.scan import LastKnown, NextKnown, Previous, RunningSum, scan
 from footfall.session import ensure_checkpoint_dir
 
 ORDER = ("created_at", "activation_time", "event_id")
@@ -36,18 +37,87 @@ def _keys(rows: DataFrame) -> list[str]:
     return ["userid", "batch"] if "batch" in rows.columns else ["userid"]
 
 
-def neighbour_places(rows: DataFrame, sliced: bool = False) -> DataFrame:
-    """Add the previous and next known place, each with its activation time."""
-    place = F.when(
-        known_city(F.col("city")),
-        F.struct(F.col("city").alias("city"), F.col("activation_time").alias("at")),
-    )
-    return scan(
-        rows, _keys(rows), ORDER,
-        # the backward sort first: what follows runs forward in one order
-        {"place_after": NextKnown(place), "place_before": LastKnown(place)},
-        sliced,
-    )
+@dataclass(frozen=True)
+class GotValueRule:
+    """When an offline run counts as having got the value."""
+
+    excluded: tuple[str, ...] = N.DETECTOR_EXCLUDED
+    interval: int = N.OFFLINE_SECONDS
+    min_events: int = N.OFFLINE_MIN_EVENTS
+
+
+def mark(
+    logs: DataFrame,
+    rule: GotValueRule | None = None,
+    experimental: bool = False,
+    places: bool = False,
+    poi_rule: bool = True,
+    sliced: bool = False,
+) -> DataFrame:
+    """Add the asked-for columns to every event, all in two passes over one order.
+
+    ``rule``: ``hit``, the event at which an offline run has lasted long enough.
+    Within a run of offline events, an event after the first qualifies when at
+    least ``interval`` seconds have passed and it is at least the
+    ``min_events``-th of the run or a map interaction. Excluded events neither
+    count nor end a run; any other event that is not offline ends it.
+
+    ``experimental``: ``flagged``, an event at which the session looks like trying
+    out the app, counted from where the session began.
+
+    ``places``: ``place_before`` and ``place_after``, the previous and next known
+    place with their activation times.
+    """
+    keys, at, event = _keys(logs), F.col("activation_time"), F.col("event")
+    first: dict[str, Step] = {}
+    second: dict[str, Step] = {}
+    flags: dict[str, Column] = {}
+    if places:
+        place = F.when(known_city(F.col("city")), F.struct(F.col("city").alias("city"), at.alias("at")))
+        # the backward sort comes first: all that follows runs forward in one order
+        first |= {"place_after": NextKnown(place), "place_before": LastKnown(place)}
+    if rule:
+        counts = ~event.isin(*rule.excluded)
+        offline = counts & is_offline(F.col("network"))
+        starts = offline & ~is_offline(F.col("_before.network"))
+        first["_position"] = RunningSum(F.when(counts, 1).otherwise(0))
+        first["_before"] = LastKnown(F.when(counts, F.struct(F.col("network").alias("network"))))
+        run = F.struct(at.alias("at"), F.col("_position").alias("position"))
+        second["_start"] = LastKnown(F.when(starts, run), inclusive=True)
+        size = F.col("_position") - F.col("_start.position") + 1
+        enough = (size >= rule.min_events) | (event == "MapIteraction")
+        flags["hit"] = offline & ~starts & (at - F.col("_start.at") >= rule.interval) & enough
+    if experimental:
+        add, remove, detail = (
+            F.coalesce((event == name).cast("int"), F.lit(0))
+            for name in ("ItineraryAdd", "ItineraryRemove", "DetailsChecked")
+        )
+        first |= {
+            "_session": Previous(F.col("session")),
+            "_adds": RunningSum(add), "_removes": RunningSum(remove), "_details": RunningSum(detail),
+        }
+        begins = ~F.col("session").eqNullSafe(F.col("_session"))
+        base = F.struct(
+            at.alias("at"),
+            (F.col("_adds") - add).alias("adds"),
+            (F.col("_removes") - remove).alias("removes"),
+            (F.col("_details") - detail).alias("details"),
+        )
+        second["_base"] = LastKnown(F.when(begins, base), inclusive=True)
+        adds = F.col("_adds") - F.col("_base.adds")
+        changes = adds + F.col("_removes") - F.col("_base.removes")
+        details = F.col("_details") - F.col("_base.details")
+        too_fast = (changes >= N.MIN_CHANGES) & (at - F.col("_base.at") < changes * N.SECONDS_PER_CHANGE)
+        unread = (adds >= N.MIN_CHANGES) & (adds > details * N.ADD_TO_DETAILS_RATIO)
+        flags["flagged"] = too_fast | unread
+        if poi_rule:
+            poi = int_or_zero(json_text(F.col("properties"), N.KEY_COUNT))
+            flags["flagged"] |= (event == "ItineraryAdd") & (poi > N.MAX_REAL_POI)
+    rows = scan(logs, keys, ORDER, first, sliced)
+    if second:
+        rows = scan(rows, keys, ORDER, second, sliced)
+    helpers = [c for c in (*first, *second) if c.startswith("_")]
+    return rows.withColumns(flags).drop(*helpers)
 
 
 def choose_place(compat: bool = False) -> Column:
@@ -86,64 +156,24 @@ def closest_location(
     logs: DataFrame, gazetteer: DataFrame, compat: bool = False, sliced: bool = False
 ) -> DataFrame:
     """Every event with the region of its closest known place."""
-    rows = neighbour_places(logs, sliced).withColumn("place", choose_place(compat))
+    rows = mark(logs, places=True, sliced=sliced).withColumn("place", choose_place(compat))
     return resolve_region(rows, gazetteer, "place", "location").drop("place_before", "place_after")
 
 
 def got_value_hits(
-    logs: DataFrame,
-    excluded: Sequence[str] = N.DETECTOR_EXCLUDED,
-    interval: int = N.OFFLINE_SECONDS,
-    min_events: int = N.OFFLINE_MIN_EVENTS,
-    sliced: bool = False,
+    logs: DataFrame, rule: GotValueRule = GotValueRule(), sliced: bool = False
 ) -> DataFrame:
-    """Events at which an offline run has lasted long enough.
-
-    Within a run of offline events, an event after the first qualifies when at
-    least ``interval`` seconds have passed and it is at least the
-    ``min_events``-th of the run or a map interaction. Excluded events neither
-    count nor end a run; any other event that is not offline ends it.
-    """
-    counts = ~F.col("event").isin(*excluded)
-    offline = counts & is_offline(F.col("network"))
-    rows = scan(
-        logs, _keys(logs), ORDER,
-        {
-            "_position": RunningSum(F.when(counts, 1).otherwise(0)),
-            "_before": LastKnown(F.when(counts, F.struct(F.col("network").alias("network")))),
-        },
-        sliced,
-    )
-    starts = offline & ~is_offline(F.col("_before.network"))
-    run_start = F.when(
-        starts, F.struct(F.col("activation_time").alias("at"), F.col("_position").alias("position"))
-    )
-    rows = scan(rows, _keys(logs), ORDER, {"_start": LastKnown(run_start, inclusive=True)}, sliced)
-    lasted = F.col("activation_time") - F.col("_start.at") >= interval
-    size = F.col("_position") - F.col("_start.position") + 1
-    enough = (size >= min_events) | (F.col("event") == "MapIteraction")
-    return rows.where(offline & ~starts & lasted & enough).drop("_position", "_before", "_start")
+    """Events at which an offline run has lasted long enough."""
+    return mark(logs, rule, sliced=sliced).where("hit").drop("hit")
 
 
-def got_value(
-    logs: DataFrame,
-    gazetteer: DataFrame,
-    excluded: Sequence[str] = N.DETECTOR_EXCLUDED,
-    interval: int = N.OFFLINE_SECONDS,
-    min_events: int = N.OFFLINE_MIN_EVENTS,
-    compat: bool = False,
-    sliced: bool = False,
-) -> DataFrame:
+def first_hits(hits: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """First got-value moment per user: session, time and closest region.
 
-    With a ``batch`` column histories do not cross batches and the first batch
-    with a hit wins. Places are looked up in the whole history, also among
-    events the detector skips.
+    With a ``batch`` column the first batch with a hit wins.
     """
-    rows = neighbour_places(logs, sliced).withColumn("place", choose_place(compat))
-    hits = got_value_hits(rows, excluded, interval, min_events, sliced)
     hit = F.struct("created_at", "session", "activation_time", "place")
-    place_in_order = [*(c for c in _keys(logs) if c != "userid"), *ORDER]
+    place_in_order = [*(c for c in _keys(hits) if c != "userid"), *ORDER]
     first = (
         hits.groupBy("userid")
         .agg(F.min_by(hit, F.struct(*place_in_order)).alias("hit"))
@@ -154,44 +184,20 @@ def got_value(
     )
 
 
-def _experimental_flags(rows: DataFrame, poi_rule: bool, sliced: bool) -> DataFrame:
-    """Rows at which a session looks experimental, counted from where it began."""
-    keys = _keys(rows)
-    add = (F.col("event") == "ItineraryAdd").cast("int")
-    remove = (F.col("event") == "ItineraryRemove").cast("int")
-    detail = (F.col("event") == "DetailsChecked").cast("int")
-    rows = scan(
-        rows, keys, ORDER,
-        {
-            "_session": Previous(F.col("session")),
-            "_adds": RunningSum(F.coalesce(add, F.lit(0))),
-            "_removes": RunningSum(F.coalesce(remove, F.lit(0))),
-            "_details": RunningSum(F.coalesce(detail, F.lit(0))),
-        },
-        sliced,
-    )
-    begins = ~F.col("session").eqNullSafe(F.col("_session"))
-    base = F.when(
-        begins,
-        F.struct(
-            F.col("activation_time").alias("at"),
-            (F.col("_adds") - add).alias("adds"),
-            (F.col("_removes") - remove).alias("removes"),
-            (F.col("_details") - detail).alias("details"),
-        ),
-    )
-    rows = scan(rows, keys, ORDER, {"_base": LastKnown(base, inclusive=True)}, sliced)
-    adds = F.col("_adds") - F.col("_base.adds")
-    changes = adds + F.col("_removes") - F.col("_base.removes")
-    details = F.col("_details") - F.col("_base.details")
-    seconds = F.col("activation_time") - F.col("_base.at")
-    too_fast = (changes >= N.MIN_CHANGES) & (seconds < changes * N.SECONDS_PER_CHANGE)
-    unread = (adds >= N.MIN_CHANGES) & (adds > details * N.ADD_TO_DETAILS_RATIO)
-    flagged = too_fast | unread
-    if poi_rule:
-        poi = int_or_zero(json_text(F.col("properties"), N.KEY_COUNT))
-        flagged = flagged | ((F.col("event") == "ItineraryAdd") & (poi > N.MAX_REAL_POI))
-    return rows.where(flagged)
+def got_value(
+    logs: DataFrame,
+    gazetteer: DataFrame,
+    rule: GotValueRule = GotValueRule(),
+    compat: bool = False,
+    sliced: bool = False,
+) -> DataFrame:
+    """First got-value moment of each user.
+
+    Places are looked up in the whole history, also among events the detector
+    skips. With a ``batch`` column histories do not cross batches.
+    """
+    rows = mark(logs, rule, places=True, sliced=sliced).where("hit")
+    return first_hits(rows.withColumn("place", choose_place(compat)), gazetteer)
 
 
 def experimental_sessions(
@@ -206,10 +212,14 @@ def experimental_sessions(
     gives the exact answer when sessions interleave: events of a session that
     is already flagged are then skipped and do not reset other sessions.
     """
-    rows = logs.select(*_keys(logs), *ORDER, "session", "event", "properties", *(["slice"] if sliced else []))
-    if not strict_order:
-        return _experimental_flags(rows, poi_rule, sliced).select("userid", "session").distinct()
-    return _strict_experimental(rows, poi_rule, sliced).select("userid", "session").distinct()
+    if strict_order:
+        rows = logs.select(
+            *_keys(logs), *ORDER, "session", "event", "properties", *(["slice"] if sliced else [])
+        )
+        flagged = _strict_experimental(rows, poi_rule, sliced)
+    else:
+        flagged = mark(logs, experimental=True, poi_rule=poi_rule, sliced=sliced).where("flagged")
+    return flagged.select("userid", "session").distinct()
 
 
 def _strict_experimental(rows: DataFrame, poi_rule: bool, sliced: bool) -> DataFrame:
@@ -227,7 +237,8 @@ def _strict_experimental(rows: DataFrame, poi_rule: bool, sliced: bool) -> DataF
 
     def flags(live: DataFrame) -> DataFrame:
         return (
-            _experimental_flags(live, poi_rule, sliced)
+            mark(live, experimental=True, poi_rule=poi_rule, sliced=sliced)
+            .where("flagged")
             .groupBy(*keys, "session")
             .agg(F.min(place).alias("flagged_at"))
         )
@@ -262,13 +273,29 @@ def detect(
     anchor: date | str | None = None,
     end: date | str | None = None,
     days: int = N.DETECTOR_BATCH_DAYS,
+    rule: GotValueRule = GotValueRule(),
     compat: bool = False,
     strict_order: bool = False,
     sliced: bool = False,
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both detectors; with ``anchor`` in batches of ``days`` days, clipped at ``end``."""
+    """Got-value moments and experimental sessions, from one ordering of the log.
+
+    With ``anchor`` in batches of ``days`` days, clipped at ``end``. ``keep`` is
+    applied to the marked events both results come from; written out, the log
+    is shuffled and sorted once for both.
+    """
     rows = logs if anchor is None else with_batch(logs, anchor, end, days)
-    return (
-        got_value(rows, gazetteer, compat=compat, sliced=sliced),
-        experimental_sessions(rows, strict_order=strict_order, sliced=sliced),
+    marked = mark(rows, rule, experimental=not strict_order, places=True, sliced=sliced)
+    if strict_order:
+        marked = marked.withColumn("flagged", F.lit(False))
+    marked = keep(
+        marked.where(F.col("hit") | F.col("flagged"))
+        .withColumn("place", choose_place(compat))
+        .select(*_keys(rows), *ORDER, "session", "place", "hit", "flagged")
     )
+    if strict_order:
+        flagged = experimental_sessions(rows, strict_order=True, sliced=sliced)
+    else:
+        flagged = marked.where("flagged").select("userid", "session").distinct()
+    return first_hits(marked.where("hit"), gazetteer), flagged

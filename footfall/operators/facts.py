@@ -111,14 +111,18 @@ class Facts:
         return self._keep(first_cities(self.logs))
 
     @cached_property
-    def got_value(self) -> DataFrame:
+    def _detected(self) -> tuple[DataFrame, DataFrame]:
         if self._gazetteer is None:
-            raise ValueError("got-value facts need a gazetteer or the finished table")
-        return self._keep(detectors.got_value(self.logs, self._gazetteer, sliced=self.sliced))
+            raise ValueError("detections need a gazetteer, or give the finished tables")
+        return detectors.detect(self.logs, self._gazetteer, sliced=self.sliced, keep=self._keep)
+
+    @cached_property
+    def got_value(self) -> DataFrame:
+        return self._keep(self._detected[0])
 
     @cached_property
     def experimental(self) -> DataFrame:
-        return self._keep(detectors.experimental_sessions(self.logs, sliced=self.sliced))
+        return self._keep(self._detected[1])
 
     def with_detections(self, got_value: DataFrame, experimental: DataFrame) -> Facts:
         """The same facts with detections made elsewhere."""

@@ -30,10 +30,9 @@ def test_first_adds_are_limited_before_the_shuffle(spark, make_log, tmp_path):
 
 def test_detectors_shuffle_a_log_once(spark, make_log, tmp_path):
     log = stored_log(spark, make_log, tmp_path)
-    hits = detectors.got_value_hits(detectors.neighbour_places(log))
-    assert plan_of(hits).count("Exchange hashpartitioning") == 1
-    flags = detectors._experimental_flags(log, True, False)
-    assert plan_of(flags).count("Exchange hashpartitioning") == 1
+    marked = detectors.mark(log, detectors.GotValueRule(), experimental=True, places=True)
+    plan = plan_of(marked)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort") == 2
 
 
 def test_windows_prune_days_of_a_stored_log(spark, make_log, tmp_path):
