@@ -111,12 +111,14 @@ def mark(
         unread = (adds >= N.MIN_CHANGES) & (adds > details * N.ADD_TO_DETAILS_RATIO)
         flags["flagged"] = too_fast | unread
         if poi_rule:
+            # read before the shuffle, which then carries no properties
             poi = int_or_zero(json_text(F.col("properties"), N.KEY_COUNT))
-            flags["flagged"] |= (event == "ItineraryAdd") & (poi > N.MAX_REAL_POI)
+            logs = logs.withColumn("_poi", F.when(event == "ItineraryAdd", poi))
+            flags["flagged"] |= F.coalesce(F.col("_poi") > N.MAX_REAL_POI, F.lit(False))
     rows = scan(logs, keys, ORDER, first, sliced)
     if second:
         rows = scan(rows, keys, ORDER, second, sliced)
-    helpers = [c for c in (*first, *second) if c.startswith("_")]
+    helpers = [c for c in rows.columns if c.startswith("_")]
     return rows.withColumns(flags).drop(*helpers)
 
 
