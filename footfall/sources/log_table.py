@@ -71,7 +71,9 @@ def ingest_increment(
 
     Whole days are replaced, so a run that failed halfway can be repeated. The
     mark moves on only after the data is written; it is appended, never
-    rewritten. Returns the inclusive range, or None when nothing is due.
+    rewritten. Rejects are those of all lines of ``source``, by load, since a line
+    without a time belongs to no day. Returns the inclusive range, or None when
+    nothing is due.
     """
     today = today or datetime.now(timezone.utc).date()
     end = today - timedelta(days=lag_days)
