@@ -377,6 +377,18 @@ class Matrix:
     def tables(self) -> dict[str, DataFrame]:
         return {r.name: self.table(r) for r in self.reports}
 
+    def cells(self) -> DataFrame:
+        """Every (window, cohort, report), whether it has rows or not."""
+        listed = [
+            (self.start, end, c.name, r.category_id, r.title, list(r.fields))
+            for end in self.ends for c in self.cohorts for r in self.reports if self._runs_on(r, c.name)
+        ]
+        return small_table(
+            self.facts.logs.sparkSession, listed,
+            "date_start date, date_end date, usergroup string, category_id string, title string, "
+            "fields array<string>",
+        )
+
     def rows(self) -> DataFrame:
         """Long result: one JSON row per report row, numbered within its cell."""
 

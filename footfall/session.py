@@ -55,7 +55,7 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     fields = spark.createDataFrame([], schema).schema.fields
     columns = list(zip(*rows)) if rows else [()] * len(fields)
     types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "date": pa.date32(),
-             "array<bigint>": pa.list_(pa.int64())}
+             "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
     table = pa.table({
         f.name: pa.array(values, types[f.dataType.simpleString()]) for f, values in zip(fields, columns)
     })

@@ -22,15 +22,20 @@ _ROWS = (
 )
 
 
-def write_report_json(rows: DataFrame, path: str) -> None:
+def write_report_json(rows: DataFrame, path: str, cells: DataFrame | None = None) -> None:
     """One document per start, cohort and end, with the reports by category.
 
+    ``cells`` lists reports that shall appear even when they have no rows.
+
     ``{"date_start", "usergroup", "date_end", "categories": {id: [{title, fields, result}]}}``
     """
+    if cells is not None:
+        rows = rows.unionByName(cells, allowMissingColumns=True)
+    line = F.when(F.col("result").isNotNull(), F.struct("row", "result"))
     # texts are put together, so numbers stay as the reports wrote them
     head = F.to_json(F.struct("title", "fields"))
     reports = rows.groupBy("date_start", "usergroup", "date_end", "category_id", "title", "fields").agg(
-        F.array_sort(F.collect_list(F.struct("row", "result"))).alias("rows")
+        F.array_sort(F.collect_list(line)).alias("rows")
     ).withColumn(
         "report",
         F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(',"result":['),

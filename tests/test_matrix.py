@@ -118,6 +118,17 @@ def test_json_round_trip(spark, rows, tmp_path):
     assert key(back) == key(rows)
 
 
+def test_reports_without_rows_are_listed(spark, facts, tmp_path):
+    matrix = Matrix(facts, date(2030, 1, 1), days=(7,))
+    assert matrix.cells().count() == 111
+    write_report_json(matrix.rows(), str(tmp_path), matrix.cells())
+    documents = [json.loads(r[0]) for r in spark.read.text(str(tmp_path)).collect()]
+    assert len(documents) == 13
+    reports = [q for d in documents for c in d["categories"].values() for q in c]
+    assert len(reports) == 111
+    assert {q["title"]: q["result"] for q in reports}["Distribution of events."] == []
+
+
 def test_csv_sections(spark, rows, tmp_path):
     folders = write_report_csv(rows, str(tmp_path / "csv"))
     assert len(folders) == len(REPORTS)
