@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language, near_dedup
+from . import decontamination, exact_dedup, language, near_dedup, segmentation
 from .common import table
 
 
@@ -18,6 +19,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return segmentation.sampled_segmentations(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,8 +32,15 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op4_exact_dedup, op6_decontamination, op8_near_dedup)
+    f.__name__: f
+    for f in (op1_language_id, op4_exact_dedup, op5_sentencepiece, op6_decontamination, op8_near_dedup, pipeline)
 }
 
 ORACLES: dict[str, str] = {
