@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language, near_dedup, segmentation
+from . import decontamination, exact_dedup, language, language_model, line_dedup, near_dedup, segmentation, token_files, toxicity, warc
 from .common import table
 
 
@@ -15,6 +15,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_chunks", "n_removed", "lines_removed", "text")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,10 +37,23 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(spark, files, with_ids=False)
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -40,7 +62,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op4_exact_dedup, op5_sentencepiece, op6_decontamination, op8_near_dedup, pipeline)
+    for f in (
+        op1_language_id, op2_toxicity, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_decontamination, op7_token_files, op8_near_dedup,
+        op9_warc, op10_lm_score, pipeline,
+    )
 }
 
 ORACLES: dict[str, str] = {
@@ -49,4 +74,10 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_warc": """
+        SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN strlen(body) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN strlen(body) >= 1000 AND page_id < last THEN last END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+    """,
 }
