@@ -12,7 +12,7 @@ from ..session import stored
 #: Ids up to this many (8 bytes each, 8 MB) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Rows of one Arrow batch: bounds what a Python worker holds at once.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

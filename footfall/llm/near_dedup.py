@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import components, only_ids, small_batches
+from .common import BROADCAST_IDS, components, only_ids, small_batches
 
 WORDS = 5
 BANDS = 10
@@ -39,7 +39,7 @@ BLOCK = 256
 #: Equal minhashes of 40 below which similarity 0.75 is ruled out: 4.4 standard deviations.
 AGREE = 18
 #: Words whose hashes a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(8)
@@ -123,7 +123,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets have 100 * intersection >= 75 * union.
 
-    Sets travel once per pair, to the pair's centre ``v``.
+    Sets travel once per pair, to the pair's centre ``v``; few pairs are broadcast to them.
     """
     ids = stored(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct())
     sets = stored(
@@ -131,7 +131,9 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
     left = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
     right = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    both = pairs.select("u", "v").join(left, "u").join(right, "v")
+    pairs = pairs.select("u", "v")
+    few = pairs.count() <= BROADCAST_IDS // 2
+    both = left.join(F.broadcast(pairs) if few else pairs, "u").join(right, "v")
     shared = F.size(F.array_intersect("su", "sv"))
     union = F.size("su") + F.size("sv") - F.col("shared")
     return both.withColumn("shared", shared).where(100 * F.col("shared") >= 75 * union).select("u", "v").distinct()

@@ -43,7 +43,7 @@ from .common import small_batches
 LONGEST = 48
 SAMPLES = 2
 #: Characters that are encoded together; one longer text is encoded alone.
-CHARS = 2_500_000
+CHARS = 600_000
 #: Added to a rank before weights fall with it, and weight per character.
 FLAT, PER_CHAR = 50.0, 5.0
 BLANK, BREAK = "▁", "\U0010ffff"
@@ -65,11 +65,11 @@ class Trie:
                 if piece[:end] not in nodes:
                     nodes[piece[:end]] = len(nodes)
                     edges.append((nodes[piece[: end - 1]] << 21 | ord(piece[end - 1]), nodes[piece[:end]]))
-        self.piece = np.full(len(nodes), -1, np.int64)
+        self.piece = np.full(len(nodes), -1, np.int32)
         for i, piece in pieces:
             self.piece[nodes[piece]] = i
         self.key = np.full((1 << self.BITS) + len(edges), -1, np.int64)
-        self.node = np.zeros(len(self.key), np.int64)
+        self.node = np.zeros(len(self.key), np.int32)
         for key, node in edges:
             slot = int(self._slot(np.array([key]))[0])
             while self.key[slot] >= 0:
@@ -89,19 +89,19 @@ class Trie:
             slot[open_] += 1
             now = self.key[slot[open_]]
             open_ = open_[(now != key[open_]) & (now >= 0)]
-        return np.where(self.key[slot] == key, self.node[slot], -1)
+        return np.where(self.key[slot] == key, self.node[slot], np.int32(-1)).astype(np.int64)
 
     def matches(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, piece) of all pieces in the text, sorted by start, longest first."""
         found = []
-        start, node, size = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        start, node, size = np.arange(len(points), dtype=np.int32), np.zeros(len(points), np.int64), 0
         while len(start):
             node = self.step(node, points[start + size])
             size += 1
             on = np.flatnonzero(node >= 0)
             start, node = start[on], node[on]
             hit = np.flatnonzero(self.piece[node] >= 0)
-            found.append((start[hit], np.full(len(hit), size), self.piece[node[hit]]))
+            found.append((start[hit], np.full(len(hit), size, np.int32), self.piece[node[hit]]))
             on = np.flatnonzero(start + size < len(points))
             start, node = start[on], node[on]
         start, size, piece = (np.concatenate(x) for x in zip(*reversed(found))) if found else (np.empty(0, np.int64),) * 3
@@ -165,18 +165,17 @@ class Lattice:
         spelled[start[size == 1]] = False
         spelled = np.flatnonzero(spelled)
         if len(spelled):
-            cp = points[spelled].astype(np.int64)
-            start = np.concatenate([start, spelled])
-            size = np.concatenate([size, np.ones(len(spelled), np.int64)])
-            piece = np.concatenate([piece, np.where(cp < 128, cp + words.first_byte, -cp)])
+            cp = points[spelled].astype(np.int32)
+            start = np.concatenate([start, spelled.astype(np.int32)])
+            size = np.concatenate([size, np.ones(len(spelled), np.int32)])
+            piece = np.concatenate([piece, np.where(cp < 128, cp + np.int32(words.first_byte), -cp)])
             order = np.argsort(start, kind="stable")
             start, size, piece = start[order], size[order], piece[order]
         self.start, self.size, self.piece = start, size, piece
         weight = np.where(self.piece >= 0, words.weight[np.maximum(self.piece, 0)], words.weight[words.first_byte])
         weight = weight * np.exp(PER_CHAR * self.size)
         into = self.start + self.size
-        unit = np.searchsorted(ends, self.start)
-        left = ends[unit] - self.start
+        left = (np.repeat(ends, sizes + 1)[self.start] - self.start).astype(np.int16)
         mass = self.ends.astype(np.float64)
         level = np.argsort(left, kind="stable")
         cuts = np.searchsorted(left[level], np.arange(1, int(left.max(initial=0)) + 2))
@@ -187,6 +186,7 @@ class Lattice:
                 begin = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
                 mass[nodes[begin]] = np.add.reduceat(weight[e] * mass[into[e]], begin)
         self.p = weight * mass[into] / mass[self.start]
+        del weight, into, left, level
         begin = np.flatnonzero(np.append(True, self.start[1:] != self.start[:-1])) if len(self.start) else np.empty(0, np.int64)
         self.begin = np.append(begin, len(self.start))
         self.rank = np.cumsum(~self.ends) - 1
