@@ -9,9 +9,10 @@ Texts with equal shingle sets form a class, and classes are compared through the
 smallest doc_id. A class can meet another only if both collections hold a sub-key
 that some other class has too, so pairs are formed from such sub-keys alone. In each
 table all classes are compared with one centre, the one whose sub-keys are most
-common. Tables whose members then still lie in more than one component are compared
-in blocks, but only across components, so no link that could join two components
-is lost, however large a table is.
+common. Tables whose members then still lie in more than one component get a few more
+centres, chosen by hash, and what is still open is compared in blocks, but only
+across components, so no link that could join two components is lost, however large
+a table is.
 
 Null or empty text, or text without words: an empty set, linked with nothing. Rows
 without id link with nothing and are kept. Rows that share an id are one document.
@@ -34,8 +35,12 @@ from .common import BROADCAST_IDS, components, only_ids, small_batches
 WORDS = 5
 BANDS = 10
 HASHES = 4 * BANDS
-#: Members per block where a table is compared across components.
-BLOCK = 256
+#: Members per block where open tables are compared across components.
+BLOCK = 1024
+#: Shingles per matrix product there.
+SLICE = 4096
+#: Rounds with further centres before what is left is compared in blocks.
+ROUNDS = 4
 #: Equal minhashes of 40 below which similarity 0.75 is ruled out: 4.4 standard deviations.
 AGREE = 18
 #: Words whose hashes a worker remembers.
@@ -120,15 +125,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets have 100 * intersection >= 75 * union.
 
     Sets travel once per pair, to the pair's centre ``v``; few pairs are broadcast to them.
     """
-    ids = stored(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct())
-    sets = stored(
-        only_ids(texts, ids, ["doc_id"]).mapInArrow(_sets, "doc_id bigint, shingles array<bigint>").where(F.size("shingles") > 0)
-    )
     left = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
     right = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
     pairs = pairs.select("u", "v")
@@ -144,28 +145,71 @@ def _fits(a: str, b: str):
     return (4 * F.col(a) >= 3 * F.col(b)) & (4 * F.col(b) >= 3 * F.col(a))
 
 
+def _shared_counts(sa: list[np.ndarray], sb: list[np.ndarray]) -> np.ndarray:
+    """Exact intersection sizes of all sets of the first with all of the second list.
+
+    Products of 0/1 matrices over slices of the shingles that both sides hold.
+    """
+    both = np.intersect1d(np.concatenate(sa), np.concatenate(sb))
+    counts = np.zeros((len(sa), len(sb)), np.float32)
+    rows = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (sa, sb)]
+    flat = [np.concatenate(s) for s in (sa, sb)]
+    for start in range(0, len(both), SLICE):
+        part = both[start : start + SLICE]
+        sides = []
+        for r, f, n in zip(rows, flat, counts.shape):
+            at = np.minimum(np.searchsorted(part, f), len(part) - 1)
+            hit = part[at] == f
+            m = np.zeros((n, len(part)), np.float32)
+            m[r[hit], at[hit]] = 1
+            sides.append(m)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _links_across(a: pd.DataFrame, b: pd.DataFrame, alone: bool) -> list[tuple[int, int]]:
+    """Links that join components, between two blocks or within one (``alone``)."""
+    sa, sb = (np.stack([np.frombuffer(x, np.uint32) for x in g["sketch"]]) for g in (a, b))
+    na, nb, ca, cb = (g[c].to_numpy() for c in ("n_shingles", "component") for g in (a, b))
+    may = np.zeros((len(a), len(b)), bool)
+    for k in range(len(a)):
+        ok = (cb > ca[k] if alone else cb != ca[k]) & (4 * nb >= 3 * na[k]) & (4 * na[k] >= 3 * nb)
+        at = np.flatnonzero(ok)
+        may[k, at[(sb[at] == sa[k]).sum(axis=1) >= AGREE]] = True
+    ra, rb = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    if not len(ra):
+        return []
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = x = root.get(root[x], root[x])
+        return x
+
+    ia, ib, out = a["id"].to_numpy(), b["id"].to_numpy(), []
+    right = [b["shingles"].iloc[j] for j in rb]
+    for start in range(0, len(ra), 512):
+        rows = ra[start : start + 512]
+        shared = _shared_counts([a["shingles"].iloc[k] for k in rows], right)
+        linked = (100 * shared >= 75 * (na[rows][:, None] + nb[rb][None, :] - shared)) & may[np.ix_(rows, rb)]
+        for k, j in zip(*np.nonzero(linked)):
+            x, y = find(int(ca[rows[k]])), find(int(cb[rb[j]]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(ia[rows[k]]), int(ib[rb[j]])))
+    return out
+
+
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one pair of blocks of a table, across components, that may be similar."""
-    out = []
-    rows = rows.sort_values(["key", "lo", "hi"], kind="stable")
-    cuts = np.flatnonzero(np.any(rows[["key", "lo", "hi"]].to_numpy()[1:] != rows[["key", "lo", "hi"]].to_numpy()[:-1], axis=1)) + 1
-    for part in np.split(np.arange(len(rows)), cuts):
-        group = rows.iloc[part]
-        a = group if group["lo"].iloc[0] == group["hi"].iloc[0] else group[group["blk"] == group["lo"]]
-        b = group if group["lo"].iloc[0] == group["hi"].iloc[0] else group[group["blk"] == group["hi"]]
-        if a.empty or b.empty:
-            continue
-        sa, sb = (np.stack([np.frombuffer(x, np.uint32) for x in g["sketch"]]) for g in (a, b))
-        na, nb = a["n_shingles"].to_numpy(), b["n_shingles"].to_numpy()
-        ca, cb = a["component"].to_numpy(), b["component"].to_numpy()
-        ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
-        for k in range(len(a)):
-            ok = (cb > ca[k]) & (4 * nb >= 3 * na[k]) & (4 * na[k] >= 3 * nb)
-            if a is not b:
-                ok |= (cb < ca[k]) & (4 * nb >= 3 * na[k]) & (4 * na[k] >= 3 * nb)
-            at = np.flatnonzero(ok)
-            at = at[(sb[at] == sa[k]).sum(axis=1) >= AGREE]
-            out.extend((int(ia[k]), int(ib[j])) for j in at)
+    """Exact links across components for all pairs of blocks in a group."""
+    out: list[tuple[int, int]] = []
+    for (_, lo, hi), group in rows.groupby(["family", "lo", "hi"]):
+        if lo == hi:
+            out += _links_across(group, group, True)
+        else:
+            a, b = group[group["blk"] == lo], group[group["blk"] == hi]
+            if len(a) and len(b):
+                out += _links_across(a, b, False)
     return pd.DataFrame({"u": pd.Series([x for x, _ in out], dtype="int64"), "v": pd.Series([x for _, x in out], dtype="int64")})
 
 
@@ -193,25 +237,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         keys.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("top"), F.count("*").alias("members"))
         .where("members > 1").select("key", (-F.col("top.id")).alias("v"), "members")
     )
+    tables = stored(keys.join(centres, "key").select("key", "id", "v", "members"))
     sizes = reps.select("id", "n_shingles")
-    pairs = keys.join(centres, "key").where("id != v").select(F.col("id").alias("u"), "v").distinct()
-    pairs = stored(
-        pairs.join(sizes.select(F.col("id").alias("u"), F.col("n_shingles").alias("nu")), "u")
-        .join(sizes.select(F.col("id").alias("v"), F.col("n_shingles").alias("nv")), "v")
-        .where(_fits("nu", "nv")).select("u", "v")
-    )
-    links = stored(confirm(pairs, texts))
+    ids = stored(tables.select(F.col("id").alias("doc_id")).distinct())
+    sets = only_ids(texts, ids, ["doc_id"]).mapInArrow(_sets, "doc_id bigint, shingles array<bigint>")
+    sets = stored(sets.where(F.size("shingles") > 0))
+
+    def tried(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.where("u != v").distinct()
+        pairs = pairs.join(sizes.select(F.col("id").alias("u"), F.col("n_shingles").alias("nu")), "u")
+        pairs = pairs.join(sizes.select(F.col("id").alias("v"), F.col("n_shingles").alias("nv")), "v")
+        return stored(pairs.where(_fits("nu", "nv")).select("u", "v"))
+
+    links = stored(confirm(tried(tables.select(F.col("id").alias("u"), "v")), sets))
     found = components(links)
-    # tables whose members lie in more than one component
-    placed = keys.join(centres.select("key", "members"), "key").join(found, "id", "left")
-    placed = placed.select("key", "members", "id", F.coalesce("component", "id").alias("component"))
-    open_keys = stored(
-        placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    )
-    if not open_keys.isEmpty():
-        more = _cross_pairs(placed.join(open_keys, "key"), reps)
-        more = stored(more.join(pairs, ["u", "v"], "left_anti").join(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti"))
-        links = stored(links.union(confirm(more, texts)))
+    # tables whose members lie in more than one component get another centre by hash,
+    # as long as that joins components quickly
+    open_rows, left = _open_tables(tables, found)
+    for round_ in range(1, ROUNDS + 1):
+        if not left:
+            break
+        at = open_rows.groupBy("key").agg(F.min_by(F.struct(F.col("id").alias("v"), F.col("component").alias("cv")), F.xxhash64("id", F.lit(round_))).alias("c"))
+        pairs = open_rows.join(at.select("key", "c.*"), "key").where("component != cv").select(F.col("id").alias("u"), "v")
+        links = stored(links.union(confirm(tried(pairs), sets)))
+        found = components(links)
+        before = left
+        open_rows, left = _open_tables(tables, found)
+        if 2 * left > before:
+            break
+    # what is left is compared in blocks, all of it
+    if left:
+        links = stored(links.union(_block_links(open_rows, reps, sets)))
         found = components(links)
     named = stored(
         classes.join(found, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))
@@ -234,20 +290,37 @@ def _tensored(hits: DataFrame) -> DataFrame:
     return each.select(F.xxhash64("a.pos", "a.val", "b.pos", "b.val").alias("key"), "id", "weight")
 
 
-def _cross_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """Possible links across components, block against block, without repeats."""
-    rows = members.join(reps.select("id", "sketch", "n_shingles"), "id")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _open_tables(tables: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    """(key, id, members, component) of tables in more than one component, and the rows
+    outside the component that their table's smallest label names."""
+    placed = tables.join(found, "id", "left").select("key", "id", "members", F.coalesce("component", "id").alias("component"))
+    spread = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rows = stored(placed.join(spread.select("key", "low"), "key"))
+    return rows.drop("low"), rows.where("component != low").count()
+
+
+def _block_links(open_rows: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that join components among the members of open tables.
+
+    Tables that share members form a family; each pair of its blocks is one unit of
+    work, which confirms its links on the full sets and returns only joining ones.
+    """
+    hubs = open_rows.groupBy("key").agg(F.min("id").alias("v"))
+    edges = open_rows.select("key", F.col("id").alias("u")).join(hubs, "key").where("u != v").select("u", "v").distinct()
+    family = components(stored(edges)).withColumnRenamed("component", "family")
+    members = open_rows.select("id", "component").distinct().join(family, "id")
+    members = stored(members)
+    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n"))
+    rows = members.join(sizes, "family").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.join(reps.select("id", "sketch", "n_shingles"), "id").join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", "id", "component", "sketch", "n_shingles", "blk",
-        F.least("blk", "with").alias("lo"), F.greatest("blk", "with").alias("hi"),
+        "family", "id", "component", "sketch", "n_shingles", "shingles", "blk",
+        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"),
     )
-    total = members.select(F.sum(F.ceil(F.col("members") / BLOCK))).first()[0] or 0
-    groups = int(total) // 5_000 + 1
-    # many small block pairs share a group, a large one has its own
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(groups)))
+    total = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    # small families share a group, a pair of full blocks has its own
+    rows = rows.withColumn("g", F.pmod(F.xxhash64("family", "lo", "hi"), F.lit(int(total) // 1_000 + 1)))
     return rows.groupBy("g").applyInPandas(_across, "u bigint, v bigint").distinct()
 
 
