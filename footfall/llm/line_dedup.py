@@ -2,8 +2,8 @@
 
 A text's lines are hashed; a rolling hash over the last ``WINDOW`` line hashes ends a
 chunk wherever it falls on one of ``SPREAD`` values, so equal passages get equal
-boundaries wherever they stand and whatever surrounds them. A chunk ends after
-``LONGEST`` lines at the latest. Of chunks with at least two lines and equal bytes
+boundaries wherever they stand and whatever surrounds them. A chunk has
+two lines at least, but for a text's last, and ends after ``LONGEST`` lines at the latest. Of chunks with at least two lines and equal bytes
 the first one (by doc_id, then place) stays and the others go, after each was
 compared byte by byte with the one that stays.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .common import small_batches
 
-WINDOW, SPREAD, LONGEST, SHORTEST = 2, 4, 32, 2
+WINDOW, SPREAD, LONGEST, SHORTEST = 2, 3, 32, 2
 SALTS, SALTED_ABOVE = 16, 256
 _ODD = 0x9E3779B97F4A7C15
 
@@ -42,6 +42,8 @@ def boundaries(lines: list[str]) -> list[int]:
     cut = (rolled >> np.uint64(32)) % np.uint64(SPREAD) == 0
     ends, last = [], 0
     for k in [*(np.flatnonzero(cut) + 1).tolist(), len(lines)]:
+        if k - last < SHORTEST and k < len(lines):
+            continue
         while k - last > LONGEST:
             last += LONGEST
             ends.append(last)
