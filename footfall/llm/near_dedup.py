@@ -9,10 +9,9 @@ Texts with equal shingle sets form a class, and classes are compared through the
 smallest doc_id. A class can meet another only if both collections hold a sub-key
 that some other class has too, so pairs are formed from such sub-keys alone. In each
 table all classes are compared with one centre, the one whose sub-keys are most
-common. Tables whose members then still lie in more than one component get a few more
-centres, chosen by hash, and what is still open is compared in blocks, but only
-across components, so no link that could join two components is lost, however large
-a table is.
+common. Tables whose members then still lie in more than one component are compared
+in blocks, but only across components, so no link that could join two components is
+lost, however large a table is.
 
 Null or empty text, or text without words: an empty set, linked with nothing. Rows
 without id link with nothing and are kept. Rows that share an id are one document.
@@ -39,8 +38,6 @@ HASHES = 4 * BANDS
 BLOCK = 1024
 #: Shingles per matrix product there.
 SLICE = 4096
-#: Rounds with further centres before what is left is compared in blocks.
-ROUNDS = 4
 #: Equal minhashes of 40 below which similarity 0.75 is ruled out: 4.4 standard deviations.
 AGREE = 18
 #: Words whose hashes a worker remembers.
@@ -251,21 +248,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     links = stored(confirm(tried(tables.select(F.col("id").alias("u"), "v")), sets))
     found = components(links)
-    # tables whose members lie in more than one component get another centre by hash,
-    # as long as that joins components quickly
     open_rows, left = _open_tables(tables, found)
-    for round_ in range(1, ROUNDS + 1):
-        if not left:
-            break
-        at = open_rows.groupBy("key").agg(F.min_by(F.struct(F.col("id").alias("v"), F.col("component").alias("cv")), F.xxhash64("id", F.lit(round_))).alias("c"))
-        pairs = open_rows.join(at.select("key", "c.*"), "key").where("component != cv").select(F.col("id").alias("u"), "v")
-        links = stored(links.union(confirm(tried(pairs), sets)))
-        found = components(links)
-        before = left
-        open_rows, left = _open_tables(tables, found)
-        if 2 * left > before:
-            break
-    # what is left is compared in blocks, all of it
+    # tables whose members lie in more than one component are compared in blocks, all of them
     if left:
         links = stored(links.union(_block_links(open_rows, reps, sets)))
         found = components(links)

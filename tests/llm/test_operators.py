@@ -118,7 +118,6 @@ def test_near_finds_links_between_members_that_miss_the_centre(spark, monkeypatc
         text = edited(base if k % 2 else text, k, 6)
         rows.append((k, text))
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
-    monkeypatch.setattr(near_dedup, "ROUNDS", 1)
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     want, _ = components_by_hand(rows)
     assert {r.doc_id: r.component_id for r in got.collect()} == want and len(set(want.values())) > 1
