@@ -31,9 +31,13 @@ RANK_RULES = {"disc": disc_rank, "index": index_rank}
 
 
 def value_bin(value: Column) -> Column:
-    """Monotone bin: 64 steps per doubling of the value, mirrored below zero."""
-    size = F.floor(F.log2(F.abs(value.cast("double")) + 1) * BINS_PER_OCTAVE)
-    return F.when(value < 0, -size).otherwise(size)
+    """Monotone bin: 64 steps per doubling of the value, mirrored below zero, NaN last.
+
+    The offset keeps the smallest doubles (2^-1074) above the bin of zero.
+    """
+    number = value.cast("double")
+    size = F.when(number == 0, F.lit(0)).otherwise(F.floor((F.log2(F.abs(number)) + 1100) * BINS_PER_OCTAVE)).cast("bigint")
+    return F.when(F.isnan(number), F.lit(2**63 - 1)).when(number < 0, -size).otherwise(size)
 
 
 def _counted(rows: DataFrame, by: Sequence[str], value: str, weight: str | None) -> DataFrame:

@@ -30,8 +30,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineages: the cluster's own, else a fresh local one.
 
     A cluster names it in ``spark.checkpoint.dir``. Without that setting a local
-    session (tests, a laptop) gets a temporary folder and a cluster one beside its
-    tables.
+    session (tests, a laptop) gets a temporary folder; a cluster without it is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -45,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if master == "local" or master.startswith("local["):
         folder = tempfile.mkdtemp(prefix="footfall-checkpoint-")
     else:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_footfall_checkpoints"
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

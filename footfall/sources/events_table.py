@@ -58,7 +58,7 @@ def to_log(raw: DataFrame, hot: HotKeys | None) -> DataFrame:
         F.col("ts").cast("timestamp").alias("created_at"),
         F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("k"),
         (
-            F.dayofyear("ts") * 86400 + F.hour("ts") * 3600
+            F.datediff("ts", F.lit("2000-01-01")) * 86400 + F.hour("ts") * 3600
             + F.minute("ts") * 60 + F.second("ts")
         ).alias("sec"),
     )

@@ -42,3 +42,16 @@ def test_the_two_rules_differ(spark):
     assert (pick("disc"), pick("index")) == (20, 30)
     row = spark.range(1).select(boxplot_array(F.array(*map(F.lit, (40, 10, 30, 20))), (0.5,)).alias("b")).first()
     assert row.b == [30]
+
+
+def test_bins_follow_the_value_with_fractions_and_nan(spark):
+    from pyspark.sql import functions as F
+
+    from footfall.functions.quantiles import value_bin
+
+    values = [-4.0, -0.5, -1e-9, 0.0, 1e-300, 1e-9, 0.001, 0.002, 0.5, 1.0, 7.0, float("inf"), float("nan")]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    bins = [r.b for r in rows.select("k", value_bin(F.col("v")).alias("b")).orderBy("k").collect()]
+    assert bins == sorted(bins) and len(set(bins[:11])) == 11
+    fractions = spark.range(100_000).select((F.col("id") / 1e7).alias("v"))
+    assert fractions.select(value_bin(F.col("v"))).distinct().count() > 500
