@@ -286,13 +286,16 @@ def _open_tables(tables: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
 def _block_links(open_rows: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that join components among the members of open tables.
 
-    Tables that share members form a family; each pair of its blocks is one unit of
-    work, which confirms its links on the full sets and returns only joining ones.
+    Components that share open tables form a family, so its edges are counted per
+    component, however many members a component has; each pair of a family's blocks is
+    one unit of work, which confirms its links on the full sets and returns only joining
+    ones.
     """
-    hubs = open_rows.groupBy("key").agg(F.min("id").alias("v"))
-    edges = open_rows.select("key", F.col("id").alias("u")).join(hubs, "key").where("u != v").select("u", "v").distinct()
-    family = components(stored(edges)).withColumnRenamed("component", "family")
-    members = open_rows.select("id", "component").distinct().join(family, "id")
+    held = stored(open_rows.select("key", "component").distinct())
+    hubs = held.groupBy("key").agg(F.min("component").alias("v"))
+    edges = held.select("key", F.col("component").alias("u")).join(hubs, "key").where("u != v").select("u", "v").distinct()
+    family = components(stored(edges)).select(F.col("id").alias("component"), F.col("component").alias("family"))
+    members = open_rows.select("id", "component").distinct().join(family, "component")
     members = stored(members)
     sizes = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n"))
     rows = members.join(sizes, "family").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
