@@ -19,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,49 +36,80 @@ BLOCK_IDS = 1 << 18
 CHECKPOINT = 64
 SCALE = 20
 LOW = np.uint64(1 << 31)
-#: Stretches of text whose ids a worker remembers.
-REMEMBERED = 120_000
+#: Pieces of text whose ids a worker remembers, about 150 bytes each.
+REMEMBERED = 1_000_000
 
-#: White space as the byte-level pattern sees it; a stretch is tokenised on its own.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_STRETCH = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: A space within white space: there a cut could part what the byte-level pattern joins.
+_WITHIN = re.compile(r"\s (?:\s|\Z)")
+#: The spaces before which a text can always be cut.
+_CUT = re.compile(r"(?<=\S) | (?=\S)")
+#: Stands between pieces that are tokenised together; a token of its own there.
+_MARK = "\t"
 
 
 class Encoder:
-    """Ids of whole texts, with the ids of known stretches remembered.
+    """Ids of whole texts as bytes, with the ids of known pieces remembered.
 
-    The byte-level pattern never joins characters across the stretches, so their ids
+    Texts are cut before spaces. The byte-level pattern begins a token at a space that
+    has another character than white space before or after it, so the ids of the pieces
     strung together are those of the whole text.
     """
 
     def __init__(self, path: str):
+        self.kind = id_type(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        #: by piece, without the space that all but a text's first piece have
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [_STRETCH.findall(t) for t in texts]
+        """Little-endian ids of each text, as wide as ``kind``."""
+        cut = [(_CUT.split(t) if _WITHIN.search(t) else t.split(" ")) for t in texts]
+        first = self._separately([pieces.pop(0) for pieces in cut])
         if len(self.known) > REMEMBERED:
             self.known = {}
-        new = list({s for stretches in cut for s in stretches} - self.known.keys())
-        for start in range(0, len(new), 2000):
-            part = new[start : start + 2000]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[s] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, stretches)) for stretches in cut]
+        found = [list(map(self.known.get, pieces)) for pieces in cut]
+        self._learn(list({p for pieces, ids in zip(cut, found) if None in ids for p, i in zip(pieces, ids) if i is None}))
+        return [
+            f + b"".join(map(self.known.__getitem__, pieces) if None in ids else ids) for f, pieces, ids in zip(first, cut, found)
+        ]
+
+    def _separately(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Pieces that begin and end without white space are tokenised as one text, parted by marks."""
+        plain = [p for p in pieces if p and p == p.strip() and _MARK not in p] if self.mark is not None else []
+        for start in range(0, len(plain), 2000):
+            part = plain[start : start + 2000]
+            text = " " + f"{_MARK} ".join(part)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(part) - 1:
+                starts, ends = ((x * ids.itemsize).tolist() for x in (np.append(0, marks + 1), np.append(marks, len(ids))))
+                flat = ids.tobytes()
+                self.known.update(zip(part, (flat[a:b] for a, b in zip(starts, ends))))
+        rest = [p for p in pieces if p not in self.known]
+        self.known.update(zip(rest, self._separately([" " + p for p in rest])))
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """A worker's encoder, kept from task to task."""
+    return Encoder(path)
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, ids), ids as bytes of unsigned 16-bit numbers, or 32-bit for large vocabularies."""
     small_batches(docs.sparkSession)
-    kind = id_type(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
+        encoder = _encoder(path)
+        end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
-            ids = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [x + end for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids binary")

@@ -291,6 +291,17 @@ def test_token_files(spark, docs, texts, empty, monkeypatch):
     assert token_files.read_tokens(spark, token_files.write_tokens(docs, BPE)).count() == len(texts)
 
 
+def test_pieces_have_the_ids_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 500)
+    encoder = token_files.Encoder(BPE)
+    parts = [" ", " ", " ", "\n", "\t", "a", "b'", "'s", "1", "\u3000", "\xa0", "\x1c", "<|endoftext|>", "\r", ".", "\u200b", "\U0001f600"]
+    choose = random.Random(7)
+    for _ in range(20):
+        texts = ["".join(choose.choices(parts, k=choose.randint(0, 14))) for _ in range(200)]
+        want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == want
+
+
 def test_blocks_decode_from_any_checkpoint_and_notice_damage():
     rng = np.random.default_rng(2)
     ids = rng.zipf(1.3, 300_000) % 50_000
