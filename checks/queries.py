@@ -144,12 +144,27 @@ def _landed(spark: SparkSession, folder: str) -> tuple[str, str]:
     return landed, fresh_folder(spark)
 
 
-def _ingest_increment(spark: SparkSession, folder: str) -> DataFrame:
-    """Two loads, the second from where the first one ended."""
-    landed, out = _landed(spark, folder)
-    for today in (date(2024, 1, 12), date(2024, 2, 12)):
+def _in_three_loads(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Log and rejects of lines that land in three steps, each with lines of all days.
+
+    The first load leaves later days for the second; all the third one finds is late.
+    """
+    lines = stored(raw_lines(spark, folder))
+    landed, out = fresh_folder(spark), fresh_folder(spark)
+    for step, today in enumerate((date(2024, 1, 12), date(2024, 2, 12), date(2024, 2, 12))):
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == step).write.mode("append").text(landed)
         ingest_increment(spark, landed, f"{out}/log", f"{out}/rejects", f"{out}/mark", today)
-    return _lifted(read_logs(spark, f"{out}/log"))
+    return f"{out}/log", f"{out}/rejects"
+
+
+def _ingest_increment(spark: SparkSession, folder: str) -> DataFrame:
+    return _lifted(read_logs(spark, _in_three_loads(spark, folder)[0]))
+
+
+def _ingest_increment_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What the loads rejected, each line once."""
+    rejects = spark.read.schema("value string, reason string").json(_in_three_loads(spark, folder)[1])
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,6 +191,7 @@ def _date_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["scan_json_lift"] = _scan_json_lift
 QUERIES["ingest_increment"] = _ingest_increment
+QUERIES["ingest_increment_rejects"] = _ingest_increment_rejects
 QUERIES["stream_ingest"] = _stream_ingest
 QUERIES["ingest_rejects"] = _ingest_rejects
 QUERIES["date_batches"] = _date_batches

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.session import small_table, stored
+from footfall.session import stored
 from footfall.sources.json_events import LOG_COLUMNS, lift, mark_rejects, read_lines, split_rejects
 
 
@@ -48,14 +49,28 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*LOG_COLUMNS, "event_date")
 
 
-def _last_day(spark: SparkSession, mark_path: str) -> date | None:
+MARK = "load int, last_day date, file string"
+
+
+def _marks(spark: SparkSession, mark_path: str) -> DataFrame:
+    """A row per loaded file, with the number of the load and the last day it loaded."""
     try:
-        marks = spark.read.schema("last_day date").json(mark_path)
+        return spark.read.schema(MARK).json(mark_path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return spark.createDataFrame([], MARK)
         raise
-    return marks.agg(F.max("last_day")).first()[0]
+
+
+def _new_files(spark: SparkSession, source: str, marks: DataFrame) -> list[str]:
+    """Names of the landed files no load has read; contents are not touched."""
+    landed = spark.read.format("binaryFile").load(source).select(F.col("path").alias("file"))
+    return [r.file for r in landed.join(marks.select("file"), "file", "left_anti").orderBy("file").collect()]
+
+
+def _plain(path: str) -> str:
+    """A path whose name is not taken for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def ingest_increment(
@@ -67,33 +82,47 @@ def ingest_increment(
     today: date | None = None,
     lag_days: int = N.INGEST_LAG_DAYS,
 ) -> tuple[date | None, date] | None:
-    """Load the days after the stored mark up to ``lag_days`` days before today.
-
-    Whole days are replaced, so a run that failed halfway can be repeated. The
-    mark moves on only after the data is written; it is appended, never
-    rewritten. Rejects are those of all lines of ``source``, by load, since a line
-    without a time belongs to no day. Returns the inclusive range, or None when
-    nothing is due.
+    """Load the files that landed since the last load, days up to ``lag_days`` before today.
+
+    Only new files are read; a file must not change once it has landed. Rows of later
+    days wait beside the mark, already parsed, until a load reaches their day. A row of
+    a day that earlier loads covered is added to that day. Rejects are written by the
+    load that reads them, once, since a line without a time belongs to no day.
+
+    Log and rejects are partitioned by the number of the load as well, and replaced for
+    that number, so a run that failed halfway can be repeated. The mark comes last; it
+    is appended, never rewritten. Returns the first (None: from the beginning) and last
+    day that became due, twice the last day for late rows alone, or None when there is
+    neither a new file nor a new day.
     """
     today = today or datetime.now(timezone.utc).date()
     end = today - timedelta(days=lag_days)
-    last = _last_day(spark, mark_path)
+    marks = _marks(spark, mark_path)
+    number, last = marks.agg(F.max("load"), F.max("last_day")).first()
     start = last + timedelta(days=1) if last else None
+    files = _new_files(spark, source, marks)
     if start and start > end:
-        return None
-    day = F.to_date("created_at")
-    due = day <= F.lit(end)
-    if start:
-        due &= day >= F.lit(start)
-    marked = mark_rejects(lift(read_lines(spark, source)))
-    log, rejects = split_rejects(stored(marked.where(due | (F.col("reason") != ""))))
-    replace_days(log.where(due), log_path)
+        if not files:
+            return None
+        start = end = last
+    load = (number or 0) + 1
+    lines = read_lines(spark, [_plain(f) for f in files]) if files else spark.createDataFrame([], "value string")
+    rows, rejects = split_rejects(stored(mark_rejects(lift(lines))))
+    if number:
+        rows = rows.unionByName(spark.read.parquet(f"{mark_path}/_waiting/load={number}"))
+    due = F.to_date("created_at") <= F.lit(end)
+    write_days(
+        with_event_date(rows.where(due)).withColumn("load", F.lit(load)), log_path, "overwrite", ["event_date", "load"]
+    )
     (
-        rejects.withColumn("loaded_to", F.lit(end))
+        rejects.withColumn("loaded_to", F.lit(end)).withColumn("load", F.lit(load))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("loaded_to")
+        .partitionBy("load")
         .json(rejects_path)
     )
-    small_table(spark, [(end,)], "last_day date").write.mode("append").json(mark_path)
+    rows.where(~due).write.mode("overwrite").parquet(f"{mark_path}/_waiting/load={load}")
+    # in one file, so that it is there as a whole or not at all
+    mark = spark.createDataFrame([(load, end, f) for f in files or [None]], MARK).coalesce(1)
+    mark.write.mode("append").json(mark_path)
     return start, end

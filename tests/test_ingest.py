@@ -89,6 +89,37 @@ def test_increments(spark, tmp_path):
     assert days() == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
 
 
+def test_late_lines_and_rejects_of_increments(spark, tmp_path):
+    day = 86400
+    source = str(tmp_path / "in [1]")
+    paths = [str(tmp_path / n) for n in ("log", "rejects", "mark")]
+
+    def land(*days, bad=()):
+        good = lines(spark, *[{"time": BASE["time"] + d * day} for d in days])
+        good.union(spark.createDataFrame([(b,) for b in bad], "value string")).write.mode("append").text(source)
+
+    def load(today):
+        return ingest_increment(spark, source.replace("[", "?").replace("]", "?"), *paths, today=today)
+
+    def days():
+        return sorted(str(r.event_date) for r in read_logs(spark, paths[0]).select("event_date").collect())
+
+    land(0, 1, 9, bad=["oops"])
+    assert load(date(2024, 1, 10)) == (None, date(2024, 1, 8))
+    land(3, bad=["late"])
+    # a line of a loaded day that lands later is added, whether a day became due or not
+    assert load(date(2024, 1, 10)) == (date(2024, 1, 8), date(2024, 1, 8))
+    assert days() == ["2024-01-01", "2024-01-02", "2024-01-04"]
+    assert load(date(2024, 1, 10)) is None
+    land(1)
+    assert load(date(2024, 1, 13)) == (date(2024, 1, 9), date(2024, 1, 11))
+    # old files are not read again: their lines are there once, as are the rejects
+    assert days() == ["2024-01-01", "2024-01-02", "2024-01-02", "2024-01-04", "2024-01-10"]
+    assert sorted(r.value for r in spark.read.json(paths[1]).collect()) == ["late", "oops"]
+    assert load(date(2024, 1, 14)) == (date(2024, 1, 12), date(2024, 1, 12))
+    assert len(days()) == 5
+
+
 def test_log_table_round_trip(spark, tmp_path):
     log, _ = normalize_events(lines(spark, {}, {"time": BASE["time"] + 90000}))
     path = str(tmp_path / "log")
