@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches
+from ..session import stored
+from .common import BROADCAST_IDS, fold, small_batches
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -158,9 +159,10 @@ def training_windows(docs: DataFrame) -> DataFrame:
         "lang", F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("piece"),
         F.xxhash64("doc_id", "k", F.lit(3)).alias("h"),
     )
-    # about twice the wanted pieces by their hash, so that no task ranks a whole language
-    wanted = rows.groupBy("lang").agg((2.0 * PER_LANGUAGE / PLACES / F.count("*")).alias("share"))
-    pieces = pieces.join(wanted, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30) + 1)
+    # about twice the wanted pieces by their hash, so that no task ranks a whole language;
+    # one row per language, broadcast behind a count, so that only those pieces are shuffled
+    wanted = stored(rows.groupBy("lang").agg((2.0 * PER_LANGUAGE / PLACES / F.count("*")).alias("share")))
+    pieces = pieces.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30) + 1)
     order = Window.partitionBy("lang").orderBy("h", "piece")
     return pieces.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).select("lang", "piece")
 
