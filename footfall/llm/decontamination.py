@@ -173,25 +173,28 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, tuple[in
     item, diagonal = index.item[entry], hits - index.offset[entry]
     doc = np.searchsorted(starts, hits, side="right") - 1
     edits, least = np.array([needed(len(p)) for p in index.points]).T
+    # positions within the document: bands are the same whatever stands beside it
+    diagonal = diagonal - starts[doc]
     half = edits[item] + 1
+    # every hit counts in two bands, so any ``half`` neighbouring diagonals share one
+    band = diagonal // half
+    band, hit = np.concatenate([band, band - 1]), np.tile(np.arange(len(hits)), 2)
+    order = np.lexsort((band, item[hit], doc[hit]))
+    band, hit = band[order], hit[order]
+    key = np.stack([doc[hit], item[hit], band])
+    begin = np.append(0, np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1)
+    end = np.append(begin[1:], len(hit))
     seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for shift in (0, 1):
-        band = diagonal // half - shift
-        order = np.lexsort((band, item, doc))
-        key = np.stack([doc[order], item[order], band[order]])
-        cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
-        begin = np.append(0, cut)
-        count = np.diff(np.append(begin, len(order)))
-        for k in np.flatnonzero(count >= least[key[1, begin]]):
-            d, i, b = (int(x) for x in key[:, begin[k]])
-            low = b * int(half[order[begin[k]]]) - int(starts[d])
-            seen.setdefault((d, i), []).append((low, low + 2 * int(half[order[begin[k]]]) - 1))
+    for k in np.flatnonzero(end - begin >= least[key[1, begin]]):
+        d, i, b = (int(x) for x in key[:, begin[k]])
+        width = int(half[hit[begin[k]]])
+        seen.setdefault((d, i), []).append((b * width, (b + 2) * width - 1))
     # bands that follow each other are one region
     for (d, i), bands in sorted(seen.items()):
         merged: list[list[int]] = []
-        for low, high in sorted(bands):
+        for low, high in bands:
             if merged and low <= merged[-1][1] + 1:
-                merged[-1][1] = max(merged[-1][1], high)
+                merged[-1][1] = high
             else:
                 merged.append([low, high])
         for low, high in merged:
