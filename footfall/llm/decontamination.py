@@ -5,13 +5,13 @@ region of ``REGION`` characters of an item (a whole shorter item) that aligns wi
 document within one edit per ``PER_EDIT`` characters shares at least
 ``length + 1 - Q * (edits + 1)`` q-grams with it, all within ``edits + 1``
 neighbouring diagonals. Shared q-grams are counted in diagonal bands of twice that
-width that overlap by half, so one band holds them all; bands that meet the bound
-are kept and verified by banded alignment of the item's windows.
+width that overlap by half, so one band holds them all. In bands that meet the bound
+every region of the item that holds as many of them is aligned, all regions at once.
 
 The benchmark is read in slices of bounded size, one scan of the documents each, and
 each slice's index is broadcast. Documents are never shuffled. Null and empty texts
 match nothing; items shorter than ``SHORTEST`` characters are looked up whole
-without edits. Rows without id appear with a null id; equal rows appear once each.
+without edits, and one of exactly ``SHORTEST`` with one edit, as two leave no q-gram. Rows without id appear with a null id; equal rows appear once each.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ REGION = 96
 PER_EDIT = 16
 #: Items below this many characters allow no edit.
 SHORTEST = 32
-#: Windows of an item that are aligned, and the step between them.
-ALIGNED, STEP = 64, 16
+#: Cells of the regions that are aligned together.
+CELLS = 1 << 20
 #: Characters of benchmark text in one broadcast index.
 SLICE_CHARS = 2_000_000
 BITS = 22
@@ -127,27 +127,54 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int
     return (int(row[end]), end) if row[end] <= most else None
 
 
-def verify(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int, int, int] | None:
-    """Aligns windows of an item with a document within diagonals low..high.
+def region_edits(item: np.ndarray, text: np.ndarray, starts: np.ndarray, length: int, low: int, high: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, end in text) of the regions of ``length`` at ``starts``, over ``most`` where none fits.
+
+    A cell is a diagonal, ``most`` beyond low..high on both sides as far as a path that
+    meets low..high can stray; one step takes one character of every region.
+    """
+    width = high - low + 1 + 2 * most
+    left, right = max(0, most - low), max(0, len(item) + high + most + 1 - len(text))
+    padded = np.pad(text.astype(np.int64), (left, right), constant_values=-1)
+    rows = np.lib.stride_tricks.sliding_window_view(padded, width)
+    cells = np.arange(width, dtype=np.int32)
+    edits, ends = np.full(len(starts), most + 1), np.zeros(len(starts), np.int64)
+    step = max(1, CELLS // width)
+    for begin in range(0, len(starts), step):
+        own = starts[begin : begin + step]
+        cost = np.zeros((len(own), width), np.int32)
+        for k in range(length):
+            new = cost + (rows[own + (k + low - most + left)] != item[own + k][:, None])
+            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
+            cost = np.minimum.accumulate(new - cells, axis=1) + cells
+            if k % 8 == 7 and cost.min() > most:
+                break
+        else:
+            at = cost.argmin(axis=1)
+            edits[begin : begin + step] = cost[np.arange(len(own)), at]
+            ends[begin : begin + step] = np.clip(own + length + low - most + at, 0, len(text))
+    return edits, ends
+
+
+def verify(item: np.ndarray, text: np.ndarray, low: int, high: int, offsets: np.ndarray) -> tuple[int, int, int, int, int] | None:
+    """Aligns an item's regions with a document where q-grams at ``offsets`` of the item lie on diagonals low..high.
 
     (item start, item end, text start, text end, edits) from the first to the last
-    window that fits, or None.
+    region that fits, or None.
     """
-    length = min(len(item), ALIGNED)
-    most = min(edits_allowed(length), needed(len(item))[0])
-    starts = list(range(0, len(item) - length, STEP)) + [len(item) - length]
-    found = []
-    for s in starts:
-        a, b = max(0, s + low - most), min(len(text), s + high + length + most)
-        if b - a < length - most:
-            continue
-        hit = banded_alignment(item[s : s + length], text[a:b], most)
-        if hit:
-            found.append((s, a + hit[1], hit[0]))
-    if not found:
+    length = min(len(item), REGION)
+    most, least = needed(len(item))
+    offsets, starts = np.sort(offsets), np.arange(len(item) - length + 1)
+    shared = np.searchsorted(offsets, starts + length - Q, side="right") - np.searchsorted(offsets, starts)
+    starts = starts[shared >= least]
+    if not len(starts):
+        return None
+    edits, ends = region_edits(item, text, starts, length, low, high, most)
+    fit = np.flatnonzero(edits <= most)
+    if not len(fit):
         return None
-    (s0, e0, _), (s1, e1, _) = found[0], found[-1]
-    return s0, s1 + length, max(0, e0 - length), e1, max(x[2] for x in found)
+    s, e = starts[fit], ends[fit]
+    return int(s[0]), int(s[-1]) + length, max(0, int(e[0]) - length), int(e[-1]), int(edits[fit].max())
 
 
 def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, tuple[int, int, int, int, int]]]:
@@ -174,7 +201,7 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, tuple[in
     doc = np.searchsorted(starts, hits, side="right") - 1
     edits, least = np.array([needed(len(p)) for p in index.points]).T
     # positions within the document: bands are the same whatever stands beside it
-    diagonal = diagonal - starts[doc]
+    diagonal, offset = diagonal - starts[doc], index.offset[entry]
     half = edits[item] + 1
     # every hit counts in two bands, so any ``half`` neighbouring diagonals share one
     band = diagonal // half
@@ -184,21 +211,23 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, tuple[in
     key = np.stack([doc[hit], item[hit], band])
     begin = np.append(0, np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1)
     end = np.append(begin[1:], len(hit))
-    seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    seen: dict[tuple[int, int], list[tuple[int, int, np.ndarray]]] = {}
     for k in np.flatnonzero(end - begin >= least[key[1, begin]]):
         d, i, b = (int(x) for x in key[:, begin[k]])
-        width = int(half[hit[begin[k]]])
-        seen.setdefault((d, i), []).append((b * width, (b + 2) * width - 1))
+        own = hit[begin[k] : end[k]]
+        width = int(half[own[0]])
+        seen.setdefault((d, i), []).append((b * width, (b + 2) * width - 1, own))
     # bands that follow each other are one region
-    for (d, i), bands in sorted(seen.items()):
-        merged: list[list[int]] = []
-        for low, high in bands:
+    for (d, i), bands in sorted(seen.items(), key=lambda x: x[0]):
+        merged: list[list] = []
+        for low, high, own in bands:
             if merged and low <= merged[-1][1] + 1:
                 merged[-1][1] = high
+                merged[-1][2].append(own)
             else:
-                merged.append([low, high])
-        for low, high in merged:
-            region = verify(index.points[i], points[d], low, high)
+                merged.append([low, high, [own]])
+        for low, high, own in merged:
+            region = verify(index.points[i], points[d], low, high, offset[np.unique(np.concatenate(own))])
             if region:
                 yield d, i, region
 

@@ -43,3 +43,19 @@ def test_bands_hold_insertions_and_deletions_at_every_place():
                 assert own == ({0} if by_hand(item, text) else set()) == {0}
                 # the same whatever stands before it in the batch
                 assert found(item, [characters(rng, 1 + p), text]) == {1}
+
+
+def test_regions_are_aligned_within_their_whole_budget():
+    rng = random.Random(5)
+    kept = 0
+    for k in range(60):
+        item = characters(rng, 160 if k % 2 else 96)
+        at = rng.randrange(len(item) - 95)
+        # edits crowd into a third of the region, or lie anywhere
+        room = range(at, at + 32) if k % 3 == 0 else range(at, at + 96)
+        part = with_edits(item, rng.sample(room, 5 + k % 4), rng)[at : at + 96 + rng.randrange(3)]
+        text = characters(rng, 30) + part + characters(rng, 30)
+        want = by_hand(item, text)
+        assert found(item, [text]) == ({0} if want else set())
+        kept += want
+    assert 10 < kept < 60
