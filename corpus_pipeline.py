@@ -43,7 +43,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encodings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document, checked by decoding."""
-    return sampled_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return sampled_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -30,7 +30,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return segmentation.sampled_segmentations(table(spark, sf_dir, "documents"), path, with_ids=False)
+    return segmentation.sampled_segmentations(table(spark, sf_dir, "documents"), path)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 import random
 
-from footfall.llm import decontamination
+import corpus_pipeline
+import public_tokenizers
+
+from footfall.llm import common, decontamination, queries, segmentation
+
+SF = "/root/testdata/sf0.001"
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def characters(rng: random.Random, n: int) -> str:
@@ -59,3 +65,13 @@ def test_regions_are_aligned_within_their_whole_budget():
         assert found(item, [text]) == ({0} if want else set())
         kept += want
     assert 10 < kept < 60
+
+
+def test_encodings_are_returned_whole(spark):
+    docs = common.table(spark, SF, "documents")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    words = segmentation.vocabulary(PIECES)
+    for found in (queries.op5_sentencepiece(spark, SF), corpus_pipeline.encodings(spark, docs, SF)):
+        rows = found.collect()
+        assert {r.doc_id for r in rows} == set(text)
+        assert all(len(r.ids) == r.n_pieces and segmentation.decode(list(r.ids), words) == text[r.doc_id] for r in rows)
