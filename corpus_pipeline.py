@@ -22,7 +22,7 @@ from footfall.session import stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text has no letter, so no language, go."""
+    """Rows whose text has no letter, or no language that the network holds likely, go."""
     return keep_known_languages(docs)
 
 

@@ -36,6 +36,8 @@ PER_LANGUAGE = 2000
 PLACES = 4
 STEPS, BATCH, RATE = 500, 64, 0.01
 UNKNOWN = "und"
+#: Known is a language at least as likely as all others together.
+LEAST_SCORE = 0.5
 
 
 @dataclass
@@ -209,7 +211,12 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(docs: DataFrame) -> DataFrame:
-    """``docs`` without rows whose text is null or has no letter."""
+    """``docs`` without rows whose language has a score below ``LEAST_SCORE``, as null and letterless texts have.
+
+    Where there is nothing to learn from, only null and letterless texts go.
+    """
     network = learn(docs)
+    if network is None:
+        return docs.where(has_letter(F.col("text")))
     name = "_llm_language"
-    return docs.withColumn(name, language_of(docs, network)).where(F.col(f"{name}.lang") != UNKNOWN).drop(name)
+    return docs.withColumn(name, language_of(docs, network)).where(F.col(f"{name}.score") >= LEAST_SCORE).drop(name)

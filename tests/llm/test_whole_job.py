@@ -7,7 +7,7 @@ import random
 import corpus_pipeline
 import public_tokenizers
 
-from footfall.llm import common, decontamination, queries, segmentation
+from footfall.llm import common, decontamination, language, queries, segmentation
 
 SF = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,3 +75,21 @@ def test_encodings_are_returned_whole(spark):
         rows = found.collect()
         assert {r.doc_id for r in rows} == set(text)
         assert all(len(r.ids) == r.n_pieces and segmentation.decode(list(r.ids), words) == text[r.doc_id] for r in rows)
+
+
+def test_unlabelled_corpus_keeps_its_texts(spark):
+    rows = [(k, f"some text {k}", None) for k in range(20)] + [(20, None, None), (21, "", None), (22, "12 !", None)]
+    kept = language.keep_known_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+
+
+def test_network_decides_on_texts_with_letters(spark):
+    pools = {"en": "the and with thing", "de": "und der nicht schön", "fr": "été où leur français"}
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choices(pools[lang].split(), k=40)), lang) for k in range(300) for lang in [list(pools)[k % 3]]]
+    rows += [(1000 + k, x, None) for k, x in enumerate("日本語 ЖЖЖЖ ωωω q zzzz अअअ QQ XJX".split())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    score = {r.doc_id: r.score for r in language.predicted_languages(frame).collect()}
+    kept = {r.doc_id for r in language.keep_known_languages(frame).collect()}
+    assert kept == {i for i, s in score.items() if s >= language.LEAST_SCORE}
+    assert set(range(300)) <= kept and len(kept) < len(rows)
