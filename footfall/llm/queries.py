@@ -38,7 +38,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, special=True)
     return token_files.read_tokens(spark, files, with_ids=False)
 
 

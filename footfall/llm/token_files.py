@@ -52,13 +52,17 @@ class Encoder:
 
     Texts are cut before spaces. The byte-level pattern begins a token at a space that
     has another character than white space before or after it, so the ids of the pieces
-    strung together are those of the whole text.
+    strung together are those of the whole text. A text that holds an added token is
+    encoded whole. ``special``: special tokens in a text get their own ids, as in the
+    library's plain call; else they are spelled out.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         self.kind = id_type(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
+        self.added = re.compile("|".join(added)) if added else None
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         #: by piece, without the space that all but a text's first piece have
@@ -66,6 +70,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, as wide as ``kind``."""
+        if self.added is not None:
+            whole = [k for k, t in enumerate(texts) if self.added.search(t)]
+            if whole:
+                ids = dict(zip(whole, self._separately([texts[k] for k in whole])))
+                rest = iter(self.encode([t for k, t in enumerate(texts) if k not in ids]))
+                return [ids[k] if k in ids else next(rest) for k in range(len(texts))]
         cut = [(_CUT.split(t) if _WITHIN.search(t) else t.split(" ")) for t in texts]
         first = self._separately([pieces.pop(0) for pieces in cut])
         if len(self.known) > REMEMBERED:
@@ -96,17 +106,17 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, special: bool) -> Encoder:
     """A worker's encoder, kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, special)
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, end_id: int, special: bool = False) -> DataFrame:
     """(doc_id, ids), ids as bytes of unsigned 16-bit numbers, or 32-bit for large vocabularies."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, special)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             ids = [x + end for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
@@ -248,9 +258,9 @@ def read_table(rows: DataFrame) -> Table:
     return Table.of(found["id"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int = 2) -> TokenFiles:
+def write_tokens(docs: DataFrame, path: str, end_id: int = 2, special: bool = False) -> TokenFiles:
     spark, kind = docs.sparkSession, id_type(path)
-    tokens = stored(tokenised(docs, path, end_id))
+    tokens = stored(tokenised(docs, path, end_id, special))
     table = stored(_frequencies(tokens, kind))
     shared = spark.sparkContext.broadcast(read_table(table)) if not tokens.isEmpty() else None
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
+from tokenizers import Tokenizer
 
-from footfall.llm import common, decontamination, language, queries, segmentation
+from footfall.llm import common, decontamination, language, queries, segmentation, token_files
 
 SF = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -93,3 +96,19 @@ def test_network_decides_on_texts_with_letters(spark):
     kept = {r.doc_id for r in language.keep_known_languages(frame).collect()}
     assert kept == {i for i, s in score.items() if s >= language.LEAST_SCORE}
     assert set(range(300)) <= kept and len(kept) < len(rows)
+
+
+def test_special_tokens_get_their_own_ids(spark, tmp_path):
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(7)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y <|endoftext", "", "no token here"]
+    texts += ["".join(rng.choices(["<|endoftext|>", " ", "\n", "a", "b'", "<|", "é"], k=8)) for _ in range(200)]
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    encoder = token_files.Encoder(path, special=True)
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at, rows = 0, queries.op7_token_files(spark, str(tmp_path)).collect()
+    for r, ids in zip(sorted(rows, key=lambda r: r.doc_id), want, strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes()))
+        at += r.n_tokens
