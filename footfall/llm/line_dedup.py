@@ -1,14 +1,16 @@
-"""Repeated passages of several lines, cut at content-defined boundaries.
-
-A text's lines are hashed; a rolling hash over the last ``WINDOW`` line hashes ends a
-chunk wherever it falls on one of ``SPREAD`` values, so equal passages get equal
-boundaries wherever they stand and whatever surrounds them. A chunk has
-two lines at least, but for a text's last, and ends after ``LONGEST`` lines at the latest. Of chunks with at least two lines and equal bytes
-the first one (by doc_id, then place) stays and the others go, after each was
-compared byte by byte with the one that stays.
-
-Null text stays null and has no lines; empty text is one empty line. Single-line
-chunks always stay. Rows without id, and rows that share an id, count as separate
+"""Repeated passages of lines, cut at content-defined boundaries.
+
+A line of ``LONG_WORDS`` words or ``LONG_CHARS`` characters or more is a chunk of its
+own. Runs of shorter lines between them are cut by content: a rolling hash over the last
+``WINDOW`` line hashes of the run ends a chunk wherever it falls on one of ``SPREAD``
+values; such a chunk has two lines at least, but for a run's last, and ends after
+``LONGEST`` lines at the latest. So equal passages get equal boundaries at all their
+long lines, wherever they stand and whatever surrounds them. Of long lines, and chunks
+of at least two lines, with equal bytes the first one (by doc_id, then place) stays and
+the others go, after each was compared byte by byte with the one that stays.
+
+Null text stays null and has no lines; empty text is one empty line. A short line
+alone in its chunk always stays. Rows without id, and rows that share an id, count as separate
 documents; among equal ids the order of a hash of the text decides.
 """
 
@@ -26,12 +28,18 @@ from ..session import stored
 from .common import small_batches
 
 WINDOW, SPREAD, LONGEST, SHORTEST = 2, 3, 32, 2
+#: From here on a line is a passage by itself.
+LONG_WORDS, LONG_CHARS = 5, 40
 SALTS, SALTED_ABOVE = 16, 256
 _ODD = 0x9E3779B97F4A7C15
 
 
+def is_long(line: str) -> bool:
+    return len(line) >= LONG_CHARS and not line.isspace() or len(line.split()) >= LONG_WORDS
+
+
 def boundaries(lines: list[str]) -> list[int]:
-    """The end of each chunk, as a number of lines."""
+    """The end of each chunk of a run of short lines, as a number of lines."""
     if not lines:
         return []
     h = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
@@ -54,10 +62,21 @@ def boundaries(lines: list[str]) -> list[int]:
 
 
 def chunks(text: str | None) -> list[tuple[int, str]]:
-    """(number of lines, text) of each chunk; joined by line feeds they are the text."""
+    """(size, text) of each chunk; joined by line feeds they are the text.
+
+    The size is the number of lines, where a long line counts as ``SHORTEST``.
+    """
     lines = text.split("\n") if text is not None else []
-    ends = boundaries(lines)
-    return [(b - a, "\n".join(lines[a:b])) for a, b in zip([0, *ends], ends)]
+    out, done = [], 0
+    for at in [*(k for k, x in enumerate(lines) if is_long(x)), len(lines)]:
+        if at > done:
+            short = lines[done:at]
+            ends = boundaries(short) if len(short) > 1 else [1]
+            out += [(b - a, "\n".join(short[a:b])) for a, b in zip([0, *ends], ends)]
+        if at < len(lines):
+            out.append((SHORTEST, lines[at]))
+        done = at + 1
+    return out
 
 
 CHUNK = "doc_id bigint, row bigint, pos int, n_lines int, h1 bigint, h2 bigint, chunk string"
@@ -114,7 +133,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         for text, drop in zip(texts, gone):
             parts, drop = chunks(text), set(() if drop is None else drop)
             kept = [c for k, (_, c) in enumerate(parts) if k not in drop]
-            out.append((None if text is None else "\n".join(kept), len(parts), len(parts) - len(kept), sum(n for k, (n, _) in enumerate(parts) if k in drop)))
+            out.append((None if text is None else "\n".join(kept), len(parts), len(parts) - len(kept), sum(c.count("\n") + 1 for k, (_, c) in enumerate(parts) if k in drop)))
         return pd.DataFrame(out, columns=["text", "n_chunks", "n_removed", "lines_removed"])
 
     joined = joined.withColumn("_llm_clean", clean("text", "_llm_gone"))

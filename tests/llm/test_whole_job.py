@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from footfall.llm import common, decontamination, language, queries, segmentation, token_files
+from footfall.llm import common, decontamination, language, line_dedup, queries, segmentation, token_files
 
 SF = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -112,3 +112,23 @@ def test_special_tokens_get_their_own_ids(spark, tmp_path):
     for r, ids in zip(sorted(rows, key=lambda r: r.doc_id), want, strict=True):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes()))
         at += r.n_tokens
+
+
+def test_short_passages_are_found_whatever_surrounds_them(spark):
+    rng, rows, passages = random.Random(8), [], {}
+
+    def line(n: int) -> str:
+        return " ".join(characters(rng, rng.randrange(2, 8)) for _ in range(n))
+
+    for n in range(1, 11):
+        for k in range(4):
+            passage = [line(x) for x in ([50 // n + 1 + rng.randrange(3) for _ in range(n)] if k % 2 else [50, *(rng.randrange(5, 12) for _ in range(n - 1))])]
+            for copy in range(3):
+                own = ([line(rng.randrange(1, 14)) for _ in range(rng.randrange(4))], [line(rng.randrange(1, 14)) for _ in range(rng.randrange(4))])
+                passages[len(rows)] = (copy, passage, own)
+                rows.append((len(rows), "\n".join([*own[0], *passage, *own[1]])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in line_dedup.without_repeats(frame).collect():
+        copy, passage, (before, after) = passages[r.doc_id]
+        assert r.text == "\n".join([*before, *([] if copy else passage), *after])
+        assert r.lines_removed == (len(passage) if copy else 0)
