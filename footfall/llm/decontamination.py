@@ -11,7 +11,9 @@ every region of the item that holds as many of them is aligned, all regions at o
 The benchmark is read in slices of bounded size, one scan of the documents each, and
 each slice's index is broadcast. Documents are never shuffled. Null and empty texts
 match nothing; items shorter than ``SHORTEST`` characters are looked up whole
-without edits, and one of exactly ``SHORTEST`` with one edit, as two leave no q-gram. Items below ``Q`` characters match nothing. Rows without id appear with a null id; equal rows appear once each.
+without edits, and one of exactly ``SHORTEST`` with one edit, as two leave no q-gram.
+Items below ``Q`` characters match nothing. Rows without id appear with a null id; equal
+rows appear once each.
 """
 
 from __future__ import annotations
