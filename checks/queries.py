@@ -23,7 +23,7 @@ from footfall.operators import (
     detectors, distributions, facts as fact_ops, funnels, histories, offline, overlaps,
     retention, sessions,
 )
-from footfall.operators.facts import Facts
+from footfall.operators.facts import Detection, Facts
 from footfall.plans import templates
 from footfall.plans.cohorts import COHORTS, cohort_events, group_events
 from footfall.plans.matrix import REPORTS, Matrix
@@ -32,6 +32,7 @@ from footfall.sinks import histories as history_sink
 from footfall.sinks import reports as report_sink
 from footfall.sinks import tables
 from footfall.sources import events_table
+from footfall.sources.gazetteer import read_gazetteer
 from footfall.sources.json_events import normalize_events
 from footfall.sources.log_table import append_logs, ingest_increment, read_logs
 from footfall.sources.ranges import date_batches
@@ -338,6 +339,27 @@ def facts_tables(facts: Facts) -> DataFrame:
     return users.join(cities, "userid").select("userid", us("first_join").alias("first_join_us"), "first_city")
 
 
+@query
+def facts_merged(facts: Facts) -> DataFrame:
+    """Facts kept up to date by three loads, each merged without a look at earlier ones."""
+    spark, path = facts.logs.sparkSession, fresh_folder(facts.logs.sparkSession)
+    for start, end in ((date(2024, 1, 11), date(2024, 1, 21)), (date(2024, 1, 1), date(2024, 1, 11)), (date(2024, 1, 21), None)):
+        tables.merge_facts(facts.between(start, end), path)
+    users, cities = tables.read_merged_facts(spark, path)
+    return users.join(cities, "userid").select("userid", us("first_join").alias("first_join_us"), "first_city")
+
+
+@query
+def gazetteer_file(facts: Facts) -> DataFrame:
+    """Places of the log written as a gazetteer file, read again and looked up."""
+    spark, path = facts.logs.sparkSession, fresh_folder(facts.logs.sparkSession) + ".csv"
+    region = F.when(F.col("city") == N.LONDON, N.LONDON).otherwise(N.REST_OF_WORLD)
+    places = facts.logs.where(~F.col("city").isin(*N.UNKNOWN_PLACES)).select("city").distinct()
+    places.withColumn("region", region).write.option("header", True).csv(path)
+    rows = detectors.resolve_region(facts.logs, read_gazetteer(spark, path), "city")
+    return rows.groupBy("region").agg(F.count("*").alias("events"))
+
+
 @query
 def got_value_table(facts: Facts) -> DataFrame:
     path = fresh_folder(facts.logs.sparkSession)
@@ -621,6 +643,12 @@ def sample_users(facts: Facts) -> DataFrame:
     return histories.sample_users(londoners(facts), 10, seed=7)
 
 
+@query
+def sample_users_by_event(facts: Facts) -> DataFrame:
+    """Ten users, each as likely as it has events."""
+    return histories.sample_users(facts.logs, 10, seed=7, by="weight")
+
+
 @query
 def sql_template(facts: Facts) -> DataFrame:
     londoners(facts).createOrReplaceTempView("template_cohort")
@@ -667,6 +695,40 @@ def _batched(facts: Facts) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def interleaved(facts: Facts) -> DataFrame:
+    """The log with three sessions open at a time: what sessions of four gaps hold, dealt out by event."""
+    block = F.floor((F.col("session") - 1) / 4) * 4
+    return facts.logs.withColumn("session", (block + F.pmod("event_id", F.lit(3))).cast("int"))
+
+
+@query
+def experimental_sessions_strict(facts: Facts) -> DataFrame:
+    """Interleaved sessions in exact order."""
+    flagged = detectors.experimental_sessions(interleaved(facts), strict_order=True, sliced=facts.sliced)
+    return flagged.select("userid", long("session").alias("session"))
+
+
+def _monthly(facts: Facts) -> Facts:
+    """Detections in batches of 30 days from mid December on, so that two batches meet within the log."""
+    return facts.detected(Detection(date(2023, 12, 15), END, 30))
+
+
+@query
+def got_value_monthly(facts: Facts) -> DataFrame:
+    return _got_rows(_monthly(facts).got_value)
+
+
+@query
+def experimental_sessions_monthly(facts: Facts) -> DataFrame:
+    return _monthly(facts).experimental.select("userid", long("session").alias("session"))
+
+
+@query
+def cohort_noexp_monthly(facts: Facts) -> DataFrame:
+    """Londoners without the sessions that monthly detection flags."""
+    return _cohort_rows(cohort_events(_monthly(facts), "first_time_londoners_noexp", START, END))
+
+
 @query
 def got_value_weekly(facts: Facts) -> DataFrame:
     return _got_rows(_batched(facts)[0])

@@ -2,23 +2,26 @@
 
 Got-value moments, experimental sessions and the closest known location are
 written as running columns (see ``plans.scan``), so one shuffle on the user and
-one sort order serve all of them and no history is ever held as a whole.
+one sort order serve all of them and no history is ever held as a whole. Only the
+exact order of interleaved sessions needs a fold, over summaries of runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall import names as N
 from footfall.functions.scalars import int_or_zero, is_offline, json_text, known_city
-from footfall.plans.scan import LastKnown, NextKnown, Previous, RunningSum, Step, scan
+from footfall.plans.scan import HighestBefore, LastKnown, NextKnown, Previous, RunningSum, Step, scan
 from footfall.plans.time_range import between
-from footfall.session import ensure_checkpoint_dir
+from footfall.session import stored
 
 ORDER = ("created_at", "activation_time", "event_id")
 
@@ -224,49 +227,120 @@ def experimental_sessions(
     return flagged.select("userid", "session").distinct()
 
 
+def session_runs(rows: DataFrame, poi_rule: bool = True, sliced: bool = False) -> DataFrame:
+    """Runs of consecutive events of one session, each summed up in a fixed number of values.
+
+    Whether a run flags its session depends on what the session counted before it: on
+    ``c`` changes since ``b``, ``a`` adds and ``d`` details. An event of the run does when
+    its time less ``SECONDS_PER_CHANGE`` per change of the run so far is below
+    ``b + SECONDS_PER_CHANGE * c``, with at least ``MIN_CHANGES - c`` changes so far; and
+    likewise for adds and details. So the least such time (``fast``) and the greatest
+    surplus of adds (``unread``) for each number of missing changes or adds say all.
+    """
+    keys, at = _keys(rows), F.col("activation_time")
+    add, remove, detail = (
+        F.coalesce((F.col("event") == name).cast("int"), F.lit(0)) for name in ("ItineraryAdd", "ItineraryRemove", "DetailsChecked")
+    )
+    poi = int_or_zero(json_text(F.col("properties"), N.KEY_COUNT)) > N.MAX_REAL_POI if poi_rule else F.lit(False)
+    slim = rows.select(
+        *keys, *ORDER, "session", *(["slice"] if sliced else []), add.alias("_add"), (add + remove).alias("_change"),
+        detail.alias("_detail"), ((F.col("event") == "ItineraryAdd") & F.coalesce(poi, F.lit(False))).alias("_poi"),
+    )
+    first: dict[str, Step] = {
+        "_session": Previous(F.struct("session")), "_adds": RunningSum(F.col("_add")),
+        "_changes": RunningSum(F.col("_change")), "_details": RunningSum(F.col("_detail")),
+    }
+    begins = F.col("_session").isNull() | ~F.col("session").eqNullSafe(F.col("_session.session"))
+    base = F.struct(
+        at.alias("at"), (F.col("_adds") - F.col("_add")).alias("adds"),
+        (F.col("_changes") - F.col("_change")).alias("changes"), (F.col("_details") - F.col("_detail")).alias("details"),
+    )
+    second: dict[str, Step] = {
+        "run": RunningSum(begins.cast("int")), "_base": LastKnown(F.when(begins, base), inclusive=True),
+    }
+    counted = scan(scan(slim, keys, ORDER, first, sliced), keys, ORDER, second, sliced)
+    adds, changes, details = (F.col(f"_{n}") - F.col(f"_base.{n}") for n in ("adds", "changes", "details"))
+    missing = range(N.MIN_CHANGES + 1)
+    return counted.groupBy(*keys, "run").agg(
+        F.max("session").alias("session"), F.max("_base.at").alias("began"),
+        *([F.min("slice").alias("slice")] if sliced else []),
+        F.max(changes).alias("changes"), F.max(adds).alias("adds"), F.max(details).alias("details"),
+        F.array(*[F.min(F.when(changes >= n, at - N.SECONDS_PER_CHANGE * changes)) for n in missing]).alias("fast"),
+        F.array(*[F.max(F.when(adds >= n, adds - N.ADD_TO_DETAILS_RATIO * details)) for n in missing]).alias("unread"),
+        F.max("_poi").alias("poi"),
+    )
+
+
+def _fold_runs(keys: list[str], schema: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sessions flagged by runs that come ordered by stretch and run; holds one stretch's open counters."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, current, flagged = None, None, set()
+        adds = changes = details = began = 0
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                stretch = (*(r[k] for k in keys), r["stretch"])
+                session = r["session"]
+                if stretch != here:
+                    here, current, flagged = stretch, None, set()
+                if session in flagged:
+                    continue
+                if current != (session,):
+                    current, adds, changes, details, began = (session,), 0, 0, 0, r["began"]
+                fast = r["fast"][max(0, N.MIN_CHANGES - changes)]
+                unread = r["unread"][max(0, N.MIN_CHANGES - adds)]
+                if (
+                    r["poi"]
+                    or (fast is not None and fast < began + N.SECONDS_PER_CHANGE * changes)
+                    or (unread is not None and unread > N.ADD_TO_DETAILS_RATIO * details - adds)
+                ):
+                    flagged.add(session)
+                    out.append((*stretch[:-1], session))
+                adds, changes, details = adds + r["adds"], changes + r["changes"], details + r["details"]
+            names = [c.split()[0] for c in schema.split(", ")]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, o)) for o in out], schema=_arrow_schema(schema))
+
+    return fold
+
+
+def _arrow_schema(schema: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+
+
 def _strict_experimental(rows: DataFrame, poi_rule: bool, sliced: bool) -> DataFrame:
-    """Repeat the flagging without the rows of flagged sessions until it is stable.
+    """Flagged sessions in exact order: one pass over run summaries that carries the open counters.
 
-    The first flag of a user depends on nothing, the second only on the first,
-    and so on: every round makes at least one more flag of each user final, so
-    the stable state is the answer in order. Only users whose sessions
-    interleave take part; for all others one round is exact.
+    Events of a session that is already flagged are skipped, so its neighbours' runs may
+    join up. Runs are first grouped into stretches: between two stretches no session is
+    open that has rows on both sides, so they do not depend on each other. A stretch of
+    one run needs no order at all; the others are read in order, run by run, by tasks
+    that hold the flagged sessions and counters of one stretch and nothing else.
     """
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = _keys(rows)
-    place = F.struct(*ORDER)
-
-    def flags(live: DataFrame) -> DataFrame:
-        return (
-            mark(live, experimental=True, poi_rule=poi_rule, sliced=sliced)
-            .where("flagged")
-            .groupBy(*keys, "session")
-            .agg(F.min(place).alias("flagged_at"))
-        )
-
-    changes = scan(rows, keys, ORDER, {"_session": Previous(F.col("session"))}, sliced).where(
-        ~F.col("session").eqNullSafe(F.col("_session"))
-    )
-    mixed = (
-        changes.groupBy(*keys, "session").agg(F.count(F.lit(1)).alias("runs"))
-        .where(F.col("runs") > 1).select(*keys).distinct().checkpoint()
+    runs = session_runs(rows, poi_rule, sliced)
+    ends = runs.groupBy(*keys, "session").agg(F.max("run").alias("_last"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in (*keys, "session")]
+    runs = runs.alias("r").join(ends.alias("e"), reduce(lambda a, b: a & b, same)).select("r.*", "e._last")
+    runs = scan(runs, keys, ["run"], {"_open": HighestBefore(F.col("_last"))}, sliced)
+    apart = F.col("_open").isNull() | (F.col("_open") < F.col("run"))
+    # two ways on from here; a few values per run are written instead of reading the log twice
+    runs = stored(scan(runs, keys, ["run"], {"stretch": RunningSum(apart.cast("int"))}, sliced))
+    alone = apart & (F.col("_last") == F.col("run"))
+    single = runs.where(alone).where(
+        F.col("poi")
+        | F.coalesce(F.get("fast", F.lit(N.MIN_CHANGES)) < F.col("began"), F.lit(False))
+        | F.coalesce(F.get("unread", F.lit(N.MIN_CHANGES)) > 0, F.lit(False))
+    ).select(*keys, "session")
+    tangled = runs.where(~alone).select(
+        *keys, "stretch", "run", *[F.col(c).cast("bigint").alias(c) for c in ("session", "began", "changes", "adds", "details")],
+        F.col("fast").cast("array<bigint>").alias("fast"), F.col("unread").cast("array<bigint>").alias("unread"), "poi",
     )
-    simple = flags(rows.join(mixed, keys, "left_anti"))
-    if mixed.isEmpty():
-        return simple
-    tangled = rows.join(mixed, keys, "left_semi").checkpoint()
-    found = flags(tangled).checkpoint()
-    while True:
-        live = (
-            tangled.join(found, [*keys, "session"], "left")
-            .where(F.col("flagged_at").isNull() | (place <= F.col("flagged_at")))
-            .drop("flagged_at")
-        )
-        again = flags(live).checkpoint()
-        if again.exceptAll(found).isEmpty() and found.exceptAll(again).isEmpty():
-            return simple.unionByName(again)
-        found = again
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tangled.select(*keys, "session").schema)
+    ordered = tangled.repartition(*keys, "stretch").sortWithinPartitions(*keys, "stretch", "run")
+    folded = ordered.mapInArrow(_fold_runs(keys, schema), schema)
+    return single.unionByName(folded.withColumn("session", F.col("session").cast(rows.schema["session"].dataType)))
 
 
 def detect(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from copy import copy
+from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -13,7 +15,7 @@ from footfall import names as N
 from footfall.functions.aggregates import first_known
 from footfall.functions.scalars import json_text, known_city
 from footfall.operators import detectors
-from footfall.plans.skew import HotKeys, add_slice, find_hot
+from footfall.plans.skew import HotKeys, add_slice
 from footfall.plans.time_range import between
 
 
@@ -74,12 +76,30 @@ def never_located_users(logs: DataFrame, null_is_unknown: bool = False) -> DataF
     )
 
 
+@dataclass(frozen=True)
+class Detection:
+    """How got-value moments and experimental sessions are looked for.
+
+    Without ``anchor`` over whole histories; with it in batches of ``days`` days from
+    the anchor on, up to ``end``, which no history crosses. ``strict_order`` and
+    ``compat``: see ``detectors.experimental_sessions`` and ``detectors.choose_place``.
+    """
+
+    anchor: date | str | None = None
+    end: date | str | None = None
+    days: int = N.DETECTOR_BATCH_DAYS
+    rule: detectors.GotValueRule = detectors.GotValueRule()
+    compat: bool = False
+    strict_order: bool = False
+
+
 class Facts:
     """Event log with everything cohorts are built from.
 
     Derived tables are built when first asked for. ``keep`` decides how they are
     kept between uses: as plans (default) or written out, see ``session.stored``.
-    The detections are taken as given, or run over the log when a gazetteer is.
+    The detections are taken as given, or run over the log when a gazetteer is, in
+    the way ``detection`` says.
     """
 
     def __init__(
@@ -88,7 +108,9 @@ class Facts:
         hot: HotKeys | None = None,
         gazetteer: DataFrame | None = None,
         keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        detection: Detection = Detection(),
     ) -> None:
+        self.detection = detection
         self.logs = logs if "slice" in logs.columns else add_slice(logs, hot)
         self.hot = hot
         self._gazetteer = gazetteer
@@ -114,7 +136,11 @@ class Facts:
     def _detected(self) -> tuple[DataFrame, DataFrame]:
         if self._gazetteer is None:
             raise ValueError("detections need a gazetteer, or give the finished tables")
-        return detectors.detect(self.logs, self._gazetteer, sliced=self.sliced, keep=self._keep)
+        how = self.detection
+        return detectors.detect(
+            self.logs, self._gazetteer, how.anchor, how.end, how.days, how.rule, how.compat, how.strict_order,
+            sliced=self.sliced, keep=self._keep,
+        )
 
     @cached_property
     def got_value(self) -> DataFrame:
@@ -124,13 +150,16 @@ class Facts:
     def experimental(self) -> DataFrame:
         return self._keep(self._detected[1])
 
+    def detected(self, how: Detection) -> Facts:
+        """The same facts with detections made in another way."""
+        out = copy(self)
+        out.detection = how
+        for name in ("_detected", "got_value", "experimental"):
+            out.__dict__.pop(name, None)
+        return out
+
     def with_detections(self, got_value: DataFrame, experimental: DataFrame) -> Facts:
         """The same facts with detections made elsewhere."""
         out = copy(self)
         out.__dict__.update(got_value=got_value, experimental=experimental)
         return out
-
-
-def measured_facts(logs: DataFrame, **options) -> Facts:
-    """Facts of a log after a look for hot users."""
-    return Facts(logs, find_hot(logs, "userid", "created_at"), **options)

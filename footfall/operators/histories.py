@@ -14,21 +14,34 @@ def users_between(logs: DataFrame, start, end) -> DataFrame:
     return between(logs, start, end).select("userid").distinct()
 
 
+def _lot(seed: int) -> Column:
+    """An even number in (0, 1] per seed and user, the same on every run and engine."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("userid"))), 1, 12)
+    return (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(float(1 << 48))
+
+
 def sample_users(
     events: DataFrame, size: int, seed: int = 0, by: str = "user", order: Column | None = None
 ) -> DataFrame:
-    """``size`` random users.
+    """``size`` random users; which ones depends on the seed and the users alone, but for ``by="event"``.
 
-    ``by="user"`` draws distinct users; ``by="event"`` draws event rows, so heavy
-    users come up more often and may repeat. ``order`` replaces the random order.
+    ``by="user"`` draws distinct users with equal chances. ``by="weight"`` draws distinct
+    users without replacement, each as likely as it has events: every user gets an
+    exponential waiting time whose rate is its number of events, and the first come out.
+    ``by="event"`` draws event rows, so heavy users come up more often and may repeat.
+    ``order`` replaces the random order.
     """
     if by == "user":
         rows = events.select("userid").distinct()
+        lot = F.md5(F.concat(F.lit(f"{seed}:"), F.col("userid")))
+    elif by == "weight":
+        rows = events.groupBy("userid").agg(F.count(F.lit(1)).alias("_n"))
+        lot = -F.log(_lot(seed)) / F.col("_n")
     elif by == "event":
-        rows = events.select("userid")
+        rows, lot = events.select("userid"), F.rand(seed)
     else:
-        raise ValueError("by must be 'user' or 'event'")
-    return rows.orderBy(F.rand(seed) if order is None else order).limit(size)
+        raise ValueError("by must be 'user', 'weight' or 'event'")
+    return rows.orderBy(lot if order is None else order, "userid").limit(size).select("userid")
 
 
 def histories(logs: DataFrame, users: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 Most operators work per user. A user with a large share of all rows would land
 in one task, so such users are found first (one map-side combined count) and
-their history is cut into time slices of bounded size. ``slice`` is 0 for all
-other users, which are left alone.
-
-Sizes are bounded whatever the data: at most ``MAX_HOT`` users are cut, each into
-at most ``MAX_SLICES`` slices. A user beyond the first ``MAX_HOT`` by row count
-holds less than 1/``MAX_HOT`` of all rows, so nothing is left out.
+their history is cut into time slices of even size. ``slice`` is 0 for all other
+users, which are left alone.
+
+Any number of users may be hot and any number of slices may come of one: counts,
+cuts and slices are tables. A user's rows are counted per unit of time, units are
+added up within a day and days within the user, so no window here holds more than
+the units of a day or the days of a log. Lookups join on (user, day); Spark
+broadcasts the cuts when their file is small and shuffles both sides when not.
 """
 
 from __future__ import annotations
@@ -17,24 +19,37 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.session import small_table
+from footfall.session import stored
 
-MAX_HOT = 1024
-MAX_SLICES = 256
 MAX_ROWS = 500_000
 UNIT_SECONDS = 60
+DAY_SECONDS = 86_400
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys with the start (in time units) of each of their slices."""
+    """Hot keys: per day the units at which a slice begins, and all slices.
+
+    ``cuts``: userid, day, cuts array<struct<unit, slice>>, the first one of a day
+    being the slice that goes on from the day before. ``slices``: userid, slice.
+    They hold for the events they were made from and for any part of them.
+    """
 
     cuts: DataFrame
+    slices: DataFrame
     unit_seconds: int
 
 
+def _seconds(at: Column) -> Column:
+    return F.unix_seconds(at.cast("timestamp"))
+
+
 def _unit(at: Column, unit_seconds: int) -> Column:
-    return F.floor(F.unix_seconds(at.cast("timestamp")) / unit_seconds)
+    return F.floor(_seconds(at) / unit_seconds)
+
+
+def _day(unit: Column, unit_seconds: int) -> Column:
+    return F.floor(unit * unit_seconds / DAY_SECONDS).cast("int")
 
 
 def find_hot(
@@ -46,67 +61,54 @@ def find_hot(
 ) -> HotKeys | None:
     """Keys with more than ``max_rows`` rows, and cuts that even out their slices.
 
-    Runs one job over two columns of ``events``; the second one only when there
-    is a hot key. Returns None when no key is hot.
+    Runs one job over two columns of ``events``; others only when there is a hot key. Returns None when no key is hot. A unit is never cut.
     """
-    spark = events.sparkSession
-    counts = (
-        events.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("userid"))
+    users = events.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    hot = (
+        users.groupBy(F.col(key).cast("string").alias("userid"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > max_rows)
-        .orderBy(F.desc("rows"), "userid")
-        .limit(MAX_HOT)
-        .collect()
     )
-    if not counts:
+    if hot.isEmpty():
         return None
-    hot = small_table(
-        spark,
-        [(r["userid"], r["rows"]) for r in counts],
-        f"userid {events.schema[key].dataType.simpleString()}, rows bigint",
-    )
-    per_unit = (
-        events.select(F.col(key).alias("userid"), _unit(F.col(at), unit_seconds).alias("unit"))
-        .join(F.broadcast(hot), "userid")
-        .groupBy("userid", "rows", "unit")
+    hot = stored(hot.select("userid"))
+    units = stored(
+        users.select(F.col(key).cast("string").alias("userid"), _unit(F.col(at), unit_seconds).alias("unit"))
+        .join(hot, "userid", "left_semi")
+        .groupBy("userid", "unit")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("day", _day(F.col("unit"), unit_seconds))
     )
-    before = F.sum("n").over(Window.partitionBy("userid").orderBy("unit")) - F.col("n")
-    target = F.greatest(F.lit(max_rows), F.ceil(F.col("rows") / F.lit(MAX_SLICES - 1)))
-    cuts = (
-        per_unit.withColumn("piece", F.floor(before / target))
-        .groupBy("userid", "piece")
-        .agg(F.min("unit").alias("unit"))
-        .groupBy(F.col("userid").cast("string").alias("userid"))
-        .agg(F.array_sort(F.collect_list("unit")).alias("cuts"))
-        .collect()
-    )
-    # at most MAX_HOT rows of at most MAX_SLICES numbers
-    table = small_table(
-        spark, [(r["userid"], r["cuts"]) for r in cuts], "userid string, cuts array<bigint>"
-    )
-    return HotKeys(table, unit_seconds)
+    of_day = Window.partitionBy("userid", "day").orderBy("unit")
+    of_user = Window.partitionBy("userid").orderBy("day")
+    days = units.groupBy("userid", "day").agg(F.sum("n").alias("n"))
+    days = days.select("userid", "day", (F.sum("n").over(of_user) - F.col("n")).alias("before"))
+    inside = units.select("userid", "day", "unit", (F.sum("n").over(of_day) - F.col("n")).alias("inside"))
+    piece = F.floor((F.col("before") + F.col("inside")) / max_rows).cast("int") + 1
+    starts = inside.join(days, ["userid", "day"]).groupBy("userid", "day", piece.alias("slice")).agg(F.min("unit").alias("unit"))
+    starts = stored(starts)
+    cuts = starts.groupBy("userid", "day").agg(F.array_sort(F.collect_list(F.struct("unit", "slice"))).alias("cuts"))
+    return HotKeys(stored(cuts), stored(starts.select("userid", "slice").distinct()), unit_seconds)
 
 
 def add_slice(events: DataFrame, hot: HotKeys | None, key: str = "userid", at: str = "created_at") -> DataFrame:
     """Add ``slice``: 0 for normal users, 1.. in time order for hot ones."""
     if hot is None:
         return events.withColumn("slice", F.lit(0))
-    cuts = hot.cuts.select(F.col("userid").alias("_hot"), F.col("cuts").alias("_cuts"))
+    cuts = hot.cuts.select(F.col("userid").alias("_hot"), F.col("day").alias("_day"), F.col("cuts").alias("_cuts"))
     unit = _unit(F.col(at), hot.unit_seconds)
-    # how many cuts have been reached, by halving steps
-    steps = [MAX_SLICES >> i for i in range(1, MAX_SLICES.bit_length())]
+    # how many cuts of the day have been reached, by halving steps
+    most = max(1, DAY_SECONDS // hot.unit_seconds + 1).bit_length()
+    steps = [1 << i for i in reversed(range(most))]
     reached = F.aggregate(
         F.array(*map(F.lit, steps)),
         F.lit(0),
-        lambda done, step: F.when(F.get("_cuts", done + step - 1) <= unit, done + step).otherwise(done),
+        lambda done, step: F.when(F.get("_cuts", done + step - 1)["unit"] <= unit, done + step).otherwise(done),
     )
-    hot_slice = F.greatest(reached, F.lit(1))
     return (
-        events.join(F.broadcast(cuts), F.col(key).cast("string") == F.col("_hot"), "left")
-        .withColumn("slice", F.when(F.col("_cuts").isNotNull(), hot_slice).otherwise(0))
-        .drop("_hot", "_cuts")
+        events.join(cuts, (F.col(key).cast("string") == F.col("_hot")) & (_day(unit, hot.unit_seconds) == F.col("_day")), "left")
+        .withColumn("slice", F.when(F.col("_cuts").isNotNull(), F.get("_cuts", F.greatest(reached, F.lit(1)) - 1)["slice"]).otherwise(0))
+        .drop("_hot", "_day", "_cuts")
     )
 
 
@@ -114,14 +116,11 @@ def spread(per_user: DataFrame, hot: HotKeys | None, key: str = "userid") -> Dat
     """Copy the rows of hot users to each of their slices, for joins on (user, slice)."""
     if hot is None:
         return per_user.withColumn("slice", F.lit(0))
-    sizes = hot.cuts.select(F.col("userid").alias("_hot"), F.size("cuts").alias("_slices"))
-    slices = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(1), F.col("_slices"))
-    )
+    slices = hot.slices.select(F.col("userid").alias("_hot"), F.col("slice").alias("_slice"))
     return (
-        per_user.join(F.broadcast(sizes), F.col(key).cast("string") == F.col("_hot"), "left")
-        .withColumn("slice", F.explode(slices))
-        .drop("_hot", "_slices")
+        per_user.join(slices, F.col(key).cast("string") == F.col("_hot"), "left")
+        .withColumn("slice", F.coalesce("_slice", F.lit(0)))
+        .drop("_hot", "_slice")
     )
 
 

@@ -190,3 +190,63 @@ def test_closest_place_and_compat(make_log, spark):
         for compat in (False, True)
     ]
     assert middle == ["London", "ROW"]
+
+
+def interleaved_rows(n_sessions, n_events, seed):
+    rng = random.Random(seed)
+    rows, at, session = [], 0, 0
+    for i in range(n_events):
+        at += rng.choice((1, 4, 9, 15, 60))
+        session = rng.randrange(n_sessions) if rng.random() < 0.3 else session
+        event = rng.choice(["ItineraryAdd", "ItineraryRemove", "DetailsChecked", "X", "X", "X"])
+        rows.append({
+            "userid": "u", "event": event, "at": at, "activation_time": at, "session": session, "network": True,
+            "poi": 11 if rng.random() < 0.004 else 1, "event_id": i,
+        })
+    return [r | {"properties": json.dumps({N.KEY_COUNT: str(r["poi"])})} for r in rows]
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_two_hundred_interleaved_sessions_of_one_user(make_log, split):
+    """One tangle of 200 sessions, whole and in slices: flagged as by the plain fold."""
+    rows = interleaved_rows(200, 3000, 3)
+    log = make_log(rows)
+    hot = find_hot(log, "userid", "created_at", max_rows=100) if split else None
+    strict = detectors.experimental_sessions(add_slice(log, hot), strict_order=True, sliced=split)
+    flagged = {r.session for r in strict.collect()}
+    assert flagged == folds.experimental(rows) and 20 < len(flagged) < 200
+
+
+def test_strict_order_takes_a_fixed_number_of_jobs(spark, make_log):
+    """As many jobs for a tangle of 150 sessions as for one of three."""
+
+    def jobs(rows):
+        tracker, group = spark.sparkContext.statusTracker(), f"strict {len(rows)}"
+        spark.sparkContext.setJobGroup(group, group)
+        detectors.experimental_sessions(make_log(rows), strict_order=True).collect()
+        return len(tracker.getJobIdsForGroup(group))
+
+    try:
+        few, many = jobs(interleaved_rows(3, 300, 1)), jobs(interleaved_rows(150, 1500, 2))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert abs(few - many) <= 2  # the planner may merge a small exchange
+
+
+def test_facts_pass_the_way_of_detection_on(case, spark):
+    from datetime import date
+
+    from footfall.operators.facts import Detection, Facts
+
+    rows, log, _ = case(8, interleave=True)
+    table = spark.createDataFrame([("nowhere", "ROW")], "city string, region string")
+    facts = Facts(log, None, table)
+    strict = facts.detected(Detection(strict_order=True))
+    assert {tuple(r) for r in strict.experimental.collect()} == flags_of(rows)
+    daily = facts.detected(Detection(date(2024, 1, 1), date(2024, 1, 3), 1, strict_order=True))
+    expected = set()
+    for u, h in per_user(rows).items():
+        for day in range(2):
+            expected |= {(u, s) for s in folds.experimental([e for e in h if e["at"] // 86400 == day])}
+    assert {tuple(r) for r in daily.experimental.collect()} == expected
+    assert {tuple(r) for r in facts.experimental.collect()} != flags_of(rows)

@@ -3,7 +3,14 @@
 from pyspark.sql import functions as F
 
 from footfall.plans import skew
-from footfall.plans.scan import LastKnown, NextKnown, Previous, RunningSum, scan
+from footfall.plans.scan import HighestBefore, LastKnown, NextKnown, Previous, RunningSum, scan
+
+
+def steps():
+    return {
+        "sum": RunningSum(F.col("s")), "previous": Previous(F.col("v")), "last": LastKnown(F.col("v")),
+        "until": LastKnown(F.col("v"), inclusive=True), "next": NextKnown(F.col("v")), "high": HighestBefore(F.col("v")),
+    }
 
 
 def uneven(spark):
@@ -33,10 +40,46 @@ def test_slices_are_even_and_in_order(spark):
     assert all(a.hi < b.lo for a, b in zip(slices, slices[1:]))
 
 
-def test_number_of_slices_is_bounded(spark):
-    hot = skew.find_hot(uneven(spark), "u", "at", max_rows=1, unit_seconds=1)
-    assert hot.cuts.agg(F.max(F.size("cuts"))).first()[0] <= skew.MAX_SLICES
-    assert hot.cuts.count() == 41
+def test_every_user_can_be_hot_and_cuts_are_kept_by_day(spark):
+    rows = uneven(spark)
+    hot = skew.find_hot(rows, "u", "at", max_rows=1, unit_seconds=1)
+    assert hot.cuts.select("userid").distinct().count() == 41
+    assert hot.cuts.count() == rows.select("u", F.to_date("at")).distinct().count()
+    assert hot.slices.count() == rows.select("u", "s").distinct().count()
+
+
+def test_two_thousand_hot_users_over_two_years(spark):
+    """Far more hot users and slices than were once allowed; nothing of them reaches the driver."""
+    rows = spark.range(2000 * 70).select(
+        (F.col("id") % 2000).cast("string").alias("userid"), F.pmod(F.xxhash64("id"), F.lit(730 * 86400)).alias("s"), F.col("id").alias("event_id"),
+    ).withColumn("at", F.timestamp_seconds("s")).withColumn("v", F.when(F.col("event_id") % 5 == 0, F.col("s"))).cache()
+    hot = skew.find_hot(rows, "userid", "at", max_rows=9)
+    assert hot.slices.select("userid").distinct().count() == 2000
+    assert hot.slices.agg(F.max("slice")).first()[0] == 8
+    cut = skew.add_slice(rows, hot, at="at").cache()
+    assert cut.where("slice = 0").isEmpty()
+    split = scan(cut, ["userid"], ["s", "event_id"], steps(), sliced=True).cache()
+    whole = scan(cut, ["userid"], ["s", "event_id"], steps(), sliced=False).select(*split.columns)
+    assert split.count() == 140_000 and split.exceptAll(whole).isEmpty()
+
+
+def test_carries_go_through_groups_of_slices(spark, monkeypatch):
+    monkeypatch.setattr("footfall.plans.scan.GROUP", 3)
+    rows = uneven(spark).withColumn("v", F.when(F.col("event_id") % 31 < 2, F.col("event_id")))
+    cut = skew.add_slice(rows, skew.find_hot(rows, "u", "at", max_rows=50, unit_seconds=1), "u", "at")
+    split = scan(cut, ["u"], ["s", "event_id"], steps(), sliced=True)
+    whole = scan(cut, ["u"], ["s", "event_id"], steps(), sliced=False).select(*split.columns)
+    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
+
+
+def test_slices_need_no_driver(spark):
+    import inspect
+
+    from footfall.plans import scan as scans
+
+    for module in (skew, scans):
+        text = inspect.getsource(module)
+        assert not any(word in text for word in (".collect()", ".limit(", "broadcast(", "toPandas", ".take("))
 
 
 def test_joins_with_spread_users_are_whole(spark):
