@@ -39,7 +39,7 @@ SHARE = 1 / 512
 CELL_BITS = 25
 #: Pointers that a task gathers before it sends them on, and words a routed task shall hold.
 GATHERED, TASK_WORDS = 1_000_000, 1_000_000
-TEXT_BYTES = 32 << 20
+TEXT_BYTES = 8 << 20
 END = -1
 
 
@@ -126,15 +126,24 @@ def frequent_prefixes(keys: np.ndarray, weights: np.ndarray, least: int, routed:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """(texts, languages) of bounded size, a whole text at least."""
+    """(texts, languages) of about ``TEXT_BYTES``, over batches or parts of one; a whole text at least."""
+    waiting: list[tuple[pa.Array, pa.Array]] = []
+    held = 0
     for batch in batches:
         texts, langs = batch.column(0), batch.column(1)
         ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
         a = 0
         while a < len(texts):
-            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + TEXT_BYTES, "right")))
-            yield texts.slice(a, b - a), langs.slice(a, b - a)
+            room = max(0, TEXT_BYTES - held) + (ends[a - 1] if a else 0)
+            b = min(len(texts), max(a + 1, int(np.searchsorted(ends, room, "right"))))
+            waiting.append((texts.slice(a, b - a), langs.slice(a, b - a)))
+            held += int(ends[b - 1] - (ends[a - 1] if a else 0))
             a = b
+            if held >= TEXT_BYTES or a < len(texts):
+                yield tuple(pa.concat_arrays(c) for c in zip(*waiting))
+                waiting, held = [], 0
+    if waiting:
+        yield tuple(pa.concat_arrays(c) for c in zip(*waiting))
 
 
 COUNTED = "lang string, phrase string, n bigint"
@@ -155,11 +164,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.bincount(mine[:, 0], minlength=len(names))
             at = np.flatnonzero(counts)
             yield _rows(COUNTED, pa.array([lang] * (len(at) + 1)), pa.array([names[c] for c in at] + [None], pa.string()), np.append(counts[at], len(mine)))
+            # of the whole slice, so that the sum over slices bounds the share of all words
+            least = max(2, SHARE / 4 * real.sum())
+            often = np.append(counts >= least, False)
+            lead = mine[often[mine[:, 0]] & often[mine[:, 1]]]
             for length in (2, 3):
-                lead = mine[mine[:, length - 1] != END, :length]
-                keys, n = merged(lead, np.ones(len(lead), np.int64))
-                # of the whole batch, so that the sum over batches bounds the share of all words
-                hot = n >= max(2, SHARE / 4 * real.sum())
+                lead = lead[lead[:, length - 1] != END]
+                keys, n = merged(lead[:, :length], np.ones(len(lead), np.int64))
+                hot = n >= least
                 yield _rows(COUNTED, pa.array([lang] * int(hot.sum()), pa.string()), pa.array([" ".join(names[c] for c in key) for key in keys[hot]], pa.string()), n[hot])
 
 
@@ -289,5 +301,8 @@ def collocations(docs: DataFrame, least: int = 30, best: int = 2000) -> DataFram
     swallowed: Column = F.coalesce(wide("of") * 100 >= wide("a") * 80, F.lit(False))
     free = lowest.join(inside, ["lang", "phrase"], "left").where(~swallowed)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"), "phrase"))
-    top = free.select("lang", "phrase", "a", "c", rank.cast("bigint").alias("rank")).where(F.col("rank") <= best)
+    # the best of 16 parts of a language first, so that few rows meet in its one last window
+    part = F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.desc("c.score"), F.desc("a"), "phrase"))
+    few = free.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(16))).withColumn("place", part).where(F.col("place") <= best)
+    top = few.select("lang", "phrase", "a", "c", rank.cast("bigint").alias("rank")).where(F.col("rank") <= best)
     return top.join(totals, "lang").select("lang", "rank", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))
