@@ -432,10 +432,48 @@ def test_language_model(spark, docs, texts, empty, monkeypatch):
 
 def test_model_is_normalised():
     rng = np.random.default_rng(4)
-    model = language_model.Model.start(rng.integers(0, 50, language_model.CLASSES))
-    every = np.arange(language_model.CLASSES)
-    p = model.log_probabilities(np.full_like(every, 7), np.full_like(every, 9), every)
-    assert math.isclose(np.exp(p).sum(), 1, rel_tol=1e-4)
+    counts = rng.integers(1, 50, 71)
+    model = language_model.Model.start(counts, 300)
+    every = np.append(np.arange(71), language_model.OTHER)
+    contexts = rng.integers(0, len(model.context), (1, language_model.BEFORE)).repeat(72, axis=0)
+    assert math.isclose(np.exp(model.log_probabilities(contexts, every)).sum(), 1, rel_tol=1e-5)
+
+
+def lm_docs(spark, n: int, text):
+    return spark.createDataFrame([(k, text(k)) for k in range(n)], "doc_id long, text string").repartition(4)
+
+
+def test_scores_sum_to_one_over_all_words_and_an_unseen_one(spark, monkeypatch):
+    """One-word texts in place of each word: their probabilities, divided by the end's after them, add up to one."""
+    monkeypatch.setattr(language_model, "OWN", 12)
+    rng = random.Random(2)
+    training = lm_docs(spark, 120, lambda k: " ".join(rng.choice(WORDS) for _ in range(12)))
+    training = training.withColumn("lot", (training.doc_id % 16).cast("int"))
+    counts, words = language_model.count_words(training)
+    model = language_model.train(training, words)
+    assert len(words.own_counts) == 12
+    total = {r["h"]: r["c"] for r in counts.collect()}
+    blank = model.own + language_model.SHARED
+    every = [b"", *(w.encode() for w in WORDS)]
+    _, _, numbers = words.look_up(every)
+    numbers[0] = language_model.END
+    logs = model.log_probabilities(np.full((len(every), language_model.BEFORE), blank), numbers)
+    share = [
+        1.0 if n != language_model.OTHER else (total[language_model.word_hash(w)] + 0.1) / words.other_mass for w, n in zip(every, numbers)
+    ]
+    unseen = math.exp(model.log_probabilities(np.full((1, language_model.BEFORE), blank), np.array([language_model.OTHER]))[0]) * 0.1 / words.other_mass
+    assert math.isclose(sum(math.exp(p) * s for p, s in zip(logs, share)) + unseen, 1, rel_tol=1e-5)
+
+
+def test_training_beats_its_start(spark):
+    """Texts in one of two languages of their own: what came before tells the language."""
+    rng = random.Random(3)
+    two = [[f"{side}{k}" for k in range(40)] for side in "xy"]
+    docs = lm_docs(spark, 400, lambda k: " ".join(rng.choice(two[k % 2]) for _ in range(30)))
+    rows = [r for r in language_model.scored(docs).collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in rows)
+    gain = sum(r.score - r.base_score for r in rows) / tokens
+    assert len(rows) > 20 and 0.2 < gain < 0.36  # a word's language is worth log10(2) = 0.301, and the end's place is unknown
 
 
 def test_pipeline(spark):
