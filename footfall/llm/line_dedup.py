@@ -195,7 +195,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     or in part. Their names get a leading underscore where ``docs`` has them already.
     """
     small_batches(docs.sparkSession)
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     keyed = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pandas_udf(_anchors, ANCHOR)("text").alias("anchors"), own.alias("own"),
     ))
