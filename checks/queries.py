@@ -36,7 +36,8 @@ from footfall.sources.gazetteer import read_gazetteer
 from footfall.sources.json_events import normalize_events
 from footfall.sources.log_table import append_logs, ingest_increment, read_logs
 from footfall.sources.ranges import date_batches
-from footfall.streaming.ingest import ingest_stream, read_line_stream
+from footfall.streaming.got_value import located_got_value_stream, use_state_store
+from footfall.streaming.ingest import closing_stream, ingest_stream, read_closed_days, read_line_stream
 
 START, END = date(2024, 1, 1), date(2024, 1, 31)
 LIMIT = events_table.SESSION_LIMIT_SECONDS
@@ -193,6 +194,24 @@ def _date_batches(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["scan_json_lift"] = _scan_json_lift
 QUERIES["ingest_increment"] = _ingest_increment
 QUERIES["ingest_increment_rejects"] = _ingest_increment_rejects
+def _closed_day_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads, of which the second brings rows of days that the first closed: closed days and late rows."""
+    out = fresh_folder(spark)
+    read = lambda key: F.get_json_object("value", f"$.properties.{key}").cast("double").cast("bigint")
+    lines = stored(raw_lines(spark, folder)).withColumn("day", F.dayofmonth(F.timestamp_seconds(read(N.KEY_TIME))))
+    late = (F.col("day") <= 10) & (read(N.KEY_ACTIVATION) % 50 == 0)
+    for rows in (lines.where((F.col("day") <= 20) & ~late), lines.where((F.col("day") > 20) | late)):
+        rows.select("value").write.mode("append").text(f"{out}/in")
+        run = closing_stream(
+            read_line_stream(spark, f"{out}/in"), f"{out}/log", f"{out}/rejects", f"{out}/late", f"{out}/counts", f"{out}/checkpoint"
+        )
+        run.awaitTermination()
+    closed = read_closed_days(spark, f"{out}/counts").withColumn("late", F.lit(False))
+    beyond = read_logs(spark, f"{out}/late").groupBy(F.col("event_date").alias("day"), "event").agg(F.count("*").alias("events"))
+    return closed.unionByName(beyond.withColumn("late", F.lit(True))).withColumn("day", day_text("day"))
+
+
+QUERIES["closed_day_counts"] = _closed_day_counts
 QUERIES["stream_ingest"] = _stream_ingest
 QUERIES["ingest_rejects"] = _ingest_rejects
 QUERIES["date_batches"] = _date_batches
@@ -431,6 +450,25 @@ for _name in COHORTS:
     QUERIES[f"cohort_{_name}"] = _cohort_query(_name)
 
 
+@lru_cache(maxsize=8)
+def _sparse_facts(spark: SparkSession, app: str, folder: str) -> Facts:
+    """Only what each user did in the first four days, where few users do everything."""
+    facts = facts_of(spark, folder)
+    return Facts(stored(facts.logs.where(F.col("activation_time") < 345_600)), facts.hot, events_table.gazetteer(spark), keep=stored)
+
+
+def sparse_facts(spark: SparkSession, folder: str) -> Facts:
+    return _sparse_facts(spark, spark.sparkContext.applicationId, folder)
+
+
+def _sparse_query(name: str) -> Query:
+    return lambda spark, folder: _cohort_rows(cohort_events(sparse_facts(spark, folder), name, START, END))
+
+
+for _name in COHORTS:
+    QUERIES[f"sparse_{_name}"] = _sparse_query(_name)
+
+
 def _group(facts: Facts, london: bool) -> DataFrame:
     return group_events(facts, london).select(
         "userid", "event", us("created_at").alias("created_us"), long("session").alias("session"),
@@ -676,6 +714,27 @@ def got_value(facts: Facts) -> DataFrame:
     return _got_rows(facts.got_value)
 
 
+@query
+def got_value_live(facts: Facts) -> DataFrame:
+    """The log as a stream, followed by a row far ahead in time that lets all waiting moments go."""
+    spark, out = facts.logs.sparkSession, fresh_folder(facts.logs.sparkSession)
+    log = facts.logs.drop("slice")
+    log.write.parquet(f"{out}/log")
+    ahead = log.groupBy().agg(F.max("created_at").alias("created_at")).where("created_at is not null").select(
+        *[(F.col(c) + F.expr("INTERVAL 100 DAYS")).alias(c) if c == "created_at" else F.lit("" if c in ("userid", "event") else None).cast(t).alias(c) for c, t in log.dtypes]
+    )
+    ahead.write.mode("append").parquet(f"{out}/log")
+    use_state_store(spark)
+    stream = spark.readStream.schema(log.schema).parquet(f"{out}/log")
+    moments = located_got_value_stream(stream, events_table.gazetteer(spark))
+    run = (
+        moments.writeStream.format("parquet").option("path", f"{out}/moments").option("checkpointLocation", f"{out}/checkpoint")
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return _got_rows(spark.read.schema(moments.schema).parquet(f"{out}/moments"))
+
+
 @query
 def experimental_sessions(facts: Facts) -> DataFrame:
     return facts.experimental.select("userid", long("session").alias("session"))

@@ -77,3 +77,13 @@ def stored(rows: DataFrame) -> DataFrame:
     path = fresh_folder(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def remove_folders(spark: SparkSession, pattern: str, keep: str | None = None) -> None:
+    """Delete the folders that ``pattern`` matches, but for the one named ``keep``, in whatever store they are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(conf)
+    for found in fs.globStatus(path) or []:
+        if found.getPath().getName() != keep:
+            fs.delete(found.getPath(), True)

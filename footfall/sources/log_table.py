@@ -1,8 +1,14 @@
-"""The stored event log: append, read, and loading landed files by date."""
+"""The stored event log: append, read, and loading landed files by date.
+
+All writers, streams included, partition the log by day and by load. A load has a name
+of its own and its folders are replaced as a whole, so a job that failed halfway can be
+repeated, and appends, loads and streams may share one log.
+"""
 
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
@@ -10,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import names as N
-from footfall.session import stored
+from footfall.session import remove_folders, stored
 from footfall.sources.json_events import LOG_COLUMNS, lift, mark_rejects, read_lines, split_rejects
 
 
@@ -18,30 +24,43 @@ def with_event_date(log: DataFrame) -> DataFrame:
     return log.withColumn("event_date", F.to_date("created_at"))
 
 
-def write_days(log: DataFrame, path: str, mode: str, partitions: list[str]) -> None:
-    """Files per day, ordered by user and time.
+LOG_PARTITIONS = ("event_date", "load")
+
+
+def write_load(log: DataFrame, path: str, load: str) -> None:
+    """Files per day of one load, ordered by user and time, in place of what the load wrote before.
 
     The range also covers the time, so neither a big day nor a hot user ends up
     in one task, and the files' min/max values prune by user.
     """
+    order = [*LOG_PARTITIONS, "userid", "created_at"]
     (
-        log.repartitionByRange(*partitions, "userid", "created_at")
-        .sortWithinPartitions(*partitions, "userid", "created_at", "activation_time", "event_id")
-        .write.mode(mode)
+        with_event_date(log).withColumn("load", F.lit(load))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order, "activation_time", "event_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*LOG_PARTITIONS)
         .parquet(path)
     )
 
 
 def append_logs(log: DataFrame, path: str) -> None:
-    """Append to the log, partitioned by day."""
-    write_days(with_event_date(log), path, "append", ["event_date"])
+    """Append to the log."""
+    write_load(log, path, f"append-{uuid.uuid4().hex}")
 
 
 def replace_days(log: DataFrame, path: str) -> None:
-    """Write the days of ``log`` anew; running it twice changes nothing."""
-    write_days(with_event_date(log), path, "overwrite", ["event_date"])
+    """Write the days of ``log`` anew, whatever loads they came from.
+
+    The new rows are there before the old ones go; running it again, also after a
+    failure in between, leaves the rows of ``log`` alone in these days.
+    """
+    load = f"days-{uuid.uuid4().hex}"
+    log = stored(log)
+    write_load(log, path, load)
+    for row in with_event_date(log).select(F.col("event_date").cast("string").alias("day")).distinct().collect():
+        remove_folders(log.sparkSession, f"{path}/event_date={row['day']}/load=*", keep=f"load={load}")
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -111,11 +130,9 @@ def ingest_increment(
     if number:
         rows = rows.unionByName(spark.read.parquet(f"{mark_path}/_waiting/load={number}"))
     due = F.to_date("created_at") <= F.lit(end)
-    write_days(
-        with_event_date(rows.where(due)).withColumn("load", F.lit(load)), log_path, "overwrite", ["event_date", "load"]
-    )
+    write_load(rows.where(due), log_path, f"ingest-{load}")
     (
-        rejects.withColumn("loaded_to", F.lit(end)).withColumn("load", F.lit(load))
+        rejects.withColumn("loaded_to", F.lit(end)).withColumn("load", F.lit(f"ingest-{load}"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load")
@@ -125,4 +142,6 @@ def ingest_increment(
     # in one file, so that it is there as a whole or not at all
     mark = spark.createDataFrame([(load, end, f) for f in files or [None]], MARK).coalesce(1)
     mark.write.mode("append").json(mark_path)
+    # a load whose mark is there is never repeated, so what waited before it is done with
+    remove_folders(spark, f"{mark_path}/_waiting/load=*", keep=f"load={load}")
     return start, end
