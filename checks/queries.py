@@ -866,6 +866,20 @@ for _report in REPORTS:
     QUERIES[f"matrix_{_report.name}"] = _matrix_query(_report)
 
 
+@lru_cache(maxsize=4)
+def _two_starts(spark: SparkSession, app: str, folder: str) -> Matrix:
+    return Matrix(facts_of(spark, folder), [START, date(2024, 1, 2)], limit_seconds=LIMIT)
+
+
+def _two_starts_query(name: str) -> Query:
+    report = next(r for r in REPORTS if r.name == name)
+    return lambda spark, folder: _flat(_two_starts(spark, spark.sparkContext.applicationId, folder).table(report))
+
+
+QUERIES["matrix_two_starts"] = _two_starts_query("funnel_ordered")
+QUERIES["matrix_two_starts_days"] = _two_starts_query("retention_days")
+
+
 def _cells(rows: DataFrame) -> DataFrame:
     return rows.groupBy(
         day_text("date_start").alias("date_start"), day_text("date_end").alias("date_end"),

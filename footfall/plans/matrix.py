@@ -1,10 +1,10 @@
 """All windows, cohorts and reports in one go.
 
-Windows share their start, so the log is cut into the stretches between window
-ends. Every per-user table is aggregated per stretch once, combined upwards into
+The starts and ends of all windows cut the log into stretches, and a window is a
+range of them. Every per-user table is aggregated per stretch once, combined into
 windows, and only then joined with the table of who belongs to which cohorts in
 which window. The event log is read for the members' events and for the
-membership tests, however many (window, cohort, report) cells there are.
+membership tests, however many (start, window, cohort, report) cells there are.
 
 A user's cohorts are one number with a bit per cohort. Rows are added up per
 number first and handed out to the cohorts after that, so the many overlapping
@@ -30,8 +30,10 @@ from footfall.plans.cohorts import COHORTS, CohortSpec, Did, without_experimenta
 from footfall.plans.skew import join_users
 from footfall.session import small_table, stored
 
-BY = ("date_end", "usergroup")
+BY = ("date_start", "date_end", "usergroup")
+#: A number has a bit per cohort, another one a bit per stretch.
 MAX_COHORTS = 62
+MAX_STRETCHES = 62
 
 # The cohorts each report is made for, and the reports' names,
 # titles and fields further down.
@@ -112,20 +114,44 @@ REPORTS: tuple[Report, ...] = (
 )
 
 
+@dataclass(frozen=True)
+class ReportWindow:
+    """A window from ``start`` to before ``end``: the stretches from ``first`` to before ``last``."""
+
+    start: date
+    end: date
+    first: int
+    last: int
+
+    @property
+    def bits(self) -> int:
+        return (1 << self.last) - (1 << self.first)
+
+    @property
+    def bits_from(self) -> int:
+        """All stretches from the start on, as a signed number."""
+        return -(1 << self.first)
+
+
 @dataclass
 class Parts:
     """Per-user tables by window, built from one set of events when first used."""
 
     events: DataFrame
-    windows: int
+    windows: Sequence[ReportWindow]
     limit_seconds: int
     sliced: bool
     excluded: Sequence[str] = field(default=N.RETENTION_RUN_EXCLUDED)
 
     def _spread(self, part: DataFrame) -> DataFrame:
-        """Stretch ``s`` belongs to the windows from ``s`` on."""
-        windows = F.sequence(F.col("stretch"), F.lit(self.windows - 1))
-        return part.withColumn("window", F.explode(windows)).drop("stretch")
+        """Each row in every window that its stretch belongs to."""
+        ranges = F.array(*[
+            F.struct(F.lit(k).alias("window"), F.lit(w.first).alias("first"), F.lit(w.last).alias("last"))
+            for k, w in enumerate(self.windows)
+        ])
+        stretch = F.col("stretch")
+        mine = F.filter(ranges, lambda w: (w["first"] <= stretch) & (stretch < w["last"]))
+        return part.withColumn("window", F.explode(mine["window"])).drop("stretch")
 
     def _combine(self, part: DataFrame, keys: Sequence[str], *merged: Column) -> DataFrame:
         return self._spread(part).groupBy("userid", *keys, "window").agg(*merged)
@@ -171,24 +197,29 @@ class Parts:
 
 
 class Matrix:
-    """Every report for every cohort and conversion window from one start date.
+    """Every report for every cohort and conversion window from one start date or several.
 
     ``cohorts`` restricts the registered cohorts by name and may add specs of
-    one's own; those take part in every report.
+    one's own; those take part in every report. Results of one start date do not
+    name it, but for ``rows`` and ``cells``.
     """
 
     def __init__(
         self,
         facts: Facts,
-        start: date,
+        start: date | Sequence[date],
         days: Sequence[int] = N.CONVERSION_DAYS,
         reports: Sequence[Report] = REPORTS,
         cohorts: Sequence[str | CohortSpec] | None = None,
         limit_seconds: int = N.SESSION_LIMIT_SECONDS,
     ) -> None:
         self.facts = facts
-        self.start = start
-        self.ends = [start + timedelta(days=d) for d in sorted(days)]
+        self.starts = [start] if isinstance(start, date) else sorted(set(start))
+        spans = [(s, s + timedelta(days=d)) for s in self.starts for d in sorted(days)]
+        self.cuts = sorted({day for span in spans for day in span})
+        if len(self.cuts) > MAX_STRETCHES:
+            raise ValueError(f"more than {MAX_STRETCHES} starts and ends of windows; see run_matrix")
+        self.windows = [ReportWindow(s, e, self.cuts.index(s), self.cuts.index(e)) for s, e in spans]
         self.reports = list(reports)
         self.limit_seconds = limit_seconds
         listed = {g for r in self.reports for g in r.groups}
@@ -200,13 +231,22 @@ class Matrix:
             raise ValueError(f"more than {MAX_COHORTS} cohorts")
         self._bits = {c.name: 1 << i for i, c in enumerate(self.cohorts)}
 
+    @property
+    def _shown(self) -> tuple[str, ...]:
+        return BY if len(self.starts) > 1 else BY[1:]
+
     def _stretch(self, moment: str) -> Column:
-        """Number of the first window that contains the moment."""
-        passed = [(F.col(moment) >= F.lit(end)).cast("int") for end in self.ends[:-1]]
+        """Number of the stretch that holds a moment after the first start."""
+        passed = [(F.col(moment) >= F.lit(cut)).cast("int") for cut in self.cuts[1:]]
         return sum(passed, F.lit(0))
 
-    def _in_widest(self, moment: str) -> Column:
-        return in_range(F.col(moment), self.start, self.ends[-1])
+    def _stretch_bit(self, moment: str) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), self._stretch(moment))
+
+    def _in_any(self, moment: str) -> Column:
+        """Whether the moment lies in any window."""
+        widest = {w.start: w.end for w in self.windows}
+        return reduce(Column.__or__, [in_range(F.col(moment), s, e) for s, e in widest.items()])
 
     @cached_property
     def _tests(self) -> dict[Did, str]:
@@ -216,26 +256,28 @@ class Matrix:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        """First-time users of the widest window: when they joined, and where."""
+        """First-time users of any window: when they joined, and where."""
         return (
-            self.facts.first_users.where(self._in_widest("first_join"))
+            self.facts.first_users.where(self._in_any("first_join"))
             .join(self.facts.first_cities, "userid")
             .select(
                 "userid",
-                self._stretch("first_join").alias("joined"),
+                self._stretch_bit("first_join").alias("joined"),
                 starts_london(F.col("first_city")).alias("london"),
             )
         )
 
     @cached_property
     def events(self) -> DataFrame:
-        """Events of all candidates in the widest window, shared by every report.
+        """Events of all candidates in any window, shared by every report.
 
         Conditions on the window's events are tested here, once per event. Users
         stay together in the written files, so the per-user aggregations shrink
         them before any shuffle.
         """
-        rows = self.facts.between(self.start, self.ends[-1])
+        rows = self.facts.between(self.cuts[0], self.cuts[-1])
+        if len(self.starts) > 1:
+            rows = rows.where(self._in_any("created_at"))
         users = self.candidates.select("userid")
         return stored(
             join_users(rows, users, self.facts.hot, "left_semi").select(
@@ -249,59 +291,68 @@ class Matrix:
 
     @cached_property
     def members(self) -> DataFrame:
-        """(userid, window, date_end, cohorts): the cohorts' bits of each user and window."""
+        """(userid, window, date_start, date_end, cohorts): the cohorts' bits of each user and window.
+
+        What a user did, and when they got the value, is a number with a bit per stretch,
+        so one table serves windows from any start.
+        """
         facts, tests, users = self.facts, self._tests, self.candidates
         inner = [name for d, name in tests.items() if not d.open_end]
         if inner:
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("stretch"))
             met = self.events.groupBy("userid").agg(
-                *[F.min(F.when(F.col(name), F.col("stretch"))).alias(name) for name in inner]
+                *[F.bit_or(F.when(F.col(name), bit)).alias(name) for name in inner]
             )
             users = users.join(met, "userid", "left")
         later = {d: name for d, name in tests.items() if d.open_end}
         if later:
             some = reduce(Column.__or__, [d.column for d in later])
             met = (
-                facts.between(self.start)
+                facts.between(self.cuts[0])
                 .where(some)
                 .groupBy("userid")
-                .agg(*[F.min(F.when(d.column, F.lit(0))).alias(name) for d, name in later.items()])
+                .agg(*[F.bit_or(F.when(d.column, self._stretch_bit("created_at"))).alias(name) for d, name in later.items()])
             )
             users = users.join(met, "userid", "left")
         if any(c.got_value for c in self.cohorts):
             got = (
-                facts.got_value.where(self._in_widest("created_at"))
+                facts.got_value.where(self._in_any("created_at"))
                 .groupBy("userid")
-                .agg(F.min(self._stretch("created_at")).alias("got"))
+                .agg(F.bit_or(self._stretch_bit("created_at")).alias("got"))
             )
             users = users.join(got, "userid", "left")
 
-        def inside(spec: CohortSpec, window: int) -> Column:
-            rule = (F.col("joined") <= window) & (F.col("london") == spec.london)
-            if spec.did:
-                rule &= F.coalesce(F.col(tests[spec.did]) <= window, F.lit(False))
-            if spec.did_not:
-                rule &= F.coalesce(F.col(tests[spec.did_not]) > window, F.lit(True))
+        def within(column: str, bits: int) -> Column:
+            return F.coalesce(F.col(column).bitwiseAND(F.lit(bits).cast("bigint")) != 0, F.lit(False))
+
+        def inside(spec: CohortSpec, window: ReportWindow) -> Column:
+            rule = within("joined", window.bits) & (F.col("london") == spec.london)
+            for did, wanted in ((spec.did, True), (spec.did_not, False)):
+                if did:
+                    met = within(tests[did], window.bits_from if did.open_end else window.bits)
+                    rule &= met if wanted else ~met
             if spec.got_value:
-                rule &= F.coalesce(F.col("got") <= window, F.lit(False))
+                rule &= within("got", window.bits)
             return rule
 
         windows = F.array(*[
             F.struct(
-                F.lit(window).alias("window"),
-                F.lit(end).alias("date_end"),
+                F.lit(k).alias("window"),
+                F.lit(window.start).alias("date_start"),
+                F.lit(window.end).alias("date_end"),
                 sum(
                     (F.when(inside(c, window), F.lit(self._bits[c.name])).otherwise(0) for c in self.cohorts),
                     F.lit(0).cast("bigint"),
                 ).alias("cohorts"),
             )
-            for window, end in enumerate(self.ends)
+            for k, window in enumerate(self.windows)
         ])
         return stored(
             users.select("userid", F.inline(windows)).where(F.col("cohorts") != 0)
         )
 
     def _parts(self, events: DataFrame) -> Parts:
-        return Parts(events, len(self.ends), self.limit_seconds, self.facts.sliced)
+        return Parts(events, self.windows, self.limit_seconds, self.facts.sliced)
 
     @cached_property
     def plain(self) -> Parts:
@@ -328,7 +379,7 @@ class Matrix:
     def _over_cohorts(
         self, names: Sequence[str], table: str, add_up: Callable[[DataFrame], DataFrame]
     ) -> DataFrame:
-        """``add_up`` per (date_end, cohorts), then one row per cohort."""
+        """``add_up`` per window and number of cohorts, then one row per cohort."""
         out = None
         for clean, part in ((False, "plain"), (True, "clean")):
             here = [c.name for c in self.cohorts if c.name in names and c.drop_experimental == clean]
@@ -346,14 +397,14 @@ class Matrix:
         totals = [(f"{r.name}.{t.name}", t) for r in reports for t in r.totals()]
 
         def add_up(rows: DataFrame) -> DataFrame:
-            return rows.groupBy("date_end", "cohorts").agg(*[t.column.alias(n) for n, t in totals])
+            return rows.groupBy(*BY[:2], "cohorts").agg(*[t.column.alias(n) for n, t in totals])
 
         merged = self._over_cohorts(names, "users", add_up).groupBy(*BY).agg(
             *[t.merge(f"`{n}`").alias(n) for n, t in totals]
         )
         cells = small_table(
-            self.facts.logs.sparkSession, [(end, name) for end in self.ends for name in names],
-            "date_end date, usergroup string",
+            self.facts.logs.sparkSession, [(w.start, w.end, name) for w in self.windows for name in names],
+            "date_start date, date_end date, usergroup string",
         )
 
         def filled(report: Report) -> Column:
@@ -365,12 +416,15 @@ class Matrix:
         return cells.join(merged, list(BY), "left").select(*BY, *[filled(r) for r in reports])
 
     def table(self, report: Report) -> DataFrame:
-        """One report: (date_end, usergroup) and its fields."""
+        """One report: its cell and its fields."""
+        return self._table(report).select(*self._shown, *report.fields)
+
+    def _table(self, report: Report) -> DataFrame:
         if report.totals:
             return self._single([report]).select(*BY, f"{report.name}.*")
         names = [c.name for c in self.cohorts if self._runs_on(report, c.name)]
         weighted = self._over_cohorts(
-            names, report.part, lambda rows: report.weigh(rows, ["date_end", "cohorts"])
+            names, report.part, lambda rows: report.weigh(rows, [*BY[:2], "cohorts"])
         )
         return report.rows(weighted, list(BY)).select(*BY, *report.fields)
 
@@ -380,8 +434,8 @@ class Matrix:
     def cells(self) -> DataFrame:
         """Every (window, cohort, report), whether it has rows or not."""
         listed = [
-            (self.start, end, c.name, r.category_id, r.title, list(r.fields))
-            for end in self.ends for c in self.cohorts for r in self.reports if self._runs_on(r, c.name)
+            (w.start, w.end, c.name, r.category_id, r.title, list(r.fields))
+            for w in self.windows for c in self.cohorts for r in self.reports if self._runs_on(r, c.name)
         ]
         return small_table(
             self.facts.logs.sparkSession, listed,
@@ -421,18 +475,20 @@ class Matrix:
                 # a cell holds the rows of one report: days, sources or event names
                 place = F.row_number().over(Window.partitionBy(*BY).orderBy(*report.order()))
                 out.append(
-                    self.table(report).select(*BY, *labels(report, F.struct(*report.fields), place))
+                    self._table(report).select(*BY, *labels(report, F.struct(*report.fields), place))
                 )
         rows = out[0]
         for more in out[1:]:
             rows = rows.unionByName(more)
-        return rows.select(F.lit(self.start).alias("date_start"), "*")
+        return rows
 
 
-def run_matrix(facts: Facts, starts: Sequence[date], **options) -> DataFrame:
-    """Long result over several start dates."""
+def run_matrix(facts: Facts, starts: Sequence[date], days: Sequence[int] = N.CONVERSION_DAYS, **options) -> DataFrame:
+    """Long result over any number of start dates, as many of them per scan of the log as have room in a number."""
+    at_once = max(1, MAX_STRETCHES // (len(days) + 1))
+    starts = sorted(set(starts))
     out = None
-    for start in starts:
-        rows = Matrix(facts, start, **options).rows()
+    for k in range(0, len(starts), at_once):
+        rows = Matrix(facts, starts[k : k + at_once], days, **options).rows()
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -164,3 +164,30 @@ def test_history_export(spark, facts, tmp_path):
         assert list(got[0])[-1] == "userid"
         times = [r["created_at"] for r in got]
         assert times == sorted(times)
+
+
+def test_two_starts_equal_one_matrix_each_with_one_scan_of_the_log(facts):
+    """Windows from two starts overlap; each report's rows are those of a matrix of its own."""
+    from footfall.plans.matrix import run_matrix
+
+    later = START + timedelta(days=2)
+    both = Matrix(facts, [later, START], days=(3, 7), limit_seconds=LIMIT)
+    alone = [Matrix(facts, s, days=(3, 7), limit_seconds=LIMIT) for s in (START, later)]
+    for report in REPORTS:
+        want = [(str(m.starts[0]), *r) for m in alone for r in plain(m.table(report))]
+        assert plain(both.table(report)) == sorted(want), report.name
+    scans = facts.between(*(both.cuts[0], both.cuts[-1])).inputFiles()
+    plan = both.events._jdf.queryExecution().executedPlan().toString()
+    assert scans and plan.count("FileScan") == 1  # the members' events are read from their own table
+    long = run_matrix(facts, [START, later], (3, 7), reports=REPORTS[:2], limit_seconds=LIMIT)
+    assert {str(r.date_start) for r in long.select("date_start").distinct().collect()} == {str(START), str(later)}
+
+
+def test_more_starts_than_a_number_holds(facts):
+    from footfall.plans.matrix import run_matrix
+
+    starts = [START + timedelta(days=3 * k) for k in range(9)]
+    got = run_matrix(facts, starts, (1, 2, 4, 5, 7, 8, 10), reports=REPORTS[:1], limit_seconds=LIMIT)
+    want = Matrix(facts, starts[8], (1, 2, 4, 5, 7, 8, 10), reports=REPORTS[:1], limit_seconds=LIMIT).rows()
+    assert got.count() == 9 * want.count()
+    assert plain(got.where(F.col("date_start") == starts[8])) == plain(want)
