@@ -19,6 +19,7 @@ from footfall import configure
 from footfall import names as N
 from footfall.functions import scalars as S
 from footfall.functions.quantiles import quantiles
+from footfall.functions.sketches import approximate_quantiles, rank_error
 from footfall.operators import (
     detectors, distributions, facts as fact_ops, funnels, histories, offline, overlaps,
     retention, sessions,
@@ -833,6 +834,21 @@ def percentile_agg(facts: Facts) -> DataFrame:
     return _quantile_query(facts, "disc")
 
 
+@query
+def percentile_sketches(facts: Facts) -> DataFrame:
+    """Whether sketches of users' weeks, merged, give each event's percentiles within twice their bound of rank."""
+    rows = facts.logs.withColumn("week", F.weekofyear("created_at"))
+    points = list(enumerate(N.BOXPLOT_POINTS))
+    guess = approximate_quantiles(rows, ["event"], "activation_time", total="n", parts=["userid", "week"])
+    each = F.array(*[F.struct(F.lit(p).alias("point"), F.col("boxplot")[i].alias("value")) for i, p in points])
+    guess = guess.select("event", "n", F.explode(each).alias("q")).select("event", "n", "q.*")
+    ranks = rows.join(guess, "event").groupBy("event", "point", "n").agg(
+        F.count_if(F.col("activation_time") < F.col("value")).alias("below"), F.count_if(F.col("activation_time") <= F.col("value")).alias("upto")
+    )
+    off = F.greatest(F.col("below") / F.col("n") - F.col("point"), F.col("point") - F.col("upto") / F.col("n"), F.lit(0.0))
+    return ranks.select("event", "point", "n", (off <= 2 * rank_error()).alias("within"))
+
+
 # -- report matrix ----------------------------------------------------------
 
 
