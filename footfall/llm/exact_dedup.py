@@ -1,7 +1,6 @@
 """Exact duplicates: binary fuse filters of immutable snapshots screen new digests.
 
-A snapshot is a written table of distinct digests with the largest id and the
-number of rows of each, and one static filter per shard of its digests. A batch is
+A snapshot is a written table of distinct digests with the number of rows of each, and one static filter per shard of its digests. A batch is
 first grouped by itself; its distinct digests are then screened shard by shard. A
 digest that no filter knows is new. Positives join the snapshot's digests exactly,
 and every row of a group is compared byte by byte with the row that stays.
@@ -25,8 +24,10 @@ from .common import only_ids
 
 #: Distinct digests per shard, so that one filter is built within a few dozen MB.
 SHARD_DIGESTS = 200_000
-#: A group's rows are compared with their keeper in so many salted parts.
-SALTS = 16
+#: So many rows of a group are compared with one copy of the text that stays.
+COMPARED = 256
+#: Digests this many bytes in all are broadcast; more are joined by shuffle.
+BROADCAST_BYTES, DIGEST_BYTES = 8 << 20, 96
 FILTER_FIELDS = "shard int, seed bigint, segment int, segments int, prints binary"
 
 
@@ -110,13 +111,19 @@ class Snapshot:
     shards: int
 
 
+def _among(rows: DataFrame, digests: DataFrame, anti: bool = False) -> DataFrame:
+    """The rows whose digest is (or is not) in ``digests``, a stored table of distinct ones."""
+    few = digests.count() * DIGEST_BYTES <= BROADCAST_BYTES
+    return rows.join(F.broadcast(digests) if few else digests, "text_sha256", "left_anti" if anti else "left_semi")
+
+
 def _shard(shards: int) -> Column:
     """Taken from the digest's end; the filter keys are its beginning."""
     return F.pmod(F.xxhash64(F.substring("text_sha256", 33, 32)), F.lit(shards)).cast("int")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep"), F.count("*").alias("n"))
+    return rows.groupBy("text_sha256").agg(F.count("*").alias("n"))
 
 
 def build_snapshot(groups: DataFrame, shards: int) -> Snapshot:
@@ -179,17 +186,18 @@ def exact_duplicates(docs: DataFrame, batches: int = 2) -> DataFrame:
     for positives in met:
         repeated = repeated.union(positives)
     repeated = stored(repeated.distinct())
-    members = stored(only_ids(rows, repeated, ["text_sha256"]).select("doc_id", "text_sha256"))
-    keepers = members.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"))
+    members = stored(_among(rows, repeated).select("doc_id", "text_sha256"))
+    # tables of their own, so that joins with them read both sides from files and a hot digest can be split
+    keepers = stored(members.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")))
     checked = _byte_checked(texts, members, keepers)
-    final = (
+    final = stored(
         checked.groupBy("text_sha256", "other").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     )
     joined = checked.alias("c").join(
         final.alias("f"),
         (F.col("c.text_sha256") == F.col("f.text_sha256")) & F.col("c.other").eqNullSafe(F.col("f.other")),
     ).select("c.doc_id", "f.keep_id", "f.group_size", F.col("c.text_sha256").alias("text_sha256"))
-    single = only_ids(rows, repeated, ["text_sha256"], anti=True).select(
+    single = _among(rows, repeated, anti=True).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), "text_sha256"
     )
     kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
@@ -201,11 +209,13 @@ def _byte_checked(texts: DataFrame, members: DataFrame, keepers: DataFrame) -> D
     ids = stored(members.select("doc_id").where("doc_id is not null").distinct())
     bodies = only_ids(texts.where("doc_id is not null"), ids, ["doc_id"]).union(texts.where("doc_id is null"))
     bodies = bodies.withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-    salt = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(SALTS)).cast("int")
-    own = bodies.join(keepers, "text_sha256").withColumn("salt", salt)
-    own = stored(own)
-    heads = own.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256").agg(F.first("text").alias("head"))
-    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = F.ceil(F.col("n") / COMPARED)
+    # rows without id have to be dealt out too; the table is written, so the salt stays what it is
+    salt = F.pmod(F.monotonically_increasing_id(), parts)
+    own = stored(bodies.join(keepers, "text_sha256").withColumn("salt", salt))
+    heads = own.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256", "n").agg(F.first("text").alias("head"))
+    # one copy of the text that stays for each part of its group, so none for most
+    heads = heads.select("text_sha256", "head", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("salt"))
     return stored(
         own.join(heads, ["text_sha256", "salt"]).select(
             "doc_id", "text_sha256", F.when(F.col("text") != F.col("head"), F.col("text")).alias("other")
@@ -213,10 +223,17 @@ def _byte_checked(texts: DataFrame, members: DataFrame, keepers: DataFrame) -> D
     )
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that another row with equal text replaces."""
     out = stored(exact_duplicates(docs).where("not kept").select("doc_id", "text_sha256").distinct())
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    return only_ids(
-        docs.withColumn("_llm_sha256", digest), out.withColumnRenamed("text_sha256", "_llm_sha256"), ["doc_id", "_llm_sha256"], anti=True
-    ).drop("_llm_sha256")
+    digest, own_digest, own_id = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), _unused(docs, "_sha256"), _unused(docs, "_out_id")
+    out = out.select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_digest))
+    few = out.count() * DIGEST_BYTES <= BROADCAST_BYTES
+    keyed = docs.withColumns({own_digest: digest, own_id: F.col("doc_id").cast("bigint")})
+    return keyed.join(F.broadcast(out) if few else out, [own_id, own_digest], "left_anti").select(*docs.columns)

@@ -72,6 +72,17 @@ def test_exact(spark, docs, texts, empty):
     assert kept.columns == docs.columns and kept.selectExpr("coalesce(text, '') t").distinct().count() == len(same)
 
 
+def test_exact_with_clashing_names_and_many_rows_without_id(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COMPARED", 7)
+    rows = [(None, "hot", "a", 1)] * 60 + [(k, "hot", "b", k) for k in range(60)] + [(100 + k, f"t{k % 5}", "c", k) for k in range(15)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, _sha256 string, _llm_sha256 int").repartition(4)
+    got = Counter((r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(frame).collect())
+    assert got == {(59, 120, True): 1, (59, 120, False): 119, **{(110 + k, 3, True): 1 for k in range(5)}, **{(110 + k, 3, False): 2 for k in range(5)}}
+    left = exact_dedup.drop_exact_duplicates(frame)
+    assert left.columns == frame.columns and {r.doc_id for r in left.where("doc_id is not null").collect()} == {59, *range(110, 115)}
+    assert {(r["_sha256"], r["_llm_sha256"]) for r in left.where("doc_id = 59").collect()} == {("b", 59)}
+
+
 def test_binary_fuse_filter():
     rng = np.random.default_rng(1)
     for n in (1, 2, 50, 20_000):
