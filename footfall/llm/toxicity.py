@@ -5,22 +5,27 @@ digits standing for letters, and characters without width. Entries are whole wor
 word beginnings (``stem*``). Their weights are log odds learned from labelled rows;
 a short list of fixed words and of exception phrases stands beside them. An exception
 phrase cancels the entries inside it; phrases are fixed or learned as well. ``$``,
-``@`` and ``!`` inside a word are covered by variants of the entries.
+``@`` and ``!`` between letters are read as the letters they stand for, but end a word
+all the same where an entry ends.
 
 The sum of matched weights, alone and per hundred words, goes through a logistic
 function fitted to the labelled rows. Null and empty texts score 0.
 
 Learning uses at most ``LABELLED`` labelled training rows, the first by a hash of the
-id, one of each group that shares the smallest hash of its shingles, so that copies
-of a document don't make its words toxic. Null labels and ids are not learned from.
+id, and the smallest id of each group that shares the smallest hash of its shingles, so
+that copies of a document don't make its words toxic. Of the words and beginnings that
+qualify, the ``ENTRIES`` that most toxic rows hold are learned, and as many exception
+phrases, those that most clean rows hold. Null labels and ids are not learned from; rows
+that share an id are scored each by its own text.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import product
 
 import ahocorasick
 import numpy as np
@@ -52,7 +57,8 @@ LOOK_ALIKE = {
     "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ⅼ": "l",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
-VARIANTS = {"s": "s$", "a": "a@", "i": "i!"}
+SIGNS = str.maketrans({"$": "s", "@": "a", "!": "i"})
+INSIDE = re.compile(r"(?<=[^\W\d_])[$@!]+(?=[^\W\d_])")
 NO_WIDTH = "​‌‍⁠﻿­"
 
 
@@ -92,11 +98,7 @@ class Lexicon:
         for word, weight in self.words.items():
             stem = word.endswith("*")
             body = word.rstrip("*")
-            choices = [VARIANTS.get(c, c) if 0 < k < len(body) - 1 else c for k, c in enumerate(body)]
-            wide = [c for c in choices if len(c) > 1]
-            spellings = ["".join(x) for x in product(*choices)] if len(wide) <= 4 else [body]
-            for s in spellings:
-                patterns.setdefault(s, []).append((len(s), stem, weight, False))
+            patterns.setdefault(body, []).append((len(body), stem, weight, False))
         for phrase in self.exceptions:
             patterns.setdefault(phrase, []).append((len(phrase), False, 0.0, True))
         automaton = ahocorasick.Automaton()
@@ -111,23 +113,34 @@ class Lexicon:
         return np.where(total > 0, 1 / (1 + np.exp(-z)), 0.0)
 
 
+def without_signs(text: str) -> str:
+    """Signs between letters as the letters they stand for; places stay the same."""
+    return INSIDE.sub(lambda m: m.group().translate(SIGNS), text)
+
+
 def matched(automaton: ahocorasick.Automaton, text: str) -> float:
     """Summed weight of the entries in a folded text, outside exception phrases.
 
+    Words end at signs as well, so their ends are looked for in the text as it came.
     Where several entries begin at one place the heaviest counts.
     """
     found: dict[int, float] = {}
-    spared: list[tuple[int, int]] = []
-    for end, values in automaton.iter(text):
+    spared: dict[int, int] = {}
+    for end, values in automaton.iter(without_signs(text)):
         for size, stem, weight, exception in values:
             start = end - size + 1
             if (start and text[start - 1].isalpha()) or (not stem and end + 1 < len(text) and text[end + 1].isalpha()):
                 continue
             if exception:
-                spared.append((start, end))
+                spared[start] = max(spared.get(start, 0), end)
             else:
                 found[start] = max(found.get(start, 0.0), weight)
-    return sum(w for at, w in found.items() if not any(a <= at <= b for a, b in spared))
+    starts, ends, far = sorted(spared), [], -1
+    for a in starts:  # the farthest end of the phrases that begin so far
+        far = max(far, spared[a])
+        ends.append(far)
+    kept = (w for at, w in found.items() if not starts or not (k := bisect_right(starts, at)) or ends[k - 1] < at)
+    return sum(kept)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -140,7 +153,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.withColumn("words", F.split("text", r"[^\p{L}]+"))
     shingle = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda k: F.xxhash64(F.slice("words", k, 5)))
     rows = stored(rows.withColumn("first", F.array_min(shingle)))
-    return rows.dropDuplicates(["first"]).select("doc_id", "text", "words", "toxic")
+    return rows.groupBy("first").agg(F.min(F.struct("doc_id", "text", "words", "toxic")).alias("one")).select("one.*")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from footfall.llm import collocations, filter_audit, nearest
+from footfall.llm import collocations, filter_audit, nearest, toxicity
 
 DOCS = "doc_id long, text string, lang string, phrase string, n long, rank int"
 WORDS = "of the a to in red blue fast slow cat dog sat ran Étude 日本 x1".split()
@@ -258,3 +258,56 @@ def test_estimates_are_unbiased_and_bounded():
     assert np.allclose(estimate[sure], exact[sure])
     error = (estimate - exact)[~sure] / bound[~sure]
     assert abs(error.mean()) < 0.05 and (np.abs(error) > nearest.SIGMAS).mean() < 0.005
+
+
+# ---- toxicity
+
+
+def matched_by_hand(lexicon: toxicity.Lexicon, text: str) -> float:
+    """Every entry at every place of the text, letter by letter."""
+    stands = {"$": "s", "@": "a", "!": "i"}
+    plain = list(text)
+    for k, c in enumerate(text):
+        if c in stands:
+            before = next((x for x in reversed(text[:k]) if x not in stands), " ")
+            after = next((x for x in text[k + 1 :] if x not in stands), " ")
+            if before.isalpha() and after.isalpha():
+                plain[k] = stands[c]
+    plain = "".join(plain)
+    ended = lambda k: k >= len(text) or not text[k].isalpha()
+    begun = lambda k: k == 0 or not text[k - 1].isalpha()
+    inside = {
+        p for phrase in lexicon.exceptions for k in range(len(text)) if plain.startswith(phrase, k) and begun(k) and ended(k + len(phrase))
+        for p in range(k, k + len(phrase))
+    }
+    total = 0.0
+    for k in range(len(text)):
+        here = [
+            w for entry, w in lexicon.words.items()
+            if plain.startswith(entry.rstrip("*"), k) and begun(k) and (entry.endswith("*") or ended(k + len(entry)))
+        ]
+        total += max(here) if here and k not in inside else 0.0
+    return total
+
+
+def test_matches_equal_a_plain_search():
+    lexicon = toxicity.Lexicon({"ass": 2.0, "assassin": 1.0, "idi*": 4.0, "idiot": 5.0, "classesassistance": 3.0, "sis": 1.5}, ["sis ass", "an idiot", "ass a"])
+    automaton, rng = lexicon.automaton(), random.Random(6)
+    pieces = ["ass", "a$$", "@ss", "idiot", "id!ot", "!", "$", "an", "a", "sis", "s!s", " ", " ", ".", "1", "é", "classesassistance", "cl@$$e$a$$!$t@nce", "assassin"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    texts += ["", "classe$assistance", "cl@$$e$a$$!$t@nce", "idiot!you", "id!ot!you", "idiot!!!", "a$$ a$$", "an idiot sis ass a"]
+    for text in texts:
+        assert toxicity.matched(automaton, text) == matched_by_hand(lexicon, text), text
+    assert toxicity.matched(automaton, "cl@$$e$a$$!$t@nce") == 5.0 and toxicity.matched(automaton, "id!ot!you") == 5.0
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Null, empty and very long texts, null and repeated ids, names that clash."""
+    long = "fine words " * 60_000
+    rows = [(1, None, "a"), (2, "", "b"), (3, long + "you stupid idiot", "c"), (None, "stupid idiot scum", "d"), (4, "a clown fish", "e"), (4, "stupid scum, idiot", "f"), (5, long, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _folded string").repartition(3)
+    labels = spark.createDataFrame([(None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.score > 0, r.predicted) for r in toxicity.toxicity(docs, labels).collect()))
+    assert [g[:3] for g in got] == [(False, 1, False), (False, 2, False), (False, 3, True), (False, 4, False), (False, 4, True), (False, 5, False), (True, 0, True)]
+    assert all(0 <= r.score <= 1 for r in toxicity.toxicity(docs, labels).collect())
+    assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
