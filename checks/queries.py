@@ -429,6 +429,40 @@ def _report_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _typed(rows: DataFrame, matrix: Matrix, name: str, value: Callable[[str], Column]) -> DataFrame:
+    """A report's cells with its fields as the report has them; ``value`` gives a field's text."""
+    report = next(r for r in REPORTS if r.name == name)
+    kinds = {f.name: f.dataType for f in matrix.table(report).schema.fields}
+    fields = [value(f).cast(kinds[f]).alias(f) for f in report.fields]
+    return _flat(rows.select("date_end", "usergroup", *fields)).withColumn("date_end", day_text("date_end"))
+
+
+def _report_values(name: str) -> Query:
+    """One report's values, out of the JSON documents."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path, matrix = fresh_folder(spark), matrix_of(spark, folder)
+        report_sink.write_report_json(matrix.rows(), path)
+        title = next(r.title for r in REPORTS if r.name == name)
+        rows = report_sink.read_report_json(spark, path).where(F.col("title") == title)
+        return _typed(rows, matrix, name, lambda f: F.get_json_object("result", f"$.{f}"))
+
+    return run
+
+
+def _report_json_to_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The JSON documents turned into CSV files; the retention report read back."""
+    path, out, matrix = fresh_folder(spark), fresh_folder(spark), matrix_of(spark, folder)
+    report_sink.write_report_json(matrix.rows(), path)
+    folders = report_sink.report_json_to_csv(spark, path, out)
+    rows = spark.read.option("header", True).csv(folders["3.2 Retention"])
+    rows = rows.withColumn("date_end", F.date_add(F.col("date_last").cast("date"), 1))
+    return _typed(rows, matrix, "retention_days", F.col)
+
+
+QUERIES["report_json_events"] = _report_values("event_distribution")
+QUERIES["report_json_funnel"] = _report_values("funnel_ordered")
+QUERIES["report_json_to_csv"] = _report_json_to_csv
 QUERIES["report_json"] = _report_json
 QUERIES["report_csv"] = _report_csv
 

@@ -83,3 +83,33 @@ def test_live_got_value_equals_batch(spark, tmp_path):
     ).select("userid", "h.*")
     assert live == {tuple(r) for r in batch.collect()}
     assert live
+
+
+def test_live_moments_wait_for_a_place_or_a_timer(spark, tmp_path, make_log):
+    """The closest known place, also one that comes two micro batches later; none in time: the one before."""
+    from footfall.streaming.got_value import located_got_value_stream
+
+    use_state_store(spark)
+    off = {"network": False, "city": None}
+
+    def run_of(user, start):
+        return [{"userid": user, "at": start + k * 200, **off} for k in range(5)]
+
+    batches = [
+        [{"userid": "a", "at": 0, "city": "Paris"}, *run_of("a", 3000), {"userid": "c", "at": 0, "city": "Paris"}, *run_of("c", 1000), *run_of("d", 50)],
+        [{"userid": "b", "at": 2000, "event": "AppStartup", "city": None}, *run_of("b", 2500), {"userid": "d", "at": 5000, "city": "London", "event": "AppStartup"}],
+        [{"userid": "a", "at": 4000, "city": "London"}, {"userid": "z", "at": 30 * 86400}],
+    ]
+    path = str(tmp_path / "log")
+    for k, rows in enumerate(batches):
+        make_log([r | {"event_id": 100 * k + i} for i, r in enumerate(rows)]).coalesce(1).write.mode("append").parquet(path)
+    places = spark.createDataFrame([("Paris", "ROW"), ("London", "London")], "city string, region string")
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = (
+        located_got_value_stream(stream, places, wait=86_400).writeStream.format("memory").queryName("located")
+        .outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(300)
+    assert query.exception() is None
+    got = {r.userid: (r.activation_time, r.city) for r in spark.table("located").collect()}
+    assert got == {"a": (3800, "London"), "b": (3300, "UNKNOWN"), "c": (1800, "ROW"), "d": (850, "London")}
