@@ -15,6 +15,7 @@ place follows from the sums of the parts and blocks before it.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -45,21 +46,55 @@ _WITHIN = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
 #: Stands between pieces that are tokenised together; a token of its own there.
 _MARK = "\t"
+#: Latin, Greek, Cyrillic, kana, Chinese and Korean letters that every version of Unicode has.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-яぁ-ゖァ-ヺ一-龥가-힣"
+#: A character that is none of these, white space and signs of ASCII, nor common punctuation.
+_OTHER = re.compile(rf"[^\t\n\r -~{_LETTERS}\u2010-\u2027\u2030-\u205e]")
+#: The byte-level pattern, for texts without such a character.
+_WORD = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\t\n\r 0-9{_LETTERS}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
+)
 
 
-class Encoder:
-    """Ids of whole texts as bytes, with the ids of known pieces remembered.
+def _byte_signs() -> dict[int, int]:
+    """The sign that stands for each byte in a byte-level vocabulary, where it is not the byte's own."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in own)}
+
+
+class _Words(dict):
+    """Ids of the pattern's tokens, each asked of the library's model when first met."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: str):
+        self.tokenize, self.signs = tokenizer.model.tokenize, _byte_signs()
+        self.blank = chr(self.signs[ord(" ")])
+        self.own = [np.array([i], kind).tobytes() for i in range(max(tokenizer.get_vocab(True).values()) + 1)]
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            signed = word.replace(" ", self.blank)
+        else:
+            signed = word.encode().decode("latin-1").translate(self.signs)
+        self[word] = ids = b"".join([self.own[t.id] for t in self.tokenize(signed)])
+        return ids
 
-    Texts are cut before spaces. The byte-level pattern begins a token at a space that
-    has another character than white space before or after it, so the ids of the pieces
-    strung together are those of the whole text. A text that holds an added token is
-    encoded whole. ``special``: special tokens in a text get their own ids, as in the
-    library's plain call; else they are spelled out.
+
+class Encoder:
+    """Ids of whole texts as bytes, with the ids of known words or pieces remembered.
+
+    A byte-level model sees each token of the byte-level pattern alone. Texts of common
+    characters are split by that pattern here, and the model is asked for every token
+    once. Others are cut before spaces and their pieces left to the library: the pattern
+    begins a token at a space that has another character than white space before or after
+    it, so the ids of the pieces strung together are those of the whole text. A text that
+    holds an added token is encoded whole. ``special``: special tokens in a text get their
+    own ids, as in the library's plain call; else they are spelled out.
     """
 
     def __init__(self, path: str, special: bool = False):
         self.kind = id_type(path)
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = _Words(self.tokenizer, self.kind) if _is_plain(self.tokenizer) else None
         self.tokenizer.encode_special_tokens = not special
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.added = re.compile("|".join(added)) if added else None
@@ -70,12 +105,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, as wide as ``kind``."""
-        if self.added is not None:
-            whole = [k for k, t in enumerate(texts) if self.added.search(t)]
-            if whole:
-                ids = dict(zip(whole, self._separately([texts[k] for k in whole])))
-                rest = iter(self.encode([t for k, t in enumerate(texts) if k not in ids]))
-                return [ids[k] if k in ids else next(rest) for k in range(len(texts))]
+        ways: dict = {}
+        for k, t in enumerate(texts):
+            if self.added is not None and self.added.search(t):
+                way = self._separately
+            else:
+                way = self._by_piece if self.words is None or _OTHER.search(t) else self._by_word
+            ways.setdefault(way, []).append(k)
+        ids = {k: x for way, own in ways.items() for k, x in zip(own, way([texts[k] for k in own]))}
+        return [ids[k] for k in range(len(texts))]
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for text in texts:
+            if len(self.words) > REMEMBERED:
+                self.words.clear()
+            out.append(b"".join(map(self.words.__getitem__, _WORD.findall(text))))
+        return out
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
         cut = [(_CUT.split(t) if _WITHIN.search(t) else t.split(" ")) for t in texts]
         first = self._separately([pieces.pop(0) for pieces in cut])
         if len(self.known) > REMEMBERED:
@@ -105,6 +153,17 @@ class Encoder:
         self.known.update(zip(rest, self._separately([" " + p for p in rest])))
 
 
+def _is_plain(tokenizer: Tokenizer) -> bool:
+    """Whether it asks a byte-pair model for each token of the byte-level pattern, and does nothing else."""
+    spec = json.loads(tokenizer.to_str())
+    split = spec["pre_tokenizer"] or {}
+    return (
+        not any(spec.get(k) for k in ("normalizer", "truncation", "padding")) and spec["model"].get("type") == "BPE"
+        and not any(spec["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    )
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str, special: bool) -> Encoder:
     """A worker's encoder, kept from task to task."""
@@ -167,7 +226,9 @@ class Block:
 
 def encode_block(ids: np.ndarray, table: Table) -> Block:
     n = len(ids)
-    index = np.searchsorted(table.symbols, ids)
+    place = np.zeros(int(table.symbols[-1]) + 1, np.int64)
+    place[table.symbols] = np.arange(len(table.symbols))
+    index = place[ids]
     steps = -(-n // LANES)
     x = np.full(LANES, LOW, np.uint64)
     words: list[np.ndarray] = []
