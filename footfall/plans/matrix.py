@@ -26,7 +26,7 @@ from footfall.functions.aggregates import falling, rising
 from footfall.functions.scalars import in_range, json_text, starts_london
 from footfall.operators import distributions, funnels, offline, retention, sessions
 from footfall.operators.facts import Facts
-from footfall.plans.cohorts import COHORTS, CohortSpec, Did, without_experimental
+from footfall.plans.cohorts import COHORTS, CohortSpec, Did
 from footfall.plans.skew import join_users
 from footfall.session import small_table, stored
 
@@ -144,7 +144,13 @@ class Parts:
     excluded: Sequence[str] = field(default=N.RETENTION_RUN_EXCLUDED)
 
     def _spread(self, part: DataFrame) -> DataFrame:
-        """Each row in every window that its stretch belongs to."""
+        """Each row in every window that its stretch belongs to.
+
+        Where no user is hot, users are brought together first: what is added up, ordered
+        and joined per user and window after this needs no more shuffles of the copies.
+        """
+        if not self.sliced:
+            part = part.repartition("userid")
         ranges = F.array(*[
             F.struct(F.lit(k).alias("window"), F.lit(w.first).alias("first"), F.lit(w.last).alias("last"))
             for k, w in enumerate(self.windows)
@@ -271,7 +277,9 @@ class Matrix:
     def events(self) -> DataFrame:
         """Events of all candidates in any window, shared by every report.
 
-        Conditions on the window's events are tested here, once per event. Users
+        Conditions on the window's events are tested here, once per event and before the
+        properties would be shuffled; the source of an add is read on adds alone. Where a
+        cohort leaves experimental sessions out, ``experimental`` tells their events. Users
         stay together in the written files, so the per-user aggregations shrink
         them before any shuffle.
         """
@@ -279,15 +287,20 @@ class Matrix:
         if len(self.starts) > 1:
             rows = rows.where(self._in_any("created_at"))
         users = self.candidates.select("userid")
-        return stored(
-            join_users(rows, users, self.facts.hot, "left_semi").select(
-                "userid", "event", "created_at", "session", "activation_time", "network",
-                json_text(F.col("properties"), N.KEY_ADD_SOURCE).alias("it_add_from"),
-                "event_id", "slice",
-                self._stretch("created_at").alias("stretch"),
-                *[d.column.alias(name) for d, name in self._tests.items() if not d.open_end],
-            )
+        source = json_text(F.col("properties"), N.KEY_ADD_SOURCE)
+        rows = rows.select(
+            "userid", "event", "created_at", "session", "activation_time", "network",
+            F.when(F.col("event") == distributions.ADD_EVENT, source).alias("it_add_from"),
+            "event_id", "slice",
+            self._stretch("created_at").alias("stretch"),
+            *[d.column.alias(name) for d, name in self._tests.items() if not d.open_end],
         )
+        rows = join_users(rows, users, self.facts.hot, "left_semi")
+        if any(c.drop_experimental for c in self.cohorts):
+            flagged = self.facts.experimental.select("userid", "session").distinct()
+            rows = rows.join(flagged.withColumn("experimental", F.lit(True)), ["userid", "session"], "left")
+            rows = rows.withColumn("experimental", F.coalesce("experimental", F.lit(False)))
+        return stored(rows)
 
     @cached_property
     def members(self) -> DataFrame:
@@ -361,7 +374,7 @@ class Matrix:
     @cached_property
     def clean(self) -> Parts:
         """The same without experimental sessions."""
-        return self._parts(without_experimental(self.events, self.facts.experimental))
+        return self._parts(self.events.where(~F.col("experimental")))
 
     def _tagged(self, part: Parts, table: str) -> DataFrame:
         """Rows of a per-user table with the cohorts they count in."""

@@ -191,3 +191,17 @@ def test_more_starts_than_a_number_holds(facts):
     want = Matrix(facts, starts[8], (1, 2, 4, 5, 7, 8, 10), reports=REPORTS[:1], limit_seconds=LIMIT).rows()
     assert got.count() == 9 * want.count()
     assert plain(got.where(F.col("date_start") == starts[8])) == plain(want)
+
+
+def test_users_are_brought_together_before_rows_are_copied(facts):
+    """Without hot users nothing is shuffled after rows went to all their windows; properties never are."""
+    matrix = Matrix(facts, START, limit_seconds=LIMIT)
+    parts = matrix.plain
+    for table in (parts.counts, parts.sources, parts.users):
+        plan = table._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1]
+        above = plan[: plan.index("Generate explode")]
+        assert "Exchange hashpartitioning" not in above and "Generate explode" in plan
+    flagged = {(r.userid, r.session) for r in facts.experimental.collect()}
+    rows = matrix.events.select("userid", "session", "event", "it_add_from", "experimental").collect()
+    assert flagged and all(r.experimental == ((r.userid, r.session) in flagged) for r in rows)
+    assert all(r.event == distributions.ADD_EVENT for r in rows if r.it_add_from is not None)
