@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from footfall.llm import token_files
+from footfall.llm import language_model, token_files
 
 
 def test_encoder_words():
@@ -26,3 +26,22 @@ def test_encoder_words():
     fresh.encode(["a word, a word. a (word) a word"])
     # the word is asked for once without blank and once with it, whatever stands beside it
     assert sorted(fresh.words) == [" (", " a", " word", ")", ",", ".", "a", "word"] and not fresh.known
+
+
+def test_language_model_steps_add_up_as_before():
+    rng = np.random.default_rng(3)
+    for rows in (50, 1 << 16, 200_000):  # sorted by digits or not
+        at, values = rng.integers(0, rows, 5000), rng.normal(size=(5000, 3))
+        at[0] = rows - 1
+        got, sums, times = language_model._added(at, values)
+        want, inverse, counts = np.unique(at, return_inverse=True, return_counts=True)
+        by_hand = np.zeros((len(want), 3))
+        np.add.at(by_hand, inverse, values)
+        assert (got == want).all() and (times == counts).all() and np.allclose(sums, by_hand)
+    words = [b"a", "\u00e9t\u00e9".encode(), b"x" * 100]
+    assert language_model.word_hashes(words).tolist() == [language_model.word_hash(w) for w in words]
+    assert language_model.word_hashes([]).dtype == np.int64
+    model = language_model.Model.start(np.arange(40, 0, -1), 7)
+    contexts = rng.integers(0, len(model.context), (9, language_model.BEFORE)).astype(np.int32)
+    plain = sum(model.context[contexts[:, k]] * model.near[k] for k in range(language_model.BEFORE))
+    assert np.allclose(model.query(contexts), plain)
