@@ -5,7 +5,9 @@ cut into units between which no piece reaches: runs of blanks with the character
 to the next blank, letters apart from punctuation behind them, and line feeds. Runs
 over ``LONGEST`` characters are cut there.
 Within a unit all pieces that match form a lattice; a character without a piece is
-spelled in byte pieces. A segmentation has the product of its pieces' weights, which
+spelled in byte pieces. A task numbers the units it meets and adds the new ones
+of each batch to one lattice, until that holds ``ROOM`` characters and the next one is
+begun. A segmentation has the product of its pieces' weights, which
 fall with their rank in the vocabulary, as its probability.
 
 Segmentations come from a perturbed A-star search. Forward masses give each lattice
@@ -27,12 +29,13 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -44,11 +47,14 @@ LONGEST = 48
 SAMPLES = 2
 #: Characters that are encoded together; one longer text is encoded alone.
 CHARS = 600_000
+#: Characters of distinct units from which on a task begins a new lattice.
+ROOM = 1_500_000
 #: Added to a rank before weights fall with it, and weight per character.
 FLAT, PER_CHAR = 50.0, 5.0
 BLANK, BREAK = "▁", "\U0010ffff"
 _LETTERS = r"[^\W\d_²]"
 _UNIT = re.compile(rf" *{_LETTERS}{{1,{LONGEST}}}(?![\w])| *[^ \n]{{1,{LONGEST}}}|\n| +")
+_RUN = re.compile(r" *[^ ]+| +")
 _END = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -115,6 +121,7 @@ class Vocabulary:
     weight: np.ndarray
     bytes_of: list[bytes]
     first_byte: int
+    spelled: pa.LargeBinaryArray
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -132,7 +139,7 @@ class Vocabulary:
                 bytes_of.append(piece.replace(BLANK, " ").encode())
                 pieces.append((i, piece))
                 rank[i] = min(-model.get_score(i), n)
-        return cls(Trie(pieces), 1.0 / (rank + FLAT), bytes_of, first_byte)
+        return cls(Trie(pieces), 1.0 / (rank + FLAT), bytes_of, first_byte, pa.array(bytes_of, pa.large_binary()))
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -144,13 +151,26 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def decode(ids: list[int], words: Vocabulary) -> str:
-    text = b"".join(map(words.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
+def decode_all(ids: np.ndarray, cuts: np.ndarray, words: Vocabulary) -> list[str]:
+    """The texts of several encodings, one behind the other and cut at ``cuts``."""
+    pieces = words.spelled.take(pa.array(ids, pa.uint32()))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pieces), pa.scalar(b"", pieces.type))
+    texts = (x.decode("utf-8", "replace") for x in joined.to_pylist())
+    return [x[1:] if x.startswith(" ") else x for x in texts]
+
+
+def decode(ids: Sequence[int], words: Vocabulary) -> str:
+    return decode_all(np.array(ids, np.uint32), np.array([0, len(ids)]), words)[0]
 
 
 class Lattice:
-    """All units of a batch side by side; nodes are characters, edges sorted by start."""
+    """Units side by side; nodes are characters and each unit's end, edges sorted by start.
+
+    ``at`` has each node's first edge, ``p`` the probability of an edge at its start and
+    ``upto`` that of the edges up to it.
+    """
+
+    FIELDS = {"first": np.int64, "sizes": np.int64, "ends": bool, "at": np.int64, "start": np.int32, "size": np.int32, "piece": np.int32, "p": float, "upto": float}
 
     def __init__(self, units: list[str], words: Vocabulary):
         flat = BREAK.join(units).replace(" ", BLANK) + BREAK
@@ -187,14 +207,87 @@ class Lattice:
                 mass[nodes[begin]] = np.add.reduceat(weight[e] * mass[into[e]], begin)
         self.p = weight * mass[into] / mass[self.start]
         del weight, into, left, level
-        begin = np.flatnonzero(np.append(True, self.start[1:] != self.start[:-1])) if len(self.start) else np.empty(0, np.int64)
-        self.begin = np.append(begin, len(self.start))
-        self.rank = np.cumsum(~self.ends) - 1
-        total = np.cumsum(self.p)
-        counts = np.diff(self.begin)
-        base = np.repeat(np.append(0.0, total)[begin], counts)
-        self.upto = np.repeat(np.arange(len(begin)), counts) + np.minimum(total - base, 1.0)
-        self.upto[self.begin[1:] - 1] = np.arange(1, len(begin) + 1)
+        counts = np.bincount(self.start, minlength=len(points))
+        after = np.cumsum(counts)
+        self.at = after - counts
+        total = np.append(0.0, np.cumsum(self.p))
+        self.upto = np.minimum(total[1:] - np.repeat(total[self.at], counts), 1.0)
+        self.upto[after[counts > 0] - 1] = 1.0
+
+
+class _Numbers(dict):
+    """Numbers from 0 on; ``fresh`` has the keys that got theirs since it was emptied."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.fresh.append(key)
+        return n
+
+
+def _units_of(runs: list[str]) -> tuple[list[str], np.ndarray]:
+    """The units of each run, a blank in front of it, one behind the other, and where each run's begin.
+
+    No unit reaches over a blank but to the character behind it, so runs can be cut side by side.
+    """
+    units = _UNIT.findall(" " + " ".join(runs)) if runs else []
+    heads = np.flatnonzero(np.fromiter(map(str.startswith, units, repeat(" ")), bool, len(units)))
+    if len(heads) < len(runs):  # a text ends in blanks, which ran into the next run's
+        each = [_UNIT.findall(" " + x) for x in runs]
+        units, heads = list(chain.from_iterable(each)), np.cumsum([0, *map(len, each[:-1])])
+    return units, heads
+
+
+class Units:
+    """Numbers of the units met so far, and the lattice of all these units."""
+
+    def __init__(self, words: Vocabulary):
+        self.words = words
+        self.held = {name: np.empty(0, kind) for name, kind in Lattice.FIELDS.items()}
+        self._begin()
+
+    def _begin(self) -> None:
+        self.number, self.used = _Numbers(), dict.fromkeys(Lattice.FIELDS, 0)
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all texts by number, and where each text's begin and the last one's end."""
+        if self.used["ends"] > ROOM:
+            self._begin()
+        runs = [
+            [] if not t else [x[1:] for x in _RUN.findall(" " + t)] if "  " in t or t[0] == " " or t[-1] == " " else t.split(" ")
+            for t in texts
+        ]
+        distinct = pa.array(list(chain.from_iterable(runs)), pa.string()).dictionary_encode()
+        of_run = distinct.indices.to_numpy()
+        units, heads = _units_of(distinct.dictionary.to_pylist())
+        numbers = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        if self.number.fresh:
+            self._grow(Lattice(self.number.fresh, self.words))
+            self.number.fresh = []
+        counts = np.diff(np.append(heads, len(units)))[of_run]
+        upto = np.append(0, np.cumsum(counts))
+        of_unit = numbers[np.repeat(heads[of_run] - upto[:-1], counts) + np.arange(upto[-1])]
+        return of_unit, upto[np.cumsum([0, *map(len, runs)])]
+
+    def _grow(self, new: Lattice) -> None:
+        nodes, edges = self.used["ends"], self.used["start"]
+        new.first += nodes
+        new.start += nodes
+        new.at += edges
+        for name, low in self.used.items():
+            values, held = getattr(new, name), self.held[name]
+            high = self.used[name] = low + len(values)
+            if high > len(held):
+                self.held[name] = np.empty(high + high // 2, held.dtype)
+                self.held[name][:low] = held[:low]
+            self.held[name][low:high] = values
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        if name not in Lattice.FIELDS:
+            raise AttributeError(name)
+        return self.held[name]
 
 
 def _uniform(key: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -205,20 +298,21 @@ def _uniform(key: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def _walk(lattice: Lattice, node: np.ndarray, at: np.ndarray, key: np.ndarray, origin: np.ndarray, edges: np.ndarray) -> None:
+def _walk(lattice: Units, node: np.ndarray, at: np.ndarray, key: np.ndarray, origin: np.ndarray, edges: np.ndarray) -> None:
     """Ancestral samples of all given units at once; ``edges`` gets one edge per token."""
+    ends, first, size, upto = lattice.ends, lattice.at, lattice.size, lattice.upto
     while len(node):
-        rank = lattice.rank[node]
-        e, draw = lattice.begin[rank], rank + _uniform(key, at - origin)
-        more = np.flatnonzero(lattice.upto[e] <= draw)
+        e, draw = first.take(node), _uniform(key, at - origin)
+        more = np.flatnonzero(upto.take(e) <= draw)
         while len(more):
             e[more] += 1
-            more = more[lattice.upto[e[more]] <= draw[more]]
+            more = more[upto[e[more]] <= draw[more]]
         edges[at] = e
-        node, at = node + lattice.size[e], at + lattice.size[e]
-        on = ~lattice.ends[node]
-        if not on.all():
-            node, at, key, origin = node[on], at[on], key[on], origin[on]
+        step = size.take(e)
+        node, at = node + step, at + step
+        on = np.flatnonzero(~ends.take(node))
+        if len(on) < len(node):
+            node, at, key, origin = node.take(on), at.take(on), key.take(on), origin.take(on)
 
 
 def _below(mu: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -227,12 +321,6 @@ def _below(mu: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
         return mu - np.log(np.exp(mu - top) - np.log(u))
 
 
-class _Numbers(dict):
-    def __missing__(self, unit: str) -> int:
-        self[unit] = n = len(self)
-        return n
-
-
 def _keys(names: list[str], what: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(n, seed=what) for n in names], np.uint64)
 
@@ -247,20 +335,18 @@ class Sampled:
     inclusion: float
 
 
-def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPLES) -> Iterator[Sampled]:
+def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPLES, lattice: Units | None = None) -> Iterator[Sampled]:
     """Up to ``k`` distinct segmentations of each text, best perturbed value first."""
-    per_doc = [_UNIT.findall(" " + t) if t else [] for t in texts]
-    number = _Numbers()
-    of_unit = np.fromiter(map(number.__getitem__, chain.from_iterable(per_doc)), np.int64)
-    lattice = Lattice(list(number), words) if number else None
-    sizes = lattice.sizes[of_unit] if number else of_unit
+    lattice = lattice or Units(words)
+    of_unit, cuts = lattice.cut(texts)
+    sizes = lattice.sizes[of_unit]
     starts = np.cumsum(sizes) - sizes
-    cuts = np.cumsum([0] + [len(u) for u in per_doc])
     total = int(sizes.sum())
     offsets = np.append(starts, total)[cuts]
     doc_of = np.repeat(np.arange(len(texts)), np.diff(cuts))
     queues: list[list] = [[] for _ in texts]
     paths: list[np.ndarray] = []
+    found: list[tuple[np.ndarray, np.ndarray]] = []  # of each path: pieces, and where each text's begin
     done: list[list[tuple]] = [[] for _ in texts]
     first = -np.log(-np.log(_uniform(_keys(names, 1), np.zeros(len(names)))))
     for d, t in enumerate(texts):
@@ -278,7 +364,7 @@ def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPL
         for d, path, at, value, phi, taken in alive:
             top[d], base[d], fresh[d], begin_unit[d] = value, phi, at, cuts[d]
             if path >= 0:
-                low, high = (int(lattice.begin[int(lattice.rank[lattice.start[taken[0]]]) + x]) for x in (0, 1))
+                low, high = (int(lattice.at[int(lattice.start[taken[0]]) + x]) for x in (0, 1))
                 free = [e for e in range(low, high) if e not in taken]
                 share = np.cumsum(lattice.p[free])
                 u = float(_uniform(noise[d : d + 1], np.array([at - offsets[d]]))[0])
@@ -307,10 +393,13 @@ def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPL
         )
         paths.append(edges)
         tokens = np.flatnonzero(edges >= 0)
-        doc = np.searchsorted(offsets, tokens, side="right") - 1
-        new = tokens >= fresh[doc]
-        tokens, doc = tokens[new], doc[new]
-        p = lattice.p[edges[tokens]]
+        bounds = np.searchsorted(tokens, offsets)
+        chosen, doc = edges.take(tokens), np.repeat(np.arange(len(texts)), np.diff(bounds))
+        found.append((lattice.piece.take(chosen), bounds))
+        new = np.flatnonzero(tokens >= fresh[doc])
+        if len(new) < len(tokens):
+            tokens, doc, chosen = tokens[new], doc[new], chosen[new]
+        p = lattice.p.take(chosen)
         log_p = np.log(p)
         upto = np.cumsum(log_p)
         head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, np.int64)
@@ -337,8 +426,8 @@ def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPL
     for d in range(len(texts)):
         limit = -queues[d][0][0] if queues[d] and len(done[d]) == k else -np.inf
         for rank, value, log_prob in done[d]:
-            part = paths[rank][offsets[d] : offsets[d + 1]] if texts[d] else np.empty(0, np.int32)
-            ids = lattice.piece[part[part >= 0]] if len(part) else np.empty(0, np.int64)
+            pieces, bounds = found[rank] if found else (np.empty(0, np.int32), cuts)
+            ids = pieces[bounds[d] : bounds[d + 1]]
             if len(ids) and ids.min() < 0:
                 ids = np.array(
                     [x for i in ids.tolist() for x in ([i] if i >= 0 else [b + words.first_byte for b in chr(-i).encode()])], np.int64
@@ -366,15 +455,23 @@ def sampled_segmentations(docs: DataFrame, path: str, k: int = SAMPLES, with_ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
 
+        units = Units(words)
+
         def flush(rows: list[tuple]) -> pa.RecordBatch:
-            columns: list[list] = [[] for _ in fields]
             texts = [t for _, t in rows]
-            for s in sample([str(i) for i, _ in rows], texts, words, k):
-                ids = s.ids.tolist()
-                values = [rows[s.doc][0], s.rank, len(ids), s.log_prob, s.perturbed, s.inclusion, decode(ids, words) == texts[s.doc], zlib.crc32(s.ids.astype("<u4").tobytes())]
-                for c, v in zip(columns, values + ([ids] if with_ids else [])):
-                    c.append(v)
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            got = list(sample([str(i) for i, _ in rows], texts, words, k, units))
+            ids = np.concatenate([s.ids for s in got])
+            sizes = [len(s.ids) for s in got]
+            cuts = np.cumsum([0, *sizes])
+            decoded = [text == texts[s.doc] for text, s in zip(decode_all(ids, cuts, words), got)]
+            columns = [
+                [rows[s.doc][0] for s in got], [s.rank for s in got], sizes, [s.log_prob for s in got], [s.perturbed for s in got],
+                [s.inclusion for s in got], decoded, [zlib.crc32(s.ids.astype("<u4").tobytes()) for s in got],
+            ]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+            if with_ids:
+                arrays.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.view(np.int32))))
+            return pa.record_batch(arrays, schema=schema)
 
         held, chars = [], 0
         for batch in batches:

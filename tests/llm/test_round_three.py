@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from footfall.llm import language_model, token_files
+from footfall.llm import language_model, segmentation, token_files
 
 
 def test_encoder_words():
@@ -45,3 +45,48 @@ def test_language_model_steps_add_up_as_before():
     contexts = rng.integers(0, len(model.context), (9, language_model.BEFORE)).astype(np.int32)
     plain = sum(model.context[contexts[:, k]] * model.near[k] for k in range(language_model.BEFORE))
     assert np.allclose(model.query(contexts), plain)
+
+
+def test_units_of_runs_are_those_of_whole_texts():
+    words = segmentation.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    rng, units, parts = random.Random(9), segmentation.Units(words), [" ", " ", "\n", "\t", "ab", "c", ",", "'s", "_", "2", "²", "é", "日本", "▁", "\U0010ffff", "x" * 50]
+    for _ in range(30):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(60)] + ["", " ", "  ", "a ", " a", "a  b", "a \n b  "]
+        of_unit, cuts = units.cut(texts)
+        name = list(units.number)
+        for text, low, high in zip(texts, cuts, cuts[1:]):
+            assert [name[n] for n in of_unit[low:high]] == (segmentation._UNIT.findall(" " + text) if text else []), text
+
+
+def test_a_unit_enters_the_lattice_once(monkeypatch):
+    """Segmentations are the same whether a task meets a unit again in its lattice, in a new one, or for the first time."""
+    words = segmentation.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    built = []
+
+    class Lattice(segmentation.Lattice):
+        def __init__(self, units, words):
+            built.append(list(units))
+            super().__init__(units, words)
+
+    monkeypatch.setattr(segmentation, "Lattice", Lattice)
+    rng = random.Random(10)
+    pool = ["".join(rng.choices("etaoinsé日", k=rng.randint(1, 9))) for _ in range(300)]
+    batches = [[" ".join(rng.choices(pool, k=40)) for _ in range(20)] + ["", "  ", "a  b "] for _ in range(6)]
+    said = lambda s: (s.doc, s.rank, s.ids.tolist(), round(s.log_prob, 6), round(s.perturbed, 6), round(s.inclusion, 6))
+
+    def run(units):
+        out = []
+        for b, texts in enumerate(batches):
+            out.append([said(s) for s in segmentation.sample([f"{b} {d}" for d in range(len(texts))], texts, words, 3, units)])
+        return out
+
+    apart = run(None)
+    assert len(built) == len(batches)
+    built.clear()
+    units = segmentation.Units(words)
+    assert run(units) == apart
+    every = [u for units in built for u in units]
+    assert len(every) == len(set(every)) == len(units.number)
+    monkeypatch.setattr(segmentation, "ROOM", 2000)
+    assert run(segmentation.Units(words)) == apart
+    assert [segmentation.decode(ids, words) for d, _, ids, *_ in apart[0]] == [batches[0][d] for d, *_ in apart[0]]
