@@ -48,7 +48,7 @@ SAMPLES = 2
 #: Characters that are encoded together; one longer text is encoded alone.
 CHARS = 600_000
 #: Characters of distinct units from which on a task begins a new lattice.
-ROOM = 1_500_000
+ROOM = 700_000
 #: Added to a rank before weights fall with it, and weight per character.
 FLAT, PER_CHAR = 50.0, 5.0
 BLANK, BREAK = "▁", "\U0010ffff"
@@ -170,7 +170,7 @@ class Lattice:
     ``upto`` that of the edges up to it.
     """
 
-    FIELDS = {"first": np.int64, "sizes": np.int64, "ends": bool, "at": np.int64, "start": np.int32, "size": np.int32, "piece": np.int32, "p": float, "upto": float}
+    FIELDS = {"first": np.int64, "sizes": np.int64, "ends": bool, "at": np.int64, "size": np.int8, "piece": np.int32, "p": float, "upto": float}
 
     def __init__(self, units: list[str], words: Vocabulary):
         flat = BREAK.join(units).replace(" ", BLANK) + BREAK
@@ -272,9 +272,8 @@ class Units:
         return of_unit, upto[np.cumsum([0, *map(len, runs)])]
 
     def _grow(self, new: Lattice) -> None:
-        nodes, edges = self.used["ends"], self.used["start"]
+        nodes, edges = self.used["ends"], self.used["p"]
         new.first += nodes
-        new.start += nodes
         new.at += edges
         for name, low in self.used.items():
             values, held = getattr(new, name), self.held[name]
@@ -284,6 +283,9 @@ class Units:
                 self.held[name][:low] = held[:low]
             self.held[name][low:high] = values
 
+    def node_of(self, edge: int) -> int:
+        return int(np.searchsorted(self.held["at"][: self.used["at"]], edge, side="right")) - 1
+
     def __getattr__(self, name: str) -> np.ndarray:
         if name not in Lattice.FIELDS:
             raise AttributeError(name)
@@ -364,7 +366,8 @@ def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPL
         for d, path, at, value, phi, taken in alive:
             top[d], base[d], fresh[d], begin_unit[d] = value, phi, at, cuts[d]
             if path >= 0:
-                low, high = (int(lattice.at[int(lattice.start[taken[0]]) + x]) for x in (0, 1))
+                node = lattice.node_of(taken[0])
+                low, high = int(lattice.at[node]), int(lattice.at[node + 1])
                 free = [e for e in range(low, high) if e not in taken]
                 share = np.cumsum(lattice.p[free])
                 u = float(_uniform(noise[d : d + 1], np.array([at - offsets[d]]))[0])
@@ -380,7 +383,7 @@ def sample(names: list[str], texts: list[str], words: Vocabulary, k: int = SAMPL
                 base[d] = phi + float(np.log(lattice.p[e]))
                 fresh[d] = at + int(lattice.size[e])
                 begin_unit[d] = int(np.searchsorted(starts, at, side="right"))
-                node = int(lattice.start[e] + lattice.size[e])
+                node += int(lattice.size[e])
                 if not lattice.ends[node]:
                     nodes.append(node)
                     places.append(int(fresh[d]))
